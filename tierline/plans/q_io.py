@@ -1 +1,231 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: sources, incremental loads, sinks, upsert and diff
+(SRC-*, SNK-1..5, SNK-10..12, VAL-1/2).
+
+Round trips write under the session's checkpoint folder (a shared folder on
+a cluster) and read the written data back.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from tierline.operators.cleanse import enforce_schema
+from tierline.operators.merge import snapshot_diff, upsert
+from tierline.plans import views as V
+from tierline.plans.registry import register
+from tierline.session import scratch_path
+from tierline.sinks.writers import audit_row, evolve_append, write_csv, write_table
+from tierline.sources import incremental as I
+from tierline.sources.readers import read_landing, read_source
+
+TARGET_CUTOFF = "2001-01-01"
+
+
+def _bronze_target(spark, d):
+    """The already-loaded target: orders up to the cut-off date."""
+    return V.orders_hdr(spark, d).filter(F.col("order_date") <= F.lit(TARGET_CUTOFF).cast("timestamp_ntz"))
+
+
+_WM_SQL = f"(SELECT max(o_orderdate) FROM orders WHERE o_orderdate <= TIMESTAMP '{TARGET_CUTOFF}')"
+
+
+@register("high_watermark", "SRC-10, AGG-7", f"""
+SELECT max(o_orderdate) AS max_watermark FROM orders WHERE o_orderdate <= TIMESTAMP '{TARGET_CUTOFF}'""")
+def q_high_watermark(spark, d):
+    return I.watermark_frame(_bronze_target(spark, d), "order_date")
+
+
+@register("incremental_load", "SRC-11, FLT-4", V.with_views("orders_hdr") + f"""
+SELECT * FROM orders_hdr WHERE order_date > {_WM_SQL}""")
+def q_incremental_load(spark, d):
+    wm = I.high_watermark(_bronze_target(spark, d), "order_date")
+    return I.incremental(V.orders_hdr(spark, d), "order_date", wm)
+
+
+@register("slice_window", "SRC-12", """
+SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'""")
+def q_slice_window(spark, d):
+    return I.slice_window(V.table(spark, d, "events"), "ts",
+                          _dt.datetime(2024, 1, 10), _dt.datetime(2024, 1, 20))
+
+
+@register("new_rows", "VAL-2", f"""
+SELECT count(*) AS new_records FROM orders WHERE o_orderdate > {_WM_SQL}""")
+def q_new_rows(spark, d):
+    wm = I.high_watermark(_bronze_target(spark, d), "order_date")
+    return I.new_rows(V.orders_hdr(spark, d), "order_date", wm)
+
+
+@register("table_counts", "VAL-1, AGG-4, AGG-10", """
+SELECT 'lineitem' AS "table", count(*) AS row_count FROM lineitem
+UNION ALL SELECT 'orders', count(*) FROM orders
+UNION ALL SELECT 'part', count(*) FROM part
+UNION ALL SELECT 'customer', count(*) FROM customer""")
+def q_table_counts(spark, d):
+    return I.table_counts({t: V.table(spark, d, t) for t in ("lineitem", "orders", "part", "customer")})
+
+
+# Update batch derived from customer: every 10th key with a new balance and
+# five new keys (copies of the first five customers under fresh keys).
+NEW_KEY_OFFSET = 10_000_000
+
+
+def _updates(spark, d):
+    c = V.table(spark, d, "customer")
+    changed = c.filter(F.col("c_custkey") % 10 == 0).withColumn(
+        "c_acctbal", (F.col("c_acctbal") + 100).cast("double"))
+    fresh = c.filter(F.col("c_custkey") <= 5).withColumn(
+        "c_custkey", F.col("c_custkey") + NEW_KEY_OFFSET)
+    return changed.unionByName(fresh)
+
+
+_UPDATES_SQL = f"""updates AS (
+  SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal + 100 AS DOUBLE) AS c_acctbal, c_mktsegment
+  FROM customer WHERE c_custkey % 10 = 0
+  UNION ALL
+  SELECT c_custkey + {NEW_KEY_OFFSET}, c_name, c_nationkey, c_acctbal, c_mktsegment
+  FROM customer WHERE c_custkey <= 5)"""
+
+
+@register("upsert", "SNK-5, JOIN-4", f"""WITH {_UPDATES_SQL}
+SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM updates)
+UNION ALL SELECT * FROM updates""")
+def q_upsert(spark, d):
+    return upsert(V.table(spark, d, "customer"), _updates(spark, d), ["c_custkey"])
+
+
+@register("snapshot_diff", "SNK-11, JOIN-4", f"""WITH {_UPDATES_SQL},
+new_snap AS (
+  SELECT * FROM (
+    SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM updates)
+    UNION ALL SELECT * FROM updates)
+  WHERE c_custkey % 25 <> 0 OR c_custkey % 10 = 0),
+j AS (
+  SELECT o.c_custkey AS ok, n.c_custkey AS nk,
+         o.c_name AS on_, o.c_nationkey AS onk, o.c_acctbal AS oab, o.c_mktsegment AS oms,
+         n.c_name AS nn, n.c_nationkey AS nnk, n.c_acctbal AS nab, n.c_mktsegment AS nms
+  FROM customer o FULL OUTER JOIN new_snap n ON o.c_custkey = n.c_custkey)
+SELECT ok AS c_custkey, on_ AS c_name, onk AS c_nationkey, oab AS c_acctbal, oms AS c_mktsegment,
+       'delete' AS _change_type FROM j WHERE nk IS NULL
+UNION ALL
+SELECT nk, nn, nnk, nab, nms, 'insert' FROM j WHERE ok IS NULL
+UNION ALL
+SELECT ok, on_, onk, oab, oms, 'update_preimage' FROM j
+WHERE ok IS NOT NULL AND nk IS NOT NULL AND
+      (on_ IS DISTINCT FROM nn OR onk IS DISTINCT FROM nnk OR oab IS DISTINCT FROM nab OR oms IS DISTINCT FROM nms)
+UNION ALL
+SELECT nk, nn, nnk, nab, nms, 'update_postimage' FROM j
+WHERE ok IS NOT NULL AND nk IS NOT NULL AND
+      (on_ IS DISTINCT FROM nn OR onk IS DISTINCT FROM nnk OR oab IS DISTINCT FROM nab OR oms IS DISTINCT FROM nms)""")
+def q_snapshot_diff(spark, d):
+    old = V.table(spark, d, "customer")
+    new = upsert(old, _updates(spark, d), ["c_custkey"]).filter(
+        (F.col("c_custkey") % 25 != 0) | (F.col("c_custkey") % 10 == 0))
+    return snapshot_diff(old, new, ["c_custkey"])
+
+
+@register("evolve_append", "SNK-3, SRC-5, SNK-1", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+       CASE WHEN c_custkey % 2 = 1 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+FROM customer""")
+def q_evolve_append(spark, d):
+    c = V.table(spark, d, "customer")
+    path = scratch_path(spark, "evolve")
+    first = c.filter(F.col("c_custkey") % 2 == 1).drop("c_mktsegment")
+    second = c.filter(F.col("c_custkey") % 2 == 0)
+    write_table(first, path, mode="overwrite")
+    write_table(second, path, mode="append")
+    stored = read_source(spark, path, "parquet")          # mergeSchema is on by default
+    # Same result without a round trip: the evolved union of both batches.
+    assert set(stored.columns) == set(evolve_append(first, second).columns)
+    return stored.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@register("partition_overwrite", "SNK-2, SNK-4", V.with_views("orders_hdr") + """
+, agg AS (
+  SELECT CAST(year(order_date) AS INT) AS year, CAST(month(order_date) AS INT) AS month, status,
+         count(*) AS n_orders, CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+  FROM orders_hdr GROUP BY 1, 2, 3)
+SELECT * FROM agg WHERE (year <> 2001 AND status = 'COMPLETED') OR (year = 2001 AND status = 'PROCESSING')""")
+def q_partition_overwrite(spark, d):
+    from tierline.functions.money import as_int, money_sum
+    o = V.orders_hdr(spark, d)
+    monthly = (o.groupBy(as_int(F.year("order_date")).alias("year"),
+                         as_int(F.month("order_date")).alias("month"), "status")
+               .agg(F.count(F.lit(1)).alias("n_orders"), money_sum("total_amount").alias("revenue")))
+    path = scratch_path(spark, "monthly")
+    write_table(monthly.filter(F.col("status") == "COMPLETED"), path, partition_by=["year", "month"])
+    # Replace only the 2001 slices, with another status's figures.
+    write_table(monthly.filter((F.col("year") == 2001) & (F.col("status") == "PROCESSING")), path,
+                partition_by=["year", "month"], dynamic_overwrite=True)
+    back = read_source(spark, path, "parquet")
+    return back.select(F.col("year").cast("int"), F.col("month").cast("int"), "status", "n_orders", "revenue")
+
+
+@register("csv_roundtrip", "SNK-10, SRC-1, SRC-2, SRC-14, CLN-4", "SELECT * FROM customer")
+def q_csv_roundtrip(spark, d):
+    c = V.table(spark, d, "customer")
+    path = scratch_path(spark, "csv")
+    write_csv(c, path, quote_all=True)
+    back = read_source(spark, path, "csv")                 # header + inferred types
+    return enforce_schema(back, c.schema)
+
+
+def _landing_lines(spark, d):
+    """Order lines as CSV text: every 7th row has a non-numeric price,
+    every 11th (not 7th) row is missing its price field."""
+    o = V.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    base = F.concat_ws(",", k.cast("string"), F.col("o_custkey").cast("string"))
+    line = (F.when(k % 7 == 0, F.concat(base, F.lit(",n/a")))
+            .when(k % 11 == 0, base)
+            .otherwise(F.concat(base, F.lit(","), F.col("o_totalprice").cast("string"))))
+    return o.select(line.alias("value"), F.year("o_orderdate").alias("yr"))
+
+
+LANDING_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
+
+
+def _write_landing(spark, d):
+    root = scratch_path(spark, "landing")
+    lines = _landing_lines(spark, d)
+    lines.write.partitionBy("yr").text(root)
+    # A file set the glob must skip: the same rows as JSON in the same tree.
+    lines.write.mode("append").partitionBy("yr").json(root)
+    return root
+
+
+@register("landing_drop_malformed", "SRC-6, SRC-7", """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INT) AS yr
+FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0""")
+def q_landing_drop_malformed(spark, d):
+    root = _write_landing(spark, d)
+    df = read_landing(spark, root, glob="*.txt", schema=LANDING_SCHEMA, bad_rows="drop", header=False)
+    return df.select("o_orderkey", "o_custkey", "o_totalprice", F.col("yr").cast("int"))
+
+
+@register("quarantine_split", "SRC-7, SRC-6", """
+SELECT CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) || ',n/a'
+            ELSE CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) END AS _corrupt_record,
+       o_orderkey, CAST(year(o_orderdate) AS INT) AS yr
+FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0""")
+def q_quarantine_split(spark, d):
+    root = _write_landing(spark, d)
+    good, bad = read_landing(spark, root, glob="*.txt", schema=LANDING_SCHEMA,
+                             bad_rows="quarantine", header=False)
+    return bad.select("_corrupt_record", "o_orderkey", F.col("yr").cast("int"))
+
+
+AUDIT_TS = _dt.datetime(2024, 1, 1, 0, 0, 0)
+
+
+@register("audit_row", "SNK-12, VAL-1", f"""
+SELECT 'run-0001' AS pipeline_run_id, 'bronze.orders' AS table_name, 'bronze' AS layer,
+       'Succeeded' AS status, TIMESTAMP '2024-01-01 00:00:00' AS processed_at,
+       count(*) AS records_processed FROM orders""")
+def q_audit_row(spark, d):
+    path = scratch_path(spark, "audited")
+    stats = write_table(V.orders_hdr(spark, d), path)
+    return audit_row(spark, "run-0001", "bronze.orders", "bronze", "Succeeded", stats["rows"], AUDIT_TS)
