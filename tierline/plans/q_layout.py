@@ -1 +1,56 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: table layout (SNK-6..9, VAL-4)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tierline.operators.layout import compact, table_detail, zorder
+from tierline.plans import views as V
+from tierline.plans.registry import register
+from tierline.session import scratch_path
+from tierline.sinks.writers import write_table
+from tierline.sources.readers import read_table
+
+
+@register("zorder_multiset", "SNK-7", "SELECT * FROM lineitem")
+def q_zorder_multiset(spark, d):
+    li = V.table(spark, d, "lineitem")
+    path = scratch_path(spark, "zorder")
+    write_table(zorder(li, ["l_shipdate", "l_partkey", "l_returnflag"]), path)
+    return read_table(spark, path)
+
+
+@register("compact_multiset", "SNK-6, SNK-8", "SELECT * FROM lineitem")
+def q_compact_multiset(spark, d):
+    li = V.table(spark, d, "lineitem")
+    small = scratch_path(spark, "small-files")
+    write_table(li.repartition(32), small)
+    path = scratch_path(spark, "compacted")
+    write_table(compact(read_table(spark, small), target_file_mb=1), path, rebalance=False)
+    return read_table(spark, path)
+
+
+@register("rebalanced_write", "SNK-8, SNK-2", """
+SELECT *, CAST(year(o_orderdate) AS INT) AS yr FROM orders""")
+def q_rebalanced_write(spark, d):
+    o = V.table(spark, d, "orders").withColumn("yr", F.year("o_orderdate").cast("int"))
+    path = scratch_path(spark, "rebalanced")
+    write_table(o, path, partition_by=["yr"], rebalance=True)
+    back = read_table(spark, path)
+    return back.select(*[c for c in o.columns if c != "yr"], F.col("yr").cast("int"))
+
+
+@register("bloom_lookup", "SNK-9", """
+SELECT * FROM orders WHERE o_custkey IN (1, 2, 3, 4, 5)""")
+def q_bloom_lookup(spark, d):
+    o = V.table(spark, d, "orders")
+    path = scratch_path(spark, "bloom")
+    write_table(o, path, bloom_cols=["o_custkey"])
+    # Point lookups are what bloom filters serve: the IN list is pushed to
+    # the scan and row groups whose filter excludes every key are skipped.
+    return read_table(spark, path).filter(F.col("o_custkey").isin(1, 2, 3, 4, 5))
+
+
+@register("table_detail", "VAL-4")
+def q_table_detail(spark, d):
+    return table_detail(V.table(spark, d, "lineitem"))
