@@ -1 +1,70 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: Structured Streaming (STR-1..4).
+
+Each runs a real streaming query (file source, ``availableNow`` trigger,
+checkpoint under the session's checkpoint folder) over a table of the
+dataset and reads the sink back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tierline.operators.cleanse import INGEST_TS, SOURCE_FILE
+from tierline.plans import views as V
+from tierline.plans.registry import register
+from tierline.session import scratch_path
+from tierline.streaming import pipelines as S
+
+ALERT_DELAY = "1 hour"
+
+
+def _schema(spark, d, name):
+    return V.table(spark, d, name).schema
+
+
+@register("stream_bronze", "STR-1, PRJ-1", "SELECT * FROM orders")
+def q_stream_bronze(spark, d):
+    dest, ck = scratch_path(spark, "stream-bronze"), scratch_path(spark, "ck-bronze")
+    S.stream_to_bronze(spark, d, _schema(spark, d, "orders"), dest, ck, glob="orders.parquet")
+    return spark.read.parquet(dest).drop(INGEST_TS, SOURCE_FILE)
+
+
+@register("stream_dedup", "STR-2", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+def q_stream_dedup(spark, d):
+    src = S.read_stream(spark, d, _schema(spark, d, "lineitem"), glob="lineitem.parquet")
+    out = S.stream_dedup(src, ["l_orderkey", "l_linenumber"], "l_shipdate", "30 days")
+    dest, ck = scratch_path(spark, "stream-dedup"), scratch_path(spark, "ck-dedup")
+    (out.writeStream.format("parquet").option("checkpointLocation", ck)
+     .trigger(availableNow=True).start(dest).awaitTermination())
+    # Which duplicate survives depends on arrival order; the key set does not.
+    return spark.read.parquet(dest).select("l_orderkey", "l_linenumber")
+
+
+@register("stream_rollup_closed", "STR-3, MON-1", V.with_views("log") + f"""
+SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
+       count(*) FILTER (WHERE failure) AS failures, count(*) AS events
+FROM log GROUP BY 1, 2
+HAVING time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour'
+       <= (SELECT max(ts) FROM events) - INTERVAL '{ALERT_DELAY}'""")
+def q_stream_rollup_closed(spark, d):
+    src = S.read_stream(spark, d, _schema(spark, d, "events"), glob="events.parquet")
+    log = src.select("ts", (F.col("event_type") == "error").alias("failure"))
+    out = S.stream_alerts(log, "ts", ALERT_DELAY, "1 hour")
+    dest, ck = scratch_path(spark, "stream-alerts"), scratch_path(spark, "ck-alerts")
+    (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck)
+     .trigger(availableNow=True).start(dest).awaitTermination())
+    return spark.read.parquet(dest)
+
+
+@register("stream_upsert", "STR-4, SNK-5", """
+SELECT c_custkey, c_name, c_nationkey,
+       CASE WHEN c_custkey % 2 = 0 THEN c_acctbal ELSE c_acctbal - 1 END AS c_acctbal, c_mktsegment
+FROM customer""")
+def q_stream_upsert(spark, d):
+    dest, ck = scratch_path(spark, "stream-gold"), scratch_path(spark, "ck-gold")
+    base = V.table(spark, d, "customer").withColumn("c_acctbal", F.col("c_acctbal") - 1)
+    S.write_version(base, dest, 0)
+    src = S.read_stream(spark, d, _schema(spark, d, "customer"), glob="customer.parquet")
+    S.stream_upsert(src.filter(F.col("c_custkey") % 2 == 0), dest, ["c_custkey"], ck)
+    return S.latest_version(spark, dest)
