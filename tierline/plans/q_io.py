@@ -18,7 +18,7 @@ from tierline.plans.registry import register
 from tierline.session import scratch_path
 from tierline.sinks.writers import audit_row, evolve_append, write_csv, write_table
 from tierline.sources import incremental as I
-from tierline.sources.readers import read_landing, read_source
+from tierline.sources.readers import read_landing, read_source, read_table
 
 TARGET_CUTOFF = "2001-01-01"
 
@@ -229,3 +229,63 @@ def q_audit_row(spark, d):
     path = scratch_path(spark, "audited")
     stats = write_table(V.orders_hdr(spark, d), path)
     return audit_row(spark, "run-0001", "bronze.orders", "bronze", "Succeeded", stats["rows"], AUDIT_TS)
+
+
+# --- layer jobs -------------------------------------------------------------
+
+from tierline.plans.jobs import to_bronze, to_silver  # noqa: E402
+
+INGEST_TS_FIXED = "2024-01-01 00:00:00"
+
+
+@register("bronze_job", "BRZ-1, SRC-1, SRC-6, SRC-10, SRC-11, PRJ-1, SNK-1, SNK-2, VAL-1, VAL-2", """
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
+       o_totalprice AS total_amount, o_orderstatus AS status, CAST(year(o_orderdate) AS INT) AS yr
+FROM orders""")
+def q_bronze_job(spark, d):
+    o = V.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.to_date("o_orderdate").alias("order_date"), F.col("o_totalprice").alias("total_amount"),
+        F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("yr"))
+    landing = scratch_path(spark, "landing-orders")
+    o.write.partitionBy("yr").option("header", True).csv(landing)
+    dest = scratch_path(spark, "bronze-orders")
+    # First run: a full load of the older part (as if the rest had not landed yet).
+    older = scratch_path(spark, "landing-older")
+    o.filter(F.col("order_date") <= F.lit(TARGET_CUTOFF).cast("date")).write.partitionBy("yr") \
+        .option("header", True).csv(older)
+    to_bronze(spark, older, dest, mode="full", watermark_col="order_date", glob="*.csv",
+              ingest_ts=INGEST_TS_FIXED, optimize=False)
+    # Second run: incremental over the whole landing area.
+    facts = to_bronze(spark, landing, dest, mode="incremental", watermark_col="order_date",
+                      glob="*.csv", ingest_ts=INGEST_TS_FIXED, optimize=False)
+    assert facts["new_rows"] == facts["rows_written"]
+    return read_table(spark, dest).select("order_id", "customer_id", "order_date", "total_amount",
+                                          "status", F.col("yr").cast("int"))
+
+
+SILVER_AS_OF = "1998-01-01"
+
+
+@register("silver_job", "SLV-1, CLN-1, CLN-6, DQ-4, DQ-5, PRJ-2", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, trim(l_returnflag) AS l_returnflag, ship_date,
+       _ingest_timestamp,
+       CASE WHEN ship_date > DATE '{SILVER_AS_OF}' THEN 'ship_date:future_date' ELSE '' END
+         AS _data_quality_issues,
+       TIMESTAMP '{INGEST_TS_FIXED}' AS _silver_processed_timestamp
+FROM (
+  SELECT l_orderkey, l_linenumber, l_partkey, ' ' || l_returnflag AS l_returnflag,
+         CAST(l_shipdate AS DATE) AS ship_date, l_shipdate AS _ingest_timestamp,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                            ORDER BY l_shipdate DESC, l_partkey DESC) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def q_silver_job(spark, d):
+    li = V.table(spark, d, "lineitem")
+    bronze = li.select("l_orderkey", "l_linenumber", "l_partkey",
+                       F.concat(F.lit(" "), "l_returnflag").alias("l_returnflag"),
+                       F.to_date("l_shipdate").alias("ship_date"),
+                       F.col("l_shipdate").alias("_ingest_timestamp"))
+    out = to_silver(bronze, keys=["l_orderkey", "l_linenumber"], ties=["l_partkey"],
+                    as_of=SILVER_AS_OF, processed_ts=INGEST_TS_FIXED)
+    return out.withColumn("_silver_processed_timestamp",
+                          F.col("_silver_processed_timestamp").cast("timestamp_ntz"))
