@@ -148,7 +148,11 @@ def q_evolve_append(spark, d):
   SELECT CAST(year(order_date) AS INT) AS year, CAST(month(order_date) AS INT) AS month, status,
          count(*) AS n_orders, CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue
   FROM orders_hdr GROUP BY 1, 2, 3)
-SELECT * FROM agg WHERE (year <> 2001 AND status = 'COMPLETED') OR (year = 2001 AND status = 'PROCESSING')""")
+-- Dynamic overwrite replaces exactly the (year, month) slices present in the new batch.
+, fresh AS (SELECT * FROM agg WHERE year = 2001 AND status = 'PROCESSING')
+SELECT * FROM agg a WHERE a.status = 'COMPLETED'
+  AND NOT EXISTS (SELECT 1 FROM fresh f WHERE f.year = a.year AND f.month = a.month)
+UNION ALL SELECT * FROM fresh""")
 def q_partition_overwrite(spark, d):
     from tierline.functions.money import as_int, money_sum
     o = V.orders_hdr(spark, d)

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (LongType, StringType, StructField, StructType,
+                               TimestampNTZType)
 
 
 def save_mode(load_mode: str) -> str:
@@ -76,9 +77,10 @@ def write_csv(df: DataFrame, dest: str, quote_all: bool = True, header: bool = T
     df.write.mode(mode).option("header", header).option("quoteAll", quote_all).csv(dest)
 
 
-AUDIT_SCHEMA = StructType.fromDDL(
-    "pipeline_run_id string, table_name string, layer string, status string, "
-    "processed_at timestamp_ntz, records_processed bigint")
+AUDIT_SCHEMA = StructType([
+    StructField("pipeline_run_id", StringType()), StructField("table_name", StringType()),
+    StructField("layer", StringType()), StructField("status", StringType()),
+    StructField("processed_at", TimestampNTZType()), StructField("records_processed", LongType())])
 
 
 def audit_row(spark: SparkSession, run_id: str, table: str, layer: str, status: str,
