@@ -14,8 +14,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, NumericType, StringType,
-                               TimestampNTZType, TimestampType)
+from pyspark.sql.types import (BooleanType, DateType, LongType, NumericType, StringType,
+                               StructField, StructType, TimestampNTZType, TimestampType)
 
 from tierline.functions.zorder import interleave_bits
 from tierline.operators.rank import dense_rank_within
@@ -36,29 +36,55 @@ def _numeric_surrogate(c: str, dtype) -> Column:
     return col.cast("double")
 
 
-def _quantile_buckets(df: DataFrame, c: str, dtype, bits: int, out: str) -> DataFrame:
-    """Equal-depth bucket (0 .. 2**bits - 1) from approximate quantiles.
-    Only the 2**bits - 1 boundaries come back to the driver."""
+def _quantile_buckets(df: DataFrame, specs: Sequence[tuple[str, object, str]], bits: int) -> DataFrame:
+    """Equal-depth bucket (0 .. 2**bits - 1) per numeric-like column, from
+    approximate quantiles of all the columns in one pass.  Only the
+    2**bits - 1 boundaries per column come back to the driver."""
     n = 1 << bits
-    sur = f"__s_{out}"
-    withsur = df.withColumn(sur, F.coalesce(_numeric_surrogate(c, dtype), F.lit(float("-inf"))))
+    surs = {out: f"__s_{out}" for _, _, out in specs}
+    withsur = df.select("*", *[F.coalesce(_numeric_surrogate(c, dt), F.lit(float("-inf"))).alias(surs[out])
+                               for c, dt, out in specs])
     probs = [i / n for i in range(1, n)]
-    bounds = withsur.approxQuantile(sur, probs, 1.0 / (4 * n))
-    splits = sorted({b for b in bounds if b is not None and math.isfinite(b)})
-    splits = [float("-inf")] + splits + [float("inf")]
-    if len(splits) < 3:       # constant column: one bucket
-        return withsur.withColumn(out, F.lit(0).cast("long")).drop(sur)
-    b = Bucketizer(splits=splits, inputCol=sur, outputCol=out, handleInvalid="keep")
-    return b.transform(withsur).withColumn(out, F.col(out).cast("long")).drop(sur)
+    all_bounds = withsur.approxQuantile([surs[out] for _, _, out in specs], probs, 1.0 / (4 * n))
+    out_df = withsur
+    for (_, _, out), bounds in zip(specs, all_bounds):
+        splits = sorted({b for b in bounds if b is not None and math.isfinite(b)})
+        if not splits:        # constant column: one bucket
+            out_df = out_df.withColumn(out, F.lit(0).cast("long"))
+            continue
+        splits = [float("-inf")] + splits + [float("inf")]
+        out_df = Bucketizer(splits=splits, inputCol=surs[out], outputCol=out,
+                            handleInvalid="keep").transform(out_df)
+        out_df = out_df.withColumn(out, F.col(out).cast("long"))
+    return out_df.drop(*surs.values())
+
+
+# Distinct values up to this many (and this many bytes) are bucketed on the
+# driver and broadcast; above it the rank is computed distributed.
+SMALL_DOMAIN_VALUES = 65_536
+SMALL_DOMAIN_BYTES = 16 * 1024 * 1024
 
 
 def _rank_buckets(df: DataFrame, c: str, bits: int, out: str) -> DataFrame:
     """Equal-width bucket over the exact rank of the distinct values (for
-    types without quantiles, e.g. strings).  Ranking runs over the distinct
-    values only, range-partitioned; the (value, bucket) table is joined back
-    on the value (broadcast when small, AQE splits a hot value otherwise)."""
+    types without quantiles, e.g. strings).
+
+    At most ``SMALL_DOMAIN_VALUES + 1`` distinct values are fetched first; if
+    that is all of them (and they are small in bytes), the (value, bucket)
+    table is built on the driver and broadcast - its size is proven by the
+    check.  Otherwise the ranks are computed over the distinct values,
+    range-partitioned, and joined back on the value (AQE splits a hot value)."""
     n = 1 << bits
     vals = df.select(F.col(c).alias("__v")).distinct()
+    head = [r[0] for r in vals.limit(SMALL_DOMAIN_VALUES + 1).collect()]
+    if (len(head) <= SMALL_DOMAIN_VALUES
+            and sum(len(str(v).encode()) for v in head if v is not None) <= SMALL_DOMAIN_BYTES):
+        ordered = sorted(head, key=lambda v: (v is not None, v if v is not None else ""))
+        total = max(len(ordered), 1)
+        rows = [(v, (i * n) // total) for i, v in enumerate(ordered)]
+        table = df.sparkSession.createDataFrame(
+            rows, StructType([StructField("__v", df.schema[c].dataType), StructField(out, LongType())]))
+        return df.join(F.broadcast(table), df[c].eqNullSafe(table["__v"]), "left").drop("__v")
     ranked = dense_rank_within(vals, [], "__v", rank_col="__r", descending=False)
     total = ranked.agg(F.max("__r")).first()[0] or 1
     table = ranked.select("__v", F.floor((F.col("__r") - 1) * F.lit(n) / F.lit(total))
@@ -75,18 +101,20 @@ def zorder(df: DataFrame, cols: Sequence[str], bits: int | None = None,
         raise ValueError("zorder takes one to three columns")
     bits = bits or min(10, 63 // len(cols))
     types = {f.name: f.dataType for f in df.schema.fields}
-    out = df
-    names = []
+    numeric, strings, names = [], [], []
     for j, c in enumerate(cols):
         name = f"__zb{j}"
         dt = types[c]
         if isinstance(dt, (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)):
-            out = _quantile_buckets(out, c, dt, bits, name)
+            numeric.append((c, dt, name))
         elif isinstance(dt, StringType):
-            out = _rank_buckets(out, c, bits, name)
+            strings.append((c, name))
         else:
             raise TypeError(f"cannot Z-order on {c} of type {dt.simpleString()}")
         names.append(name)
+    out = _quantile_buckets(df, numeric, bits) if numeric else df
+    for c, name in strings:
+        out = _rank_buckets(out, c, bits, name)
     out = out.withColumn(ZCOL, interleave_bits([F.col(n) for n in names], bits))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (out.repartitionByRange(n, ZCOL).sortWithinPartitions(ZCOL)

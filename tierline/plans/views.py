@@ -25,8 +25,19 @@ STATUS_CODES = {v: k for k, v in STATUS_NAMES.items()}
 ACTIVE_MAX_SIZE = 40
 
 
+# Inferred schemas by path: later reads pass the schema and skip the footer
+# read (the dataset directories are read-only).
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def status_name(code_col: str = "o_orderstatus") -> Column:
