@@ -73,3 +73,61 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+# The runtime SQL settings of the reference's dev and prod
+# cluster profiles (memory, executor and service settings are deploy-time
+# and belong to the launcher, not to a running session).
+PROFILES = {
+    "dev": {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.localShuffleReader.enabled": "true",
+        "spark.sql.shuffle.partitions": "50",
+        "spark.sql.parquet.columnarReaderBatchSize": "1024",
+        "spark.sql.parquet.compression.codec": "snappy",
+        "spark.sql.autoBroadcastJoinThreshold": "50MB",
+        "spark.sql.broadcastTimeout": "300s",
+        "spark.sql.files.maxPartitionBytes": "64MB",
+        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    },
+    "prod": {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.localShuffleReader.enabled": "true",
+        "spark.sql.adaptive.nonEmptyPartitionRatioForBroadcastJoin": "0.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+        "spark.sql.shuffle.partitions": "200",
+        "spark.sql.parquet.columnarReaderBatchSize": "4096",
+        "spark.sql.parquet.compression.codec": "snappy",
+        "spark.sql.autoBroadcastJoinThreshold": "100MB",
+        "spark.sql.broadcastTimeout": "600s",
+        "spark.sql.files.maxPartitionBytes": "128MB",
+        "spark.sql.files.openCostInBytes": "16MB",
+        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+        "spark.sql.optimizer.inSetConversionThreshold": "50",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    },
+}
+
+
+def apply_profile(spark: SparkSession, name: str) -> None:
+    """Set a named profile's SQL settings on a running session."""
+    for k, v in PROFILES[name].items():
+        spark.conf.set(k, v)
+
+
+def size_shuffle(spark: SparkSession, input_bytes: int, target_bytes: int = 128 * 1024 * 1024,
+                 floor: int = 200) -> int:
+    """Size shuffles for the data at hand: a fixed 200 (or 50) partitions
+    would give ~500 GB partitions on a 100 TB input.  AQE starts from one
+    partition per ``target_bytes`` of input and coalesces small ones, so the
+    same setting serves small and large runs."""
+    n = max(floor, -(-int(input_bytes) // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return n
