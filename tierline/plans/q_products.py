@@ -141,3 +141,23 @@ FROM part""")
 def q_rank_within(spark, d):
     part = V.table(spark, d, "part").select("p_partkey", "p_type", "p_retailprice")
     return dense_rank_within(part, ["p_type"], "p_retailprice", rank_col="price_rank")
+
+
+# The flagship as a SQL string over temp views, the way the reference runs it.
+CATEGORY_MONTHLY_SPARK_SQL = """
+SELECT p.category, year(o.order_date) AS year, month(o.order_date) AS month,
+       count(DISTINCT o.order_id) AS orders,
+       CAST(SUM(CAST(o.total_amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+       SUM(o.quantity) AS units_sold,
+       try_divide(CAST(SUM(CAST(o.total_amount AS DECIMAL(18,2))) AS DOUBLE), SUM(o.quantity))
+         AS average_unit_price
+FROM sales o JOIN products p ON o.product_id = p.product_id
+WHERE o.status = 'COMPLETED'
+GROUP BY p.category, year(o.order_date), month(o.order_date)
+ORDER BY p.category, year, month"""
+
+
+@register("category_monthly_report_sql", "GLD-7, JOIN-2, SRC-9", CATEGORY_MONTHLY_SQL)
+def q_category_monthly_report_sql(spark, d):
+    V.register(spark, d, completed_only=True)
+    return spark.sql(CATEGORY_MONTHLY_SPARK_SQL)

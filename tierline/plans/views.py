@@ -161,3 +161,16 @@ def with_views(*views: str) -> str:
     if "products_partial" in wanted:
         wanted.add("products")
     return "WITH " + ",\n".join(known[v] for v in order if v in wanted) + "\n"
+
+
+def register(spark: SparkSession, sf_dir: str, completed_only: bool = False) -> list[str]:
+    """Register the canonical views as temp views (``sales``, ``orders_hdr``,
+    ``products``, ``products_partial``, ``log``) so SQL written against the
+    reference's tables runs as is through ``spark.sql``."""
+    status = "COMPLETED" if completed_only else None
+    made = {"sales": sales(spark, sf_dir, status), "orders_hdr": orders_hdr(spark, sf_dir, status),
+            "products": products(spark, sf_dir), "products_partial": products_partial(spark, sf_dir),
+            "log": log(spark, sf_dir)}
+    for name, df in made.items():
+        df.createOrReplaceTempView(name)
+    return list(made)
