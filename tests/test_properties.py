@@ -94,3 +94,30 @@ def test_zorder_preserves_multiset(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     got = zorder(df, ["v", "g"], bits=4, num_partitions=3)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_copies_expand_exactly_and_spread(spark):
+    from tierline.operators.merge import _expand_copies
+    df = spark.createDataFrame([("a", 10_000), ("b", 3), ("c", 4096), ("d", 4097)], "k string, n long")
+    out = _expand_copies(df, "n")
+    got = {r["k"]: r["cnt"] for r in out.groupBy("k").agg(F.count("*").alias("cnt")).collect()}
+    assert got == {"a": 10_000, "b": 3, "c": 4096, "d": 4097}
+    per_task = (out.filter("k = 'a'").groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert len(per_task) >= 2          # the hot row's copies are produced by several tasks
+
+
+def test_rank_with_a_hot_value(spark):
+    rows = [("x", 5)] * 3000 + [("x", i) for i in range(50)] + [(None, 1)] * 10 + [("y", 2)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    expect = df.withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc("v"))))
+    got = dense_rank_within(df, ["g"], "v", rank_col="r", num_partitions=4)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expect.collect()), key=repr)
+
+
+def test_snapshot_diff_with_many_copies(spark):
+    old = spark.createDataFrame([(1, "a")] * 5000 + [(2, "b")], "k int, v string")
+    new = spark.createDataFrame([(1, "a")] * 10 + [(2, "c")], "k int, v string")
+    got = {}
+    for r in snapshot_diff(old, new, ["k"]).collect():
+        got[(r["k"], r["v"], r["_change_type"])] = got.get((r["k"], r["v"], r["_change_type"]), 0) + 1
+    assert got == {(1, "a", "delete"): 4990, (2, "b", "update_preimage"): 1, (2, "c", "update_postimage"): 1}

@@ -18,7 +18,7 @@ from pyspark.sql.types import (BooleanType, DateType, LongType, NumericType, Str
                                StructField, StructType, TimestampNTZType, TimestampType)
 
 from tierline.functions.zorder import interleave_bits
-from tierline.operators.rank import dense_rank_within
+from tierline.operators.rank import rank_pairs
 
 ZCOL = "__z"
 
@@ -85,7 +85,7 @@ def _rank_buckets(df: DataFrame, c: str, bits: int, out: str) -> DataFrame:
         table = df.sparkSession.createDataFrame(
             rows, StructType([StructField("__v", df.schema[c].dataType), StructField(out, LongType())]))
         return df.join(F.broadcast(table), df[c].eqNullSafe(table["__v"]), "left").drop("__v")
-    ranked = dense_rank_within(vals, [], "__v", rank_col="__r", descending=False)
+    ranked = rank_pairs(vals, [], "__v", "__r", descending=False)
     total = ranked.agg(F.max("__r")).first()[0] or 1
     table = ranked.select("__v", F.floor((F.col("__r") - 1) * F.lit(n) / F.lit(total))
                           .cast("long").alias(out))
@@ -117,8 +117,11 @@ def zorder(df: DataFrame, cols: Sequence[str], bits: int | None = None,
         out = _rank_buckets(out, c, bits, name)
     out = out.withColumn(ZCOL, interleave_bits([F.col(n) for n in names], bits))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (out.repartitionByRange(n, ZCOL).sortWithinPartitions(ZCOL)
-            .drop(ZCOL, *names).select(*df.columns))
+    # Range partitioning cannot split equal keys; a random tie-breaker lets a
+    # Z-value shared by a large share of the rows spread over several files.
+    return (out.withColumn("__zt", F.rand(17))
+            .repartitionByRange(n, ZCOL, "__zt").sortWithinPartitions(ZCOL)
+            .drop(ZCOL, "__zt", *names).select(*df.columns))
 
 
 def table_detail(df: DataFrame) -> DataFrame:

@@ -61,8 +61,36 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
             .when(F.col("__side") == "old", "delete")
             .when(F.col("__has_old") == 1, "update_postimage")
             .otherwise("insert"))
-    rep = F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))
-    return j.select(*[F.col(c) for c in cols], kind.alias(CHANGE), rep.alias("__rep")).drop("__rep")
+    out = j.select(*[F.col(c) for c in cols], kind.alias(CHANGE), F.col("__copies"))
+    return _expand_copies(out, "__copies")
+
+
+# Copies of one row above this count are spread over tasks before expansion.
+_COPY_CHUNK = 4096
+
+
+def _expand_copies(df: DataFrame, n_col: str) -> DataFrame:
+    """Each row ``n_col`` times.  Small counts expand in place; a row with
+    many copies is first cut into chunks of ``_COPY_CHUNK``, the chunks are
+    spread over tasks, and each task expands its chunks - so a group of
+    copies holding a large share of the table never lands in one task."""
+    n = F.col(n_col).cast("long")
+    keep = [c for c in df.columns if c != n_col]
+    small = df.filter(n <= _COPY_CHUNK).select(
+        *keep, F.explode(F.sequence(F.lit(1), n.cast("int"))).alias("__i")).drop("__i")
+    big = (df.filter(n > _COPY_CHUNK)
+           .select(*keep, n.alias("__n"),
+                   F.explode(F.sequence(F.lit(0).cast("long"),
+                                        F.floor((n - 1) / _COPY_CHUNK).cast("long"))).alias("__c"))
+           # An explicit partition count: AQE would otherwise coalesce this
+           # tiny shuffle of chunk descriptors back into a single task.
+           .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__c", *keep[:1])
+           .select(*keep, F.explode(F.sequence(
+               F.lit(1).cast("long"),
+               F.least(F.lit(_COPY_CHUNK).cast("long"), F.col("__n") - F.col("__c") * _COPY_CHUNK)))
+               .alias("__i"))
+           .drop("__i"))
+    return small.unionByName(big)
 
 
 __all__ = ["upsert", "snapshot_diff", "CHANGE", "null_safe_on"]
