@@ -19,6 +19,7 @@ from pyspark.sql.types import (BooleanType, DateType, LongType, NumericType, Str
 
 from tierline.functions.zorder import interleave_bits
 from tierline.operators.rank import rank_pairs
+from tierline.session import checkpoint_root
 
 ZCOL = "__z"
 
@@ -59,32 +60,49 @@ def _quantile_buckets(df: DataFrame, specs: Sequence[tuple[str, object, str]], b
     return out_df.drop(*surs.values())
 
 
-# Distinct values up to this many (and this many bytes) are bucketed on the
-# driver and broadcast; above it the rank is computed distributed.
+# Distinct values up to this many per column (and this many bytes in all)
+# are bucketed on the driver and broadcast; above it the rank is computed
+# distributed.
 SMALL_DOMAIN_VALUES = 65_536
 SMALL_DOMAIN_BYTES = 16 * 1024 * 1024
 
 
+def _small_domains(df: DataFrame, cols: Sequence[str]) -> dict | None:
+    """Sorted distinct values of every column in ``cols`` from one bounded
+    job, or ``None`` when any column has more than ``SMALL_DOMAIN_VALUES``
+    values (or the values are too large in bytes)."""
+    cap = SMALL_DOMAIN_VALUES
+    tagged = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(cols)])
+    pairs = df.select(F.explode(tagged).alias("p")).select("p.i", "p.v").distinct()
+    head = pairs.limit(cap * len(cols) + 1).collect()
+    if len(head) > cap * len(cols):
+        return None
+    doms = {c: [] for c in cols}
+    for i, v in head:
+        doms[cols[i]].append(v)
+    size = sum(len(str(v).encode()) for vals in doms.values() for v in vals if v is not None)
+    if any(len(v) > cap for v in doms.values()) or size > SMALL_DOMAIN_BYTES:
+        return None
+    return {c: sorted(v, key=lambda x: (x is not None, x if x is not None else "")) for c, v in doms.items()}
+
+
+def _domain_buckets(df: DataFrame, c: str, ordered: list, bits: int, out: str) -> DataFrame:
+    """Join a driver-built (value, bucket) table of proven small size."""
+    n = 1 << bits
+    total = max(len(ordered), 1)
+    rows = [(v, (i * n) // total) for i, v in enumerate(ordered)]
+    table = df.sparkSession.createDataFrame(
+        rows, StructType([StructField("__v", df.schema[c].dataType), StructField(out, LongType())]))
+    return df.join(F.broadcast(table), df[c].eqNullSafe(table["__v"]), "left").drop("__v")
+
+
 def _rank_buckets(df: DataFrame, c: str, bits: int, out: str) -> DataFrame:
-    """Equal-width bucket over the exact rank of the distinct values (for
-    types without quantiles, e.g. strings).
-
-    At most ``SMALL_DOMAIN_VALUES + 1`` distinct values are fetched first; if
-    that is all of them (and they are small in bytes), the (value, bucket)
-    table is built on the driver and broadcast - its size is proven by the
-    check.  Otherwise the ranks are computed over the distinct values,
-    range-partitioned, and joined back on the value (AQE splits a hot value)."""
+    """Equal-width bucket over the exact rank of the distinct values, for a
+    column whose domain is too large to build on the driver: the ranks are
+    computed over the distinct values, range-partitioned, and joined back on
+    the value (AQE splits a hot value)."""
     n = 1 << bits
     vals = df.select(F.col(c).alias("__v")).distinct()
-    head = [r[0] for r in vals.limit(SMALL_DOMAIN_VALUES + 1).collect()]
-    if (len(head) <= SMALL_DOMAIN_VALUES
-            and sum(len(str(v).encode()) for v in head if v is not None) <= SMALL_DOMAIN_BYTES):
-        ordered = sorted(head, key=lambda v: (v is not None, v if v is not None else ""))
-        total = max(len(ordered), 1)
-        rows = [(v, (i * n) // total) for i, v in enumerate(ordered)]
-        table = df.sparkSession.createDataFrame(
-            rows, StructType([StructField("__v", df.schema[c].dataType), StructField(out, LongType())]))
-        return df.join(F.broadcast(table), df[c].eqNullSafe(table["__v"]), "left").drop("__v")
     ranked = rank_pairs(vals, [], "__v", "__r", descending=False)
     total = ranked.agg(F.max("__r")).first()[0] or 1
     table = ranked.select("__v", F.floor((F.col("__r") - 1) * F.lit(n) / F.lit(total))
@@ -93,10 +111,22 @@ def _rank_buckets(df: DataFrame, c: str, bits: int, out: str) -> DataFrame:
 
 
 def zorder(df: DataFrame, cols: Sequence[str], bits: int | None = None,
-           num_partitions: int | None = None) -> DataFrame:
+           num_partitions: int | None = None, partition_by: Sequence[str] = (),
+           materialize: bool = False) -> DataFrame:
     """Rows of ``df`` range-partitioned and sorted by the Z-order key of
-    ``cols`` (1-3 columns); write the result to get clustered files."""
+    ``cols`` (1-3 columns); write the result to get clustered files.
+
+    With ``partition_by`` (the table's directory partitions) the range key
+    starts with those columns, so each task writes into few directories and
+    rows are Z-ordered inside each directory.
+
+    The input is read once per numeric pass, once for string domains and
+    once for the final shuffle; ``materialize`` checkpoints it first, which
+    pays off when it is an aggregate or join rather than a table scan."""
     cols = list(cols)
+    if materialize:
+        checkpoint_root(df.sparkSession)
+        df = df.checkpoint(eager=True)
     if not 1 <= len(cols) <= 3:
         raise ValueError("zorder takes one to three columns")
     bits = bits or min(10, 63 // len(cols))
@@ -113,14 +143,19 @@ def zorder(df: DataFrame, cols: Sequence[str], bits: int | None = None,
             raise TypeError(f"cannot Z-order on {c} of type {dt.simpleString()}")
         names.append(name)
     out = _quantile_buckets(df, numeric, bits) if numeric else df
+    domains = _small_domains(df, [c for c, _ in strings]) if strings else {}
     for c, name in strings:
-        out = _rank_buckets(out, c, bits, name)
+        if domains is not None:
+            out = _domain_buckets(out, c, domains[c], bits, name)
+        else:
+            out = _rank_buckets(out, c, bits, name)
     out = out.withColumn(ZCOL, interleave_bits([F.col(n) for n in names], bits))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Range partitioning cannot split equal keys; a random tie-breaker lets a
     # Z-value shared by a large share of the rows spread over several files.
+    parts = list(partition_by)
     return (out.withColumn("__zt", F.rand(17))
-            .repartitionByRange(n, ZCOL, "__zt").sortWithinPartitions(ZCOL)
+            .repartitionByRange(n, *parts, ZCOL, "__zt").sortWithinPartitions(*parts, ZCOL)
             .drop(ZCOL, "__zt", *names).select(*df.columns))
 
 

@@ -20,6 +20,7 @@ from tierline.operators import cleanse as C
 from tierline.operators import quality as Q
 from tierline.operators.dedup import dedup_latest
 from tierline.operators.layout import compact, needs_compaction, zorder
+from tierline.plans import products as P
 from tierline.sinks.writers import save_mode, write_table
 from tierline.sources import incremental as I
 from tierline.sources.readers import read_landing, read_table
@@ -80,3 +81,39 @@ def to_silver(bronze: DataFrame, keys: Sequence[str] = (), order_by: Sequence[st
     if dedup:
         df = dedup_latest(df, keys, order_by, ties)
     return C.with_processed_ts(df, processed_ts)
+
+
+# The gold tables and the columns the reference clusters them on.
+GOLD_TABLES = {
+    "daily_sales_summary": ["date"],
+    "product_performance": ["category", "product_id"],
+    "category_performance": ["category"],
+    "customer_purchase_patterns": ["spend_segment", "frequency_segment", "recency_segment"],
+    "dim_product": ["category", "manufacturer"],
+}
+
+
+def to_gold(orders: DataFrame, products: DataFrame, dest_root: str, as_of=None,
+            orders_hdr: DataFrame | None = None, cluster: bool = True,
+            segments: dict | None = None) -> dict:
+    """Build and write the five gold tables under ``dest_root``; returns the
+    rows written per table (counted on the write itself).
+
+    ``category_performance`` is partitioned by (year, month); every table is
+    Z-ordered on the reference's columns when ``cluster`` is set.
+    """
+    seg = segments or {}
+    tables = {
+        "daily_sales_summary": P.daily_sales(orders_hdr if orders_hdr is not None else orders),
+        "product_performance": P.product_performance(orders, products),
+        "category_performance": P.category_performance(orders, products),
+        "customer_purchase_patterns": P.segment_customers(P.customer_patterns(orders, as_of=as_of), **seg),
+        "dim_product": P.dim_product(products),
+    }
+    written = {}
+    for name, df in tables.items():
+        parts = ["year", "month"] if name == "category_performance" else []
+        out = zorder(df, GOLD_TABLES[name], partition_by=parts, materialize=True) if cluster else df
+        written[name] = write_table(out, f"{dest_root.rstrip('/')}/{name}", mode="overwrite",
+                                    partition_by=parts)["rows"]
+    return written

@@ -237,7 +237,7 @@ def q_audit_row(spark, d):
 
 # --- layer jobs -------------------------------------------------------------
 
-from tierline.plans.jobs import to_bronze, to_silver  # noqa: E402
+from tierline.plans.jobs import GOLD_TABLES, to_bronze, to_gold, to_silver  # noqa: E402
 
 INGEST_TS_FIXED = "2024-01-01 00:00:00"
 
@@ -293,3 +293,20 @@ def q_silver_job(spark, d):
                     as_of=SILVER_AS_OF, processed_ts=INGEST_TS_FIXED)
     return out.withColumn("_silver_processed_timestamp",
                           F.col("_silver_processed_timestamp").cast("timestamp_ntz"))
+
+
+@register("gold_job", "GLD-1..6, SNK-2, SNK-7, VAL-1", V.with_views("sales", "orders_hdr", "products") + """
+SELECT 'daily_sales_summary' AS "table", count(DISTINCT CAST(order_date AS DATE)) AS row_count
+  FROM orders_hdr WHERE status = 'COMPLETED'
+UNION ALL SELECT 'product_performance', count(DISTINCT product_id) FROM sales WHERE status = 'COMPLETED'
+UNION ALL SELECT 'category_performance', count(*) FROM (
+  SELECT DISTINCT p.category, year(s.order_date), month(s.order_date)
+  FROM sales s LEFT JOIN products p ON s.product_id = p.product_id WHERE s.status = 'COMPLETED')
+UNION ALL SELECT 'customer_purchase_patterns', count(DISTINCT customer_id) FROM sales
+UNION ALL SELECT 'dim_product', count(*) FROM products""")
+def q_gold_job(spark, d):
+    from tierline.plans.q_products import AS_OF
+    root = scratch_path(spark, "gold")
+    to_gold(V.sales(spark, d), V.products(spark, d), root, as_of=AS_OF,
+            orders_hdr=V.orders_hdr(spark, d))
+    return I.table_counts({t: read_table(spark, f"{root}/{t}") for t in GOLD_TABLES})
