@@ -64,7 +64,10 @@ def main():
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = set(filter(None, os.environ.get("BENCH_QUERIES", "").split(",")))
-    spark = get_spark("tierline-bench", master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
+    # Two waves of shuffle tasks per stage on a single machine (evens out
+    # stragglers); on a cluster tierline.session.size_shuffle sizes by bytes.
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
+    spark = get_spark("tierline-bench", master=f"local[{cpus}]", shuffle_partitions=parts,
                       conf={"spark.driver.memory": "16g"})
     results = {}
     for name, build in headline(spark, sf_dir).items():

@@ -54,9 +54,9 @@ def usage_alerts(log: DataFrame, ts: str = "ts", resource: str = "resource", usa
 def metric_rollup(log: DataFrame, ts: str, window: str, by: Sequence[str], value: str,
                   how: str = "sum", scale: float = 1.0, name: str = "value") -> DataFrame:
     """Per time bucket and ``by`` columns: the sum or average of ``value``
-    (both exact over two-place decimals), divided by ``scale``."""
+    (both exact over whole hundredths), divided by ``scale``."""
     start, _ = _bucket(ts, window)
-    total = F.sum(F.col(value).cast("decimal(18,2)")).cast("double")
+    total = money_sum(value)
     if how == "sum":
         agg = total
     elif how == "avg":
@@ -72,8 +72,7 @@ def job_performance(log: DataFrame, job: str = "job", duration: str = "duration"
                     ok="ok") -> DataFrame:
     """Per job: average duration in seconds (from milliseconds) and the
     success rate in percent, slowest first."""
-    avg_s = (F.sum(F.col(duration).cast("decimal(18,2)")).cast("double")
-             / F.count(duration).cast("double")) / F.lit(1000.0)
+    avg_s = (money_sum(duration) / F.count(duration).cast("double")) / F.lit(1000.0)
     rate = F.lit(100.0) * F.count_if(_c(ok)).cast("double") / F.count(F.lit(1)).cast("double")
     return (log.groupBy(job).agg(avg_s.alias("avg_duration_s"), rate.alias("success_rate"))
             .orderBy(F.desc("avg_duration_s"), F.asc(job)))

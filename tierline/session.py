@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of DataFrames that are gone are deleted (static setting).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -44,14 +46,18 @@ def get_spark(app: str = "tierline", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    It is read from the session.  Only when it is unset (local runs, tests)
-    a private folder is created and registered, so that ``checkpoint()`` and
-    the round-trip jobs below always have a place every executor can reach.
+    It is read from the session.  Only when it is unset on a local master
+    (local runs, tests) a private folder is created and registered; on a
+    cluster an unset folder is an error, because a machine-local folder is
+    not reachable from the executors and would not survive their loss.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the "
+                               "cluster's distributed file system) before running tierline jobs")
         root = tempfile.mkdtemp(prefix="tierline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
