@@ -31,7 +31,7 @@ def test_bronze_stream_ingests_each_file_once(spark, tmp_dir):
     out = spark.read.parquet(dest)
     assert out.count() == ev.count()
     assert out.select("event_id").distinct().count() == ev.count()
-    assert out.filter(F.col("_source_file").contains("b-")).count() == ev.count() - 500
+    assert out.filter(F.col("_source_file").contains("/b-")).count() == ev.count() - 500
 
 
 def test_alerts_ignore_rows_behind_the_watermark(spark, tmp_dir):
