@@ -129,3 +129,24 @@ def test_profiles_and_shuffle_sizing(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_upsert_latest_by_collapses_duplicate_updates(spark):
+    from tierline.operators.merge import upsert
+    t = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "k int, v string, ts int")
+    u = spark.createDataFrame([(2, "old", 1), (2, "new", 2), (3, "c", 1)], "k int, v string, ts int")
+    got = sorted(map(tuple, upsert(t, u, ["k"], latest_by=["ts"]).collect()))
+    assert got == [(1, "a", 0), (2, "new", 2), (3, "c", 1)]
+    assert upsert(t, u, ["k"]).filter("k = 2").count() == 2
+
+
+def test_enrich_checks_dimension_keys(spark):
+    import pytest
+    from tierline.plans.products import enrich
+    fact = spark.createDataFrame([(1, 10), (2, 20), (9, 90)], "product_id int, qty int")
+    dim = spark.createDataFrame([(1, "x"), (2, "y")], "product_id int, category string")
+    out = enrich(fact, dim, "product_id", check_unique=True)
+    assert sorted(map(tuple, out.collect()), key=repr) == [(1, 10, "x"), (2, 20, "y"), (9, 90, None)]
+    dup = dim.unionByName(spark.createDataFrame([(1, "z")], "product_id int, category string"))
+    with pytest.raises(ValueError):
+        enrich(fact, dup, "product_id", check_unique=True)

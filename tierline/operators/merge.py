@@ -12,15 +12,21 @@ from tierline.operators.rank import null_safe_on
 CHANGE = "_change_type"
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
+           latest_by: Sequence[str] = ()) -> DataFrame:
     """Rows of ``updates`` win; target rows whose key is not in ``updates``
-    stay.  Keys compare null-safe.
+    stay.  Keys compare null-safe.  When the update batch may hold several
+    rows per key, ``latest_by`` keeps only the latest of them (by those
+    columns, see ``dedup_latest``); otherwise all of them are inserted.
 
     An anti join plus a union: the target is shuffled on the keys once
     (broadcast instead when the update batch is under the broadcast
     threshold), and AQE splits skewed key partitions of the anti join.
     """
     keys = list(keys)
+    if latest_by:
+        from tierline.operators.dedup import dedup_latest
+        updates = dedup_latest(updates, keys, latest_by)
     upd_keys = updates.select(*[F.col(k).alias(f"__u_{k}") for k in keys]).distinct()
     cond = None
     for k in keys:
