@@ -150,3 +150,12 @@ def test_enrich_checks_dimension_keys(spark):
     dup = dim.unionByName(spark.createDataFrame([(1, "z")], "product_id int, category string"))
     with pytest.raises(ValueError):
         enrich(fact, dup, "product_id", check_unique=True)
+
+
+def test_table_detail_counts_partition_directories(spark, tmp_dir):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").withColumn("yr", F.year("o_orderdate"))
+    write_table(o, tmp_dir + "/p", partition_by=["yr"], rebalance=True)
+    d = table_detail(spark.read.parquet(tmp_dir + "/p")).first()
+    years = o.select("yr").distinct().count()
+    assert d["num_directories"] == years and d["num_rows"] == o.count()
+    assert d["num_files"] <= 2 * years          # rebalanced: few files per directory

@@ -161,11 +161,13 @@ def zorder(df: DataFrame, cols: Sequence[str], bits: int | None = None,
 
 def table_detail(df: DataFrame) -> DataFrame:
     """File-level facts of a file-source DataFrame, like DESCRIBE DETAIL:
-    number of files, bytes, rows and columns, from the hidden ``_metadata``
-    column (no data columns are read)."""
+    number of files, partition directories, bytes, rows and columns, from the
+    hidden ``_metadata`` column (no data columns are read)."""
     per_file = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(
         F.max("file_size").alias("size"), F.count(F.lit(1)).alias("rows"))
+    directory = F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1)
     return per_file.agg(F.count(F.lit(1)).alias("num_files"),
+                        F.count_distinct(directory).alias("num_directories"),
                         F.sum("size").alias("size_in_bytes"),
                         F.sum("rows").alias("num_rows")).withColumn(
         "num_columns", F.lit(len(df.columns)))

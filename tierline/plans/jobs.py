@@ -46,7 +46,11 @@ def to_bronze(spark: SparkSession, source: str, dest: str, fmt: str = "csv",
     src = read_landing(spark, source, glob=glob, fmt=fmt, schema=schema, **read_opts)
     src = I.incremental(src, watermark_col, wm, mode=mode)
     src = C.with_ingest_metadata(src, ts=ingest_ts)
-    stats = write_table(src, dest, mode=save_mode(mode), partition_by=partition_by)
+    # Optimized write: rebalance on the partition columns so each directory
+    # gets a few well-sized files instead of one file per task (AQE splits a
+    # hot partition value over several tasks).
+    stats = write_table(src, dest, mode=save_mode(mode), partition_by=partition_by,
+                        rebalance=bool(partition_by))
     final = read_table(spark, dest)
     facts = {"watermark": wm, "rows_written": stats["rows"]}
     total = final.count()
