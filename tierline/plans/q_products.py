@@ -140,7 +140,7 @@ SELECT p_partkey, p_type, p_retailprice,
 FROM part""")
 def q_rank_within(spark, d):
     part = V.table(spark, d, "part").select("p_partkey", "p_type", "p_retailprice")
-    return dense_rank_within(part, ["p_type"], "p_retailprice", rank_col="price_rank")
+    return dense_rank_within(part, ["p_type"], "p_retailprice", rank_col="price_rank", materialize=False)
 
 
 # The flagship as a SQL string over temp views, the way the reference runs it.
