@@ -61,8 +61,12 @@ def product_performance(orders: DataFrame, products: DataFrame,
                         status: str | None = COMPLETED) -> DataFrame:
     """Per product of completed lines (left join, so lines with an unknown
     product stay, with null name and category): units, revenue, plain
-    average unit price, line count, and the dense revenue rank inside the
-    category (highest first; the null category ranks on its own)."""
+    (unweighted) average unit price, line count, and the dense revenue rank
+    inside the category (highest first; the null category ranks on its own).
+
+    Unit prices are arbitrary doubles, so their mean is rounded to 4 places:
+    unrounded, its last bits would depend on the order rows are summed in,
+    i.e. on the partitioning."""
     lines = _completed(orders, status)
     dims = products.select("product_id", "product_name", "category")
     joined = lines.join(dims, "product_id", "left")
