@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType, IntegerType
 
 from tierline.operators import cleanse as C

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.operators.rank import null_safe_on
 
 CHANGE = "_change_type"
 
@@ -99,4 +98,4 @@ def _expand_copies(df: DataFrame, n_col: str) -> DataFrame:
     return small.unionByName(big)
 
 
-__all__ = ["upsert", "snapshot_diff", "CHANGE", "null_safe_on"]
+__all__ = ["upsert", "snapshot_diff", "CHANGE"]
