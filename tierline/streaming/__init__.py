@@ -1,0 +1,7 @@
+"""Structured Streaming jobs."""
+
+from tierline.streaming.pipelines import (latest_version, read_stream, stream_alerts, stream_dedup,
+                                          stream_to_bronze, stream_upsert)
+
+__all__ = ["latest_version", "read_stream", "stream_alerts", "stream_dedup", "stream_to_bronze",
+           "stream_upsert"]
