@@ -103,3 +103,25 @@ def test_end_to_end_bronze_silver_gold(spark, tmp_dir):
     daily = P.daily_sales(silver).collect()
     assert len(daily) == 1 and daily[0]["total_orders"] == 2
     assert daily[0]["total_sales"] == 279.96
+
+
+def test_bronze_into_catalog_table_is_incremental(spark, tmp_dir):
+    import os
+    from tierline.plans.jobs import to_bronze
+    land = tmp_dir + "/land"
+    os.makedirs(land)
+    with open(land + "/orders1.csv", "w") as fh:
+        fh.write("order_id,order_date,total_amount\n1,2023-06-01,10.5\n2,2023-06-02,20.0\n")
+    spark.sql("DROP TABLE IF EXISTS tl_bronze_orders")
+    try:
+        f1 = to_bronze(spark, land, "tl_bronze_orders", mode="incremental", watermark_col="order_date",
+                       glob="orders*.csv", as_table=True, ingest_ts="2024-01-01 00:00:00")
+        assert f1["watermark"] is None and f1["rows_written"] == 2
+        with open(land + "/orders2.csv", "w") as fh:
+            fh.write("order_id,order_date,total_amount\n2,2023-06-02,20.0\n3,2023-06-03,7.25\n")
+        f2 = to_bronze(spark, land, "tl_bronze_orders", mode="incremental", watermark_col="order_date",
+                       glob="orders*.csv", as_table=True, ingest_ts="2024-01-02 00:00:00")
+        assert str(f2["watermark"]) == "2023-06-02" and f2["rows_written"] == 1 and f2["new_rows"] == 1
+        assert sorted(r["order_id"] for r in spark.table("tl_bronze_orders").collect()) == [1, 2, 3]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS tl_bronze_orders")

@@ -30,18 +30,24 @@ def to_bronze(spark: SparkSession, source: str, dest: str, fmt: str = "csv",
               mode: str = "incremental", watermark_col: str | None = None,
               partition_by: Sequence[str] = (), glob: str = "*", schema=None,
               ingest_ts=None, optimize: bool = True, min_rows_to_optimize: int = 100_000,
-              **read_opts) -> dict:
-    """Load a landing area into the bronze table at ``dest`` (Parquet path).
+              as_table: bool = False, **read_opts) -> dict:
+    """Load a landing area into the bronze table ``dest``: a Parquet path, or
+    a catalog table name when ``as_table`` is set.
 
     Returns the run facts: watermark used, rows written, final row count and
     rows above the previous watermark.
     """
-    try:
-        target = read_table(spark, dest)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        target = None
+    def current():
+        if as_table:
+            return spark.table(dest) if spark.catalog.tableExists(dest) else None
+        try:
+            return read_table(spark, dest)
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            return None
+
+    target = current()
     wm = I.high_watermark(target, watermark_col) if (mode == "incremental" and target is not None) else None
     src = read_landing(spark, source, glob=glob, fmt=fmt, schema=schema, **read_opts)
     src = I.incremental(src, watermark_col, wm, mode=mode)
@@ -50,8 +56,8 @@ def to_bronze(spark: SparkSession, source: str, dest: str, fmt: str = "csv",
     # gets a few well-sized files instead of one file per task (AQE splits a
     # hot partition value over several tasks).
     stats = write_table(src, dest, mode=save_mode(mode), partition_by=partition_by,
-                        rebalance=bool(partition_by))
-    final = read_table(spark, dest)
+                        rebalance=bool(partition_by), as_table=as_table)
+    final = current()
     facts = {"watermark": wm, "rows_written": stats["rows"]}
     total = final.count()
     facts["final_rows"] = total
@@ -62,10 +68,10 @@ def to_bronze(spark: SparkSession, source: str, dest: str, fmt: str = "csv",
         # the table (a path cannot be overwritten while it is being read).
         facts["optimized_path"] = dest.rstrip("/") + "__optimized"
         write_table(zorder(final, list(partition_by)[:2]), facts["optimized_path"],
-                    partition_by=partition_by)
+                    partition_by=partition_by, as_table=as_table)
     elif optimize and needs_compaction(total, min_rows_to_optimize):
         facts["optimized_path"] = dest.rstrip("/") + "__optimized"
-        write_table(compact(final), facts["optimized_path"])
+        write_table(compact(final), facts["optimized_path"], as_table=as_table)
     return facts
 
 
