@@ -68,3 +68,21 @@ def q_stream_upsert(spark, d):
     src = S.read_stream(spark, d, _schema(spark, d, "customer"), glob="customer.parquet")
     S.stream_upsert(src.filter(F.col("c_custkey") % 2 == 0), dest, ["c_custkey"], ck)
     return S.latest_version(spark, dest)
+
+
+@register("stream_usage_alerts", "STR-3, MON-2", V.with_views("log") + """
+SELECT time_bucket(INTERVAL '1 day', ts) AS window_start,
+       time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end, resource,
+       CAST(SUM(CAST(usage AS DECIMAL(18,2))) AS DOUBLE) AS total_usage
+FROM log GROUP BY 1, 2, 3
+HAVING CAST(SUM(CAST(usage AS DECIMAL(18,2))) AS DOUBLE) > 5000
+   AND time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day'
+       <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""")
+def q_stream_usage_alerts(spark, d):
+    src = S.read_stream(spark, d, _schema(spark, d, "events"), glob="events.parquet")
+    log = src.select("ts", F.col("event_type").alias("resource"), F.col("value").alias("usage"))
+    out = S.stream_usage_alerts(log, "ts", "1 hour")
+    dest, ck = scratch_path(spark, "stream-usage"), scratch_path(spark, "ck-usage")
+    (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck)
+     .trigger(availableNow=True).start(dest).awaitTermination())
+    return spark.read.parquet(dest)

@@ -88,6 +88,15 @@ def stream_alerts(df: DataFrame, ts: str, delay: str, window: str, by: Sequence[
                       *[c for c in out.columns if c != "window"])
 
 
+def stream_usage_alerts(df: DataFrame, ts: str, delay: str, resource: str = "resource",
+                        usage: str = "usage", window: str = "1 day", threshold: float = 5000) -> DataFrame:
+    """Streaming form of the usage alert: per closed window and resource,
+    the exact usage total, emitted only when above ``threshold``."""
+    from tierline.functions.money import money_sum
+    out = stream_alerts(df, ts, delay, window, by=[resource], aggs=[money_sum(usage).alias("total_usage")])
+    return out.filter(F.col("total_usage") > threshold)
+
+
 def latest_version(spark: SparkSession, dest: str, before: int | None = None) -> DataFrame | None:
     """The newest version (below ``before``, if given) of a table written by
     ``stream_upsert``; ``None`` when there is none.  The version is a
