@@ -85,3 +85,15 @@ def test_ingest_metadata_has_source_file(spark, tmp_dir):
     r = df.first()
     assert r["_source_file"].endswith(".parquet") and r["_ingest_timestamp"].year == 2024
     assert "_silver_processed_timestamp" in C.with_processed_ts(df).columns
+
+
+def test_approximate_distinct_option_is_close(spark):
+    from tierline.plans import views as V
+    from conftest import SF_SMALL
+    s = V.sales(spark, SF_SMALL)
+    exact = {r["customer_id"]: r["unique_products_purchased"]
+             for r in P.customer_patterns(s, as_of="2001-08-02").collect()}
+    approx = {r["customer_id"]: r["unique_products_purchased"]
+              for r in P.customer_patterns(s, as_of="2001-08-02", exact_distinct=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= max(1, 0.05 * v) for k, v in exact.items())

@@ -32,6 +32,14 @@ FREQUENCY_LABELS = ("Frequent", "Regular", "Occasional")
 RECENCY_LABELS = ("Active", "Recent", "Inactive")
 
 
+def _distinct(c: str, exact: bool, rsd: float = 0.01) -> Column:
+    """Distinct count: exact (a shuffle keyed by group + value) or a
+    HyperLogLog++ estimate whose sketches combine map-side (a shuffle of one
+    small sketch per group and task), for inputs where the exact form's
+    near-row-level shuffle is too wide."""
+    return F.countDistinct(c) if exact else F.approx_count_distinct(c, rsd)
+
+
 def _completed(orders: DataFrame, status: str | None) -> DataFrame:
     return orders if status is None else orders.filter(F.col("status") == status)
 
@@ -46,14 +54,15 @@ def _as_of(as_of) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
-def daily_sales(orders: DataFrame, status: str | None = COMPLETED) -> DataFrame:
+def daily_sales(orders: DataFrame, status: str | None = COMPLETED,
+                exact_distinct: bool = True) -> DataFrame:
     """Per calendar day of completed orders: rows, revenue, distinct
     customers, average order value."""
     return (_completed(orders, status)
             .groupBy(F.to_date("order_date").alias("date"))
             .agg(F.count("order_id").alias("total_orders"),
                  money_sum("total_amount").alias("total_sales"),
-                 F.countDistinct("customer_id").alias("unique_customers"),
+                 _distinct("customer_id", exact_distinct).alias("unique_customers"),
                  mean_of_money("total_amount").alias("average_order_value")))
 
 
@@ -79,7 +88,7 @@ def product_performance(orders: DataFrame, products: DataFrame,
 
 
 def category_performance(orders: DataFrame, products: DataFrame,
-                         status: str | None = COMPLETED) -> DataFrame:
+                         status: str | None = COMPLETED, exact_distinct: bool = True) -> DataFrame:
     """Per category x year x month of completed lines (left join): units,
     revenue, distinct orders, distinct customers, revenue per customer.
     Stored partitioned by (year, month)."""
@@ -90,13 +99,14 @@ def category_performance(orders: DataFrame, products: DataFrame,
                            as_int(F.month("order_date")).alias("month"))
             .agg(F.sum("quantity").alias("total_units_sold"),
                  money_sum("total_amount").alias("total_revenue"),
-                 F.countDistinct("order_id").alias("order_count"),
-                 F.countDistinct("customer_id").alias("unique_customers"))
+                 _distinct("order_id", exact_distinct).alias("order_count"),
+                 _distinct("customer_id", exact_distinct).alias("unique_customers"))
             .withColumn("avg_revenue_per_customer",
                         safe_ratio("total_revenue", "unique_customers")))
 
 
-def customer_patterns(orders: DataFrame, as_of=None, status: str | None = None) -> DataFrame:
+def customer_patterns(orders: DataFrame, as_of=None, status: str | None = None,
+                      exact_distinct: bool = True) -> DataFrame:
     """Per customer over all statuses (the reference applies no status
     filter here): rows, spend, average, first/last purchase, distinct
     products, days since the last purchase (relative to ``as_of``, default
@@ -108,7 +118,7 @@ def customer_patterns(orders: DataFrame, as_of=None, status: str | None = None)
                 mean_of_money("total_amount").alias("average_order_value"),
                 F.min("order_date").alias("first_purchase_date"),
                 F.max("order_date").alias("last_purchase_date"),
-                F.countDistinct("product_id").alias("unique_products_purchased")))
+                _distinct("product_id", exact_distinct).alias("unique_products_purchased")))
     return (agg
             .withColumn("days_since_last_purchase",
                         as_int(F.datediff(_as_of(as_of), F.to_date("last_purchase_date"))))
