@@ -130,7 +130,7 @@ CUSTOMER_SCHEMA = StructType([
 ])
 
 
-@register("enforce_schema", "CLN-4", """
+@register("enforce_schema", "CLN-4, PRJ-4", """
 SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
        TRY_CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, CAST(NULL AS VARCHAR) AS c_phone
 FROM customer""")

@@ -126,7 +126,7 @@ def q_snapshot_diff(spark, d):
     return snapshot_diff(old, new, ["c_custkey"])
 
 
-@register("evolve_append", "SNK-3, SRC-5, SNK-1", """
+@register("evolve_append", "SNK-3, SRC-4, SRC-5, SNK-1", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal,
        CASE WHEN c_custkey % 2 = 1 THEN NULL ELSE c_mktsegment END AS c_mktsegment
 FROM customer""")
@@ -168,7 +168,7 @@ def q_partition_overwrite(spark, d):
     return back.select(F.col("year").cast("int"), F.col("month").cast("int"), "status", "n_orders", "revenue")
 
 
-@register("csv_roundtrip", "SNK-10, SRC-1, SRC-2, SRC-14, CLN-4", "SELECT * FROM customer")
+@register("csv_roundtrip", "SNK-10, SRC-1, SRC-2, SRC-8, SRC-14, CLN-4", "SELECT * FROM customer")
 def q_csv_roundtrip(spark, d):
     c = V.table(spark, d, "customer")
     path = scratch_path(spark, "csv")

@@ -20,7 +20,7 @@ def _m(c: str) -> str:
     return MONEY.format(c)
 
 
-@register("daily_sales", "GLD-1", V.with_views("orders_hdr") + f"""
+@register("daily_sales", "GLD-1, FLT-1, AGG-2, AGG-5, AGG-6, AGG-8", V.with_views("orders_hdr") + f"""
 SELECT CAST(order_date AS DATE) AS date, COUNT(order_id) AS total_orders,
        {_m('total_amount')} AS total_sales, COUNT(DISTINCT customer_id) AS unique_customers,
        {_m('total_amount')} / CAST(COUNT(total_amount) AS DOUBLE) AS average_order_value
@@ -104,7 +104,7 @@ WHERE s.status = 'COMPLETED'
 GROUP BY 1, 2, 3 ORDER BY 1, 2, 3"""
 
 
-@register("category_monthly_report", "GLD-7, JOIN-2, SRT-1", CATEGORY_MONTHLY_SQL)
+@register("category_monthly_report", "GLD-7, JOIN-2, SRT-1, AGG-3, AGG-5, AGG-9", CATEGORY_MONTHLY_SQL)
 def q_category_monthly_report(spark, d):
     return P.category_monthly_report(V.sales(spark, d, status="COMPLETED"), V.products(spark, d))
 
@@ -161,3 +161,21 @@ ORDER BY p.category, year, month"""
 def q_category_monthly_report_sql(spark, d):
     V.register(spark, d, completed_only=True)
     return spark.sql(CATEGORY_MONTHLY_SPARK_SQL)
+
+
+@register("top_products", "LIM-1, VAL-5, SRT-2, GLD-2", V.with_views("sales", "products") + f"""
+SELECT s.product_id, p.product_name, p.category, {_m('s.total_amount')} AS total_revenue
+FROM sales s LEFT JOIN products p ON s.product_id = p.product_id
+WHERE s.status = 'COMPLETED' GROUP BY 1, 2, 3
+ORDER BY total_revenue DESC, s.product_id LIMIT 10""")
+def q_top_products(spark, d):
+    # A top-k report: the limit is the feature.  Spark plans an ordered limit
+    # as a per-task top-10 and one merge of at most 10 rows per task.
+    from pyspark.sql import functions as F
+    from tierline.functions.money import money_sum
+    from tierline.operators.preview import preview
+    lines = V.sales(spark, d, status="COMPLETED").join(
+        V.products(spark, d).select("product_id", "product_name", "category"), "product_id", "left")
+    per_product = lines.groupBy("product_id", "product_name", "category").agg(
+        money_sum("total_amount").alias("total_revenue"))
+    return preview(per_product, 10, [F.desc("total_revenue"), F.asc("product_id")])
