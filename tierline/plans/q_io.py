@@ -310,3 +310,16 @@ def q_gold_job(spark, d):
     to_gold(V.sales(spark, d), V.products(spark, d), root, as_of=AS_OF,
             orders_hdr=V.orders_hdr(spark, d))
     return I.table_counts({t: read_table(spark, f"{root}/{t}") for t in GOLD_TABLES})
+
+
+@register("json_roundtrip", "SRC-3, SRC-1, CLN-4", "SELECT * FROM events")
+def q_json_roundtrip(spark, d):
+    ev = V.table(spark, d, "events")
+    path = scratch_path(spark, "json")
+    # Microsecond timestamps (the writer's default pattern stops at millis).
+    ev.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    # Spark writes JSON lines, so multiLine is turned off for this read; every
+    # leaf arrives as text (primitivesAsString) and the schema restores types.
+    back = read_source(spark, path, "json", multiLine=False)
+    assert all(t == "string" for _, t in back.dtypes)
+    return enforce_schema(back, ev.schema)
