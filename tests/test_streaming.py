@@ -80,3 +80,25 @@ def test_stream_dedup_drops_repeats(spark, tmp_dir):
          .trigger(availableNow=True).start(tmp_dir + "/out"))
     q.awaitTermination()
     assert sorted(r["k"] for r in spark.read.parquet(tmp_dir + "/out").collect()) == [1, 2]
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
+    import glob as _glob
+    dest = tmp_dir + "/gold"
+    base = spark.range(200).select(F.col("id").alias("k"), F.lit("v0").alias("v"))
+    S.write_buckets(base, dest, ["k"], 16, 0)
+    run = S.upsert_batch_writer(dest, ["k"], buckets=16)
+    batch = spark.createDataFrame([(3, "v1"), (5, "v1"), (500, "new")], "k long, v string")
+    run(batch, 0)
+    touched = {r[0] for r in batch.select(S.bucket_of(["k"], 16)).collect()}
+    written = {int(p.split("_bucket=")[1].split("/")[0])
+               for p in _glob.glob(dest + "/_bucket=*/version=1")}
+    assert written == touched                                  # untouched buckets not rewritten
+    state = {r["k"]: r["v"] for r in S.latest_version(spark, dest, buckets=16).collect()}
+    assert len(state) == 201 and state[3] == state[5] == "v1" and state[500] == "new" and state[7] == "v0"
+    run(batch, 0)                                              # a retried epoch
+    again = {r["k"]: r["v"] for r in S.latest_version(spark, dest, buckets=16).collect()}
+    assert again == state
+    run(spark.createDataFrame([(3, "v2")], "k long, v string"), 1)
+    final = {r["k"]: r["v"] for r in S.latest_version(spark, dest, buckets=16).collect()}
+    assert final[3] == "v2" and final[5] == "v1" and len(final) == 201

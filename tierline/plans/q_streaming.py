@@ -16,6 +16,7 @@ from tierline.session import scratch_path
 from tierline.streaming import pipelines as S
 
 ALERT_DELAY = "1 hour"
+UPSERT_BUCKETS = 16
 
 
 def _schema(spark, d, name):
@@ -64,10 +65,12 @@ FROM customer""")
 def q_stream_upsert(spark, d):
     dest, ck = scratch_path(spark, "stream-gold"), scratch_path(spark, "ck-gold")
     base = V.table(spark, d, "customer").withColumn("c_acctbal", F.col("c_acctbal") - 1)
-    S.write_version(base, dest, 0)
+    # Hash-bucketed gold table: each micro-batch rewrites only the buckets it touches.
+    S.write_buckets(base, dest, ["c_custkey"], UPSERT_BUCKETS, 0)
     src = S.read_stream(spark, d, _schema(spark, d, "customer"), glob="customer.parquet")
-    S.stream_upsert(src.filter(F.col("c_custkey") % 2 == 0), dest, ["c_custkey"], ck)
-    return S.latest_version(spark, dest)
+    S.stream_upsert(src.filter(F.col("c_custkey") % 2 == 0), dest, ["c_custkey"], ck,
+                    buckets=UPSERT_BUCKETS)
+    return S.latest_version(spark, dest, buckets=UPSERT_BUCKETS)
 
 
 @register("stream_usage_alerts", "STR-3, MON-2", V.with_views("log") + """

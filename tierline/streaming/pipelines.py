@@ -97,10 +97,18 @@ def stream_usage_alerts(df: DataFrame, ts: str, delay: str, resource: str = "res
     return out.filter(F.col("total_usage") > threshold)
 
 
-def latest_version(spark: SparkSession, dest: str, before: int | None = None) -> DataFrame | None:
-    """The newest version (below ``before``, if given) of a table written by
-    ``stream_upsert``; ``None`` when there is none.  The version is a
-    partition column, so only that version's files are read."""
+BUCKET_COL = "_bucket"
+
+
+def latest_version(spark: SparkSession, dest: str, before: int | None = None,
+                   buckets: int | None = None) -> DataFrame | None:
+    """The current state of a table written by ``stream_upsert``; ``None``
+    when nothing is written yet.
+
+    Whole-table versions: the newest version (below ``before``).  Bucketed
+    tables: per bucket its newest version, found from the partition values
+    and applied through a broadcast table with at most one row per bucket
+    (a proven bound), so only the current files are read."""
     try:
         df = spark.read.parquet(dest)
     except Exception as e:
@@ -109,33 +117,80 @@ def latest_version(spark: SparkSession, dest: str, before: int | None = None) ->
         raise
     if before is not None:
         df = df.filter(F.col(VERSION_COL) < before)
-    top = df.agg(F.max(VERSION_COL)).first()[0]
-    return None if top is None else df.filter(F.col(VERSION_COL) == top).drop(VERSION_COL)
+    if buckets is None:
+        top = df.agg(F.max(VERSION_COL)).first()[0]
+        return None if top is None else df.filter(F.col(VERSION_COL) == top).drop(VERSION_COL)
+    return _newest_per_bucket(df)
+
+
+def _newest_per_bucket(df: DataFrame) -> DataFrame:
+    newest = df.groupBy(BUCKET_COL).agg(F.max(VERSION_COL).alias(VERSION_COL))
+    return df.join(F.broadcast(newest), [BUCKET_COL, VERSION_COL]).drop(VERSION_COL, BUCKET_COL)
 
 
 def write_version(df: DataFrame, dest: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{dest.rstrip('/')}/{VERSION_COL}={version}")
 
 
+def bucket_of(keys: Sequence[str], buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def write_buckets(df: DataFrame, dest: str, keys: Sequence[str], buckets: int, version: int) -> None:
+    """Write ``df`` as version ``version`` of the buckets it touches.  Only
+    those (bucket, version) partitions are replaced, so a retried epoch
+    rewrites its own output and never deletes an older version."""
+    (df.withColumn(BUCKET_COL, bucket_of(keys, buckets)).withColumn(VERSION_COL, F.lit(version))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET_COL, VERSION_COL).parquet(dest))
+
+
 def upsert_batch_writer(dest: str, keys: Sequence[str],
-                        prepare: Callable[[DataFrame], DataFrame] | None = None):
-    """``foreachBatch`` function: merge micro-batch ``epoch`` into the newest
-    older version and write the result as version ``epoch + 1`` (version 0
-    is an optional initial load).  Re-running an epoch rebuilds the same
-    version from the same inputs, so retries are idempotent."""
+                        prepare: Callable[[DataFrame], DataFrame] | None = None,
+                        buckets: int | None = None):
+    """``foreachBatch`` function merging micro-batch ``epoch`` into the table.
+
+    Whole-table mode (``buckets=None``): merge into the newest version below
+    ``epoch + 1`` and write version ``epoch + 1``.  Bucketed mode: only the
+    buckets the batch touches are read (partition pruning) and written as
+    version ``epoch + 1``; untouched buckets are not rewritten.  Either way a
+    re-run epoch rebuilds the same output from the same inputs (version 0 is
+    an optional initial load)."""
     def run(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         updates = prepare(batch) if prepare else batch
-        base = latest_version(spark, dest, before=epoch + 1)
+        if buckets is None:
+            base = latest_version(spark, dest, before=epoch + 1)
+            merged = updates if base is None else upsert(base, updates, keys)
+            write_version(merged, dest, epoch + 1)
+            return
+        # At most ``buckets`` values come back: the touched bucket ids.
+        touched = [r[0] for r in updates.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]
+        if not touched:
+            return
+        try:
+            stored = spark.read.parquet(dest)
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            stored = None
+        base = None
+        if stored is not None:
+            # Partition filters: only the touched buckets' directories are read.
+            base = _newest_per_bucket(stored.filter(F.col(BUCKET_COL).isin(touched)
+                                                    & (F.col(VERSION_COL) < epoch + 1)))
         merged = updates if base is None else upsert(base, updates, keys)
-        write_version(merged, dest, epoch + 1)
+        write_buckets(merged, dest, keys, buckets, epoch + 1)
     return run
 
 
 def stream_upsert(df: DataFrame, dest: str, keys: Sequence[str], checkpoint: str,
-                  prepare: Callable[[DataFrame], DataFrame] | None = None, wait: bool = True):
-    """Merge a stream of updates into the versioned table at ``dest``."""
-    q = (df.writeStream.foreachBatch(upsert_batch_writer(dest, keys, prepare))
+                  prepare: Callable[[DataFrame], DataFrame] | None = None, wait: bool = True,
+                  buckets: int | None = None):
+    """Merge a stream of updates into the versioned table at ``dest``
+    (bucketed by key hash when ``buckets`` is given, see
+    ``upsert_batch_writer``)."""
+    q = (df.writeStream.foreachBatch(upsert_batch_writer(dest, keys, prepare, buckets))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     if wait:
         q.awaitTermination()
