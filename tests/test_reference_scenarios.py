@@ -125,3 +125,19 @@ def test_bronze_into_catalog_table_is_incremental(spark, tmp_dir):
         assert sorted(r["order_id"] for r in spark.table("tl_bronze_orders").collect()) == [1, 2, 3]
     finally:
         spark.sql("DROP TABLE IF EXISTS tl_bronze_orders")
+
+
+def test_gold_tables_in_a_catalog_schema(spark):
+    from tierline.plans import views as V
+    from tierline.plans.jobs import GOLD_TABLES, to_gold
+    from conftest import SF_SMALL
+    spark.sql("CREATE DATABASE IF NOT EXISTS tl_gold")
+    try:
+        written = to_gold(V.sales(spark, SF_SMALL), V.products(spark, SF_SMALL), "tl_gold",
+                          as_of="2001-08-02", orders_hdr=V.orders_hdr(spark, SF_SMALL), as_table=True)
+        for name in GOLD_TABLES:
+            assert spark.table(f"tl_gold.{name}").count() == written[name] > 0
+        parts = spark.sql("SHOW PARTITIONS tl_gold.category_performance").count()
+        assert parts > 1
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS tl_gold CASCADE")

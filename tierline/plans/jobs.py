@@ -105,8 +105,9 @@ GOLD_TABLES = {
 
 def to_gold(orders: DataFrame, products: DataFrame, dest_root: str, as_of=None,
             orders_hdr: DataFrame | None = None, cluster: bool = True,
-            segments: dict | None = None) -> dict:
-    """Build and write the five gold tables under ``dest_root``; returns the
+            segments: dict | None = None, as_table: bool = False) -> dict:
+    """Build and write the five gold tables under ``dest_root`` (a folder, or
+    with ``as_table`` a catalog schema: ``<dest_root>.<table>``); returns the
     rows written per table (counted on the write itself).
 
     ``category_performance`` is partitioned by (year, month); every table is
@@ -124,6 +125,7 @@ def to_gold(orders: DataFrame, products: DataFrame, dest_root: str, as_of=None,
     for name, df in tables.items():
         parts = ["year", "month"] if name == "category_performance" else []
         out = zorder(df, GOLD_TABLES[name], partition_by=parts, materialize=True) if cluster else df
-        written[name] = write_table(out, f"{dest_root.rstrip('/')}/{name}", mode="overwrite",
-                                    partition_by=parts)["rows"]
+        dest = f"{dest_root}.{name}" if as_table else f"{dest_root.rstrip('/')}/{name}"
+        written[name] = write_table(out, dest, mode="overwrite", partition_by=parts,
+                                    as_table=as_table)["rows"]
     return written
