@@ -93,6 +93,14 @@ def to_silver(bronze: DataFrame, keys: Sequence[str] = (), order_by: Sequence[st
     return C.with_processed_ts(df, processed_ts)
 
 
+def publish_silver(silver: DataFrame, dest: str, keys: Sequence[str], as_table: bool = False,
+                   cluster: bool = True) -> dict:
+    """Write the validated table (overwrite), clustered on the first two
+    primary keys as the reference's silver step does; returns rows written."""
+    out = zorder(silver, list(keys)[:2], materialize=True) if (cluster and keys) else silver
+    return write_table(out, dest, mode="overwrite", as_table=as_table)
+
+
 # The gold tables and the columns the reference clusters them on.
 GOLD_TABLES = {
     "daily_sales_summary": ["date"],

@@ -237,7 +237,7 @@ def q_audit_row(spark, d):
 
 # --- layer jobs -------------------------------------------------------------
 
-from tierline.plans.jobs import GOLD_TABLES, to_bronze, to_gold, to_silver  # noqa: E402
+from tierline.plans.jobs import GOLD_TABLES, publish_silver, to_bronze, to_gold, to_silver  # noqa: E402
 
 INGEST_TS_FIXED = "2024-01-01 00:00:00"
 
@@ -271,7 +271,7 @@ def q_bronze_job(spark, d):
 SILVER_AS_OF = "1998-01-01"
 
 
-@register("silver_job", "SLV-1, CLN-1, CLN-6, DQ-4, DQ-5, PRJ-2", f"""
+@register("silver_job", "SLV-1, CLN-1, CLN-6, DQ-4, DQ-5, PRJ-2, SNK-7", f"""
 SELECT l_orderkey, l_linenumber, l_partkey, trim(l_returnflag) AS l_returnflag, ship_date,
        _ingest_timestamp,
        CASE WHEN ship_date > DATE '{SILVER_AS_OF}' THEN 'ship_date:future_date' ELSE '' END
@@ -289,10 +289,13 @@ def q_silver_job(spark, d):
                        F.concat(F.lit(" "), "l_returnflag").alias("l_returnflag"),
                        F.to_date("l_shipdate").alias("ship_date"),
                        F.col("l_shipdate").alias("_ingest_timestamp"))
-    out = to_silver(bronze, keys=["l_orderkey", "l_linenumber"], ties=["l_partkey"],
-                    as_of=SILVER_AS_OF, processed_ts=INGEST_TS_FIXED)
-    return out.withColumn("_silver_processed_timestamp",
-                          F.col("_silver_processed_timestamp").cast("timestamp_ntz"))
+    keys = ["l_orderkey", "l_linenumber"]
+    out = to_silver(bronze, keys=keys, ties=["l_partkey"], as_of=SILVER_AS_OF,
+                    processed_ts=INGEST_TS_FIXED)
+    path = scratch_path(spark, "silver")
+    publish_silver(out, path, keys)
+    return read_table(spark, path).withColumn(
+        "_silver_processed_timestamp", F.col("_silver_processed_timestamp").cast("timestamp_ntz"))
 
 
 @register("gold_job", "GLD-1..6, SNK-2, SNK-7, VAL-1", V.with_views("sales", "orders_hdr", "products") + """
