@@ -141,3 +141,19 @@ def test_gold_tables_in_a_catalog_schema(spark):
         assert parts > 1
     finally:
         spark.sql("DROP DATABASE IF EXISTS tl_gold CASCADE")
+
+
+def test_bronze_optimize_step_keeps_rows(spark, tmp_dir):
+    import os
+    from tierline.plans.jobs import to_bronze
+    from tierline.operators.layout import table_detail
+    land = tmp_dir + "/land"
+    for day in ("2023-06-01", "2023-06-02"):
+        os.makedirs(f"{land}/dt={day}")
+        with open(f"{land}/dt={day}/orders1.csv", "w") as fh:
+            fh.write("order_id,total_amount\n" + "".join(f"{i},{i}.5\n" for i in range(50)))
+    facts = to_bronze(spark, land, tmp_dir + "/bronze", mode="full", glob="orders*.csv",
+                      partition_by=["dt"], min_rows_to_optimize=10, ingest_ts="2024-01-01 00:00:00")
+    opt = spark.read.parquet(facts["optimized_path"])
+    assert opt.count() == facts["final_rows"] == 100
+    assert table_detail(opt).first()["num_directories"] == 2

@@ -63,15 +63,17 @@ def to_bronze(spark: SparkSession, source: str, dest: str, fmt: str = "csv",
     facts["final_rows"] = total
     if wm is not None:
         facts["new_rows"] = I.new_rows(final, watermark_col, wm).first()["new_records"]
-    if optimize and needs_compaction(total, min_rows_to_optimize) and partition_by:
-        # Cluster the table on its first two partition columns, written beside
-        # the table (a path cannot be overwritten while it is being read).
+    if optimize and needs_compaction(total, min_rows_to_optimize):
+        # Compaction, written beside the table (a path cannot be replaced while
+        # it is read): partitioned tables are rebalanced on their partition
+        # columns (evenly sized files per directory; clustering on the
+        # partition columns themselves would add nothing), others coalesced.
         facts["optimized_path"] = dest.rstrip("/") + "__optimized"
-        write_table(zorder(final, list(partition_by)[:2]), facts["optimized_path"],
-                    partition_by=partition_by, as_table=as_table)
-    elif optimize and needs_compaction(total, min_rows_to_optimize):
-        facts["optimized_path"] = dest.rstrip("/") + "__optimized"
-        write_table(compact(final), facts["optimized_path"], as_table=as_table)
+        if partition_by:
+            write_table(final, facts["optimized_path"], partition_by=partition_by,
+                        rebalance=True, as_table=as_table)
+        else:
+            write_table(compact(final), facts["optimized_path"], as_table=as_table)
     return facts
 
 
