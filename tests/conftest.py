@@ -23,7 +23,7 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", ckpt)
+        s.sparkContext.setCheckpointDir(ckpt)
     yield s
     s.stop()
 

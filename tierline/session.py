@@ -58,9 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the "
                                "cluster's distributed file system) before running tierline jobs")
-        root = tempfile.mkdtemp(prefix="tierline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        # Only the context's setting: the session conf of that name is static.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tierline-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
