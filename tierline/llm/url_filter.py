@@ -33,6 +33,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierline.llm.common import stable
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 Rule = tuple[str, str, str]      # host suffix, path prefix, verdict
@@ -76,8 +78,9 @@ def segments(path: Column, depth: int) -> Column:
 
 def template_tree(shapes: DataFrame, depth: int, min_support: int, min_share: float) -> DataFrame:
     """``shapes`` (host, segs, n, n_lab, n_block) with ``tpl``, the generalised
-    segments.  One aggregate and one join per level, on counted rows."""
-    out = shapes.withColumn("tpl", F.array().cast("array<string>"))
+    segments.  One aggregate and one join per level, on counted rows; each
+    level is checkpointed, as the next one reads it twice."""
+    out = stable(shapes.withColumn("tpl", F.array().cast("array<string>")))
     for d in range(depth + 1):
         seg = F.element_at("segs", d + 1)
         here = out.filter(F.size("segs") > d).select("host", "tpl", seg.alias("seg"), "n")
@@ -92,6 +95,7 @@ def template_tree(shapes: DataFrame, depth: int, min_support: int, min_share: fl
         out = (out.join(literal, on, "left")
                .withColumn("tpl", F.when(F.size("segs") > d, F.concat("tpl", F.array(node))).otherwise(F.col("tpl")))
                .drop("l_host", "l_tpl", "l_seg"))
+        out = stable(out)
     return out
 
 
@@ -115,12 +119,12 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
     """One row per page: ``id_col, host, path, rule, template, verdict``."""
     host, path = split_url(F.col(url_col))
     p = apply_rules(pages.select(F.col(id_col), host.alias("host"), path.alias("path")), rules)
-    p = p.withColumn("segs", segments(F.col("path"), depth))
+    p = stable(p.withColumn("segs", segments(F.col("path"), depth)))
     shapes = p.groupBy("host", "segs").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("n_lab"),
                                            F.count_if(F.col("label") == "block").alias("n_block"))
     tree = template_tree(shapes, depth, min_support, min_share)
     tpls = tree.groupBy("host", "tpl").agg(F.sum("n_lab").alias("n_lab"), F.sum("n_block").alias("n_block"))
-    total = shapes.agg(F.coalesce(F.sum("n_lab"), F.lit(0)).alias("t_lab"),
+    total = tree.agg(F.coalesce(F.sum("n_lab"), F.lit(0)).alias("t_lab"),
                        F.coalesce(F.sum("n_block"), F.lit(0)).alias("t_block")).first()   # two numbers
     prior = total["t_block"] / total["t_lab"] if total["t_lab"] else 0.0
     purity = (F.col("m_block") + k * prior) / (F.col("m_lab") + k)
