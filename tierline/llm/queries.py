@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tierline.llm import sql
 from tierline.llm.common import table
 from tierline.llm.line_chunks import dedup_lines
+from tierline.llm.quality_rules import judge_quality
 from tierline.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op8_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"))
+
+
 #: The fixed rules of the URL query: host, path, verdict.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
