@@ -12,6 +12,7 @@ from tierline.llm import sql
 from tierline.llm.common import table
 from tierline.llm.line_chunks import dedup_lines
 from tierline.llm.quality_rules import judge_quality
+from tierline.llm.syncmer import compare_with_next
 from tierline.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +35,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op7_fingerprints")
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op8_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
