@@ -12,6 +12,7 @@ from tierline.llm import sql
 from tierline.llm.common import table
 from tierline.llm.line_chunks import dedup_lines
 from tierline.llm.quality_rules import judge_quality
+from tierline.llm.simhash import near_duplicates
 from tierline.llm.syncmer import compare_with_next
 from tierline.llm.url_filter import judge_urls
 
@@ -28,6 +29,11 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op3_simhash")
+def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 @query("op4_line_dedup", sql.LINE_DEDUP)
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
