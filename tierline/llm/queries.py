@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import sql
+from tierline.llm import langid, sql
 from tierline.llm.common import table
 from tierline.llm.line_chunks import dedup_lines
 from tierline.llm.quality_rules import judge_quality
@@ -41,6 +41,14 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op5_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out()).select("doc_id", "text", "lang"))
+    return (langid.predict(docs.select("doc_id", "text"), model)
+            .select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"))
+
+
 @query("op7_fingerprints")
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
