@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import langid, sql
+from tierline.llm import bpe, langid, sql
 from tierline.llm.common import table
 from tierline.llm.line_chunks import dedup_lines
 from tierline.llm.quality_rules import judge_quality
@@ -49,6 +49,16 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"))
 
 
+@query("op6_bpe")
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return (bpe.digest(bpe.decode(coded, ranks))
+            .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
+
+
 @query("op7_fingerprints")
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
