@@ -87,10 +87,10 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], n_langs: int, alpha: float, beta: float,
-             l1: float, l2: float, epochs: int) -> np.ndarray:
-    """Weights (DIM x n_langs) after ``epochs`` passes over (columns, values,
+             l1: float, l2: float, epochs: int, dim: int = DIM) -> np.ndarray:
+    """Weights (dim x n_langs) after ``epochs`` passes over (columns, values,
     class) rows, in their order."""
-    z, n = np.zeros((DIM, n_langs)), np.zeros((DIM, n_langs))
+    z, n = np.zeros((dim, n_langs)), np.zeros((dim, n_langs))
 
     def weights(zz, nn):
         return np.where(np.abs(zz) <= l1, 0.0, (np.sign(zz) * l1 - zz) / ((beta + np.sqrt(nn)) / alpha + l2))

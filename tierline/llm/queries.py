@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import bpe, langid, sql
+from tierline.llm import bpe, langid, license_scan, sql
 from tierline.llm.common import table
 from tierline.llm.line_chunks import dedup_lines
 from tierline.llm.quality_rules import judge_quality
@@ -29,6 +29,17 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op2_license_scan")
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan(docs, license_scan.train(docs))
+    known = F.expr("filter(licences, x -> x.family <> 'unknown')")
+    return found.select("doc_id", "n_paragraphs", F.size(known).alias("n_confirmed"),
+                        (F.size("licences") - F.size(known)).alias("n_unknown"),
+                        F.array_join(F.array_sort(F.array_distinct(F.transform(known, lambda x: x["family"]))), ",").alias("families"),
+                        F.array_max(F.transform("licences", lambda x: x["score"])).alias("top_score"))
+
+
 @query("op3_simhash")
 def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
