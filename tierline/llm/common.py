@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,28 @@ def doc_key(id_col="doc_id", text_col="text") -> Column:
     return F.struct(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("h"))
 
 
+def ddl_of(fields) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
+def packed(df: DataFrame, text_col: str) -> DataFrame:
+    """``df`` with the text as zstd-compressed UTF-8 (null: empty): about 0.4
+    of the bytes, where Spark's own block compression leaves 0.9 in a shuffle
+    of whole texts."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            cols = b.columns
+            cols[at] = pa.array([pack((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in cols[at]], pa.binary())
+            yield pa.RecordBatch.from_arrays(cols, b.schema.names)
+
+    ddl = ", ".join(f"`{f.name}` {'binary' if f.name == text_col else f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInArrow(run, ddl)
+
+
 def fresh(name: str, df: DataFrame) -> str:
     """``name``, with underscores added until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tierline.llm.common import stable
+from tierline.llm.common import packed, stable
 
 K, S, SIZE = 16, 5, 32
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -114,7 +114,12 @@ def fingerprint_docs(docs: DataFrame, text_col: str = "text", out: str = "finger
 
 _RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, print binary, edited_print binary, "
            "near_edited double, near_next double")
-_EDGE = "part int, side int, text string"
+_EDGE = "part int, side int, text binary"
+
+
+def _unpack(z: bytes) -> str:
+    import zstandard
+    return zstandard.ZstdDecompressor().decompress(z).decode("utf-8", "surrogatepass")
 
 
 def _compare(doc_id, text: str, own: np.ndarray, after: str, after_print: np.ndarray) -> tuple:
@@ -134,14 +139,13 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     as many (or all) of the next document in ascending id order (after the
     last: the first; null ids come first; equal ids by text hash and text).
 
-    Whole documents are shuffled once, by ranges of (id, text hash).  Each
+    Whole documents, compressed, are shuffled once, by ranges of (id, text hash).  Each
     task walks its sorted rows and holds one document back; the last document
     of a range meets the first of the next range in a second, small join over
     two rows per range.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    ranged = (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-              .withColumn("h", F.xxhash64("text"))
+    ranged = (packed(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h")), "text")
               .repartitionByRange(F.asc_nulls_first("doc_id"), F.asc("h"))
               .sortWithinPartitions(F.asc_nulls_first("doc_id"), "h", "text")
               .withColumn("part", F.spark_partition_id()))
@@ -151,17 +155,17 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         held = None
         for b in batches:
             out = []
-            for doc_id, t, part in zip(b["doc_id"].astype("Int64"), b["text"], b["part"], strict=True):
-                doc_id = None if doc_id is pd.NA else int(doc_id)
+            for doc_id, z, part in zip(b["doc_id"].astype("Int64"), b["text"], b["part"], strict=True):
+                doc_id, t = None if doc_id is pd.NA else int(doc_id), _unpack(z)
                 own = sketch(codes_of(t))
                 if held is None:
-                    out.append((None,) * 7 + (part, 0, t))
+                    out.append((None,) * 7 + (part, 0, z))
                 else:
                     out.append(_compare(*held[:3], t, own) + (None, None, None))
-                held = (doc_id, t, own, part)
+                held = (doc_id, t, own, part, z)
             yield pd.DataFrame(out, columns=cols).astype({"doc_id": "Int64", "n_chars": "Int64", "part": "Int32", "side": "Int32"})
         if held is not None:
-            yield pd.DataFrame([(held[0],) + (None,) * 6 + (held[3], 1, held[1])], columns=cols).astype(
+            yield pd.DataFrame([(held[0],) + (None,) * 6 + (held[3], 1, held[4])], columns=cols).astype(
                 {"doc_id": "Int64", "n_chars": "Int64", "part": "Int32", "side": "Int32"})
 
     walked = stable(ranged.select("doc_id", "text", "part").mapInPandas(walk, f"{_RESULT}, {_EDGE}"))
@@ -178,7 +182,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc_id, t, after in zip(b["doc_id"].astype("Int64"), b["text"], b["after"], strict=True):
+            for doc_id, t, after in zip(b["doc_id"].astype("Int64"), map(_unpack, b["text"]), map(_unpack, b["after"]), strict=True):
                 out.append(_compare(None if doc_id is pd.NA else int(doc_id), t, sketch(codes_of(t)),
                                     after, sketch(codes_of(after))))
             yield pd.DataFrame(out, columns=cols[:7]).astype({"doc_id": "Int64", "n_chars": "Int64"})
