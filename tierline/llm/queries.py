@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tierline.llm import bpe, langid, license_scan, sql
 from tierline.llm.common import table
 from tierline.llm.line_chunks import dedup_lines
+from tierline.llm.packing import pack
 from tierline.llm.quality_rules import judge_quality
 from tierline.llm.simhash import near_duplicates
 from tierline.llm.syncmer import compare_with_next
@@ -29,6 +30,11 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op1_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op2_license_scan")
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
