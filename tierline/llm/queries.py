@@ -14,6 +14,7 @@ from tierline.llm.line_chunks import dedup_lines
 from tierline.llm.packing import pack
 from tierline.llm.quality_rules import judge_quality
 from tierline.llm.simhash import near_duplicates
+from tierline.llm.suffix_index import remove_repeats
 from tierline.llm.syncmer import compare_with_next
 from tierline.llm.url_filter import judge_urls
 
@@ -94,3 +95,9 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
 @query("op9_url_filter", sql.URL_FILTER)
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+@query("op10_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), min_match=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
