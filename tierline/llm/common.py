@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.session import checkpoint_root
+from tierline.session import checkpoint_root, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,19 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` as a Parquet table in the shared folder, read again, and its path."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_written(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``written`` has made and nobody reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def text_or_empty(col="text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -34,8 +34,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tierline.llm.common import stable
+from tierline.llm.common import fresh, stable
 from tierline.llm.components import components
 
 SAMPLE, HEAVY = 64, 32
@@ -166,16 +167,39 @@ def _bucket_edges(rows: DataFrame, radius: int) -> DataFrame:
     return buckets.mapInArrow(run, "a bigint, b bigint")
 
 
+def _classes(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, root): every distinct fingerprint and its component's smallest."""
+    fps = stable(rows.select("fp").distinct())
+    roots = components(links(fps, radius))
+    return fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 4, radius: int = 4) -> DataFrame:
     """One row per document: ``id_col, fingerprint`` (16 hex digits),
     ``component_id`` (the smallest id reachable over links)."""
     rows = stable(fingerprints(docs.select(id_col, text_col), text_col, "fp", shingle))
-    classes = stable(rows.groupBy("fp").agg(F.min(id_col).alias("low")))        # copies collapse here
-    roots = components(links(classes.select("fp"), radius))
-    joined = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
-    smallest = joined.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = joined.join(smallest, "root").select("fp", "component_id")
+    classes = stable(_classes(rows, radius))
+    lowest = rows.groupBy("fp").agg(F.min(id_col).alias("low"))                 # copies collapse here
+    smallest = lowest.join(classes, "fp").groupBy("root").agg(F.min("low").alias("component_id"))
+    named = classes.join(smallest, "root").select("fp", "component_id")
     return (rows.join(named, "fp")
             .select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               shingle: int = 4, radius: int = 4) -> DataFrame:
+    """``docs`` with one document of each component: the smallest id (null
+    ids last), among equal ids the smallest text hash; of rows equal in both,
+    one stays."""
+    d_id, d_h = fresh("__id", docs), fresh("__h", docs)
+    keyed = docs.withColumns({d_id: F.coalesce(F.col(id_col).cast("bigint"), F.lit((1 << 63) - 1)),
+                              d_h: F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
+    rows = stable(fingerprints(keyed.select(d_id, d_h, text_col), text_col, "fp", shingle))
+    place = F.struct(F.col(d_id).alias("id"), F.col(d_h).alias("h"))
+    first = (rows.groupBy("fp").agg(F.min(place).alias("place")).join(_classes(rows, radius), "fp")
+             .groupBy("root").agg(F.min("place").alias("place")).select(F.col("place.id").alias(d_id), F.col("place.h").alias(d_h)))
+    one = F.row_number().over(Window.partitionBy(d_id, d_h).orderBy(d_id))
+    n = fresh("__n", docs)
+    return (keyed.withColumn(n, one).filter(F.col(n) == 1).drop(n)
+            .join(stable(first), [d_id, d_h], "left_semi").drop(d_id, d_h))
