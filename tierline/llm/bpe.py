@@ -142,8 +142,8 @@ def _packs(docs: DataFrame, text_col: str, pattern: str, pack_chars: int) -> Dat
 def encode(docs: DataFrame, ranks: Ranks, pattern: str, text_col: str = "text", ids_col: str = "ids",
            pack_chars: int = 8_000_000) -> DataFrame:
     """``docs`` without the text, with ``ids_col``: array<int>."""
-    spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(ranks)         # the vocabulary: bounded, not by the corpus
+    docs = docs.drop(ids_col)
+    table = docs.sparkSession.sparkContext.broadcast(ranks)         # the vocabulary: bounded, not by the corpus
     packs = stable(_packs(docs, text_col, pattern, pack_chars))
     words = packs.select("pack", F.posexplode("words").alias("no", "word"))
 
@@ -196,6 +196,7 @@ def encode(docs: DataFrame, ranks: Ranks, pattern: str, text_col: str = "text",
 
 def decode(coded: DataFrame, ranks: Ranks, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``coded`` with ``out``: the bytes of the ids."""
+    coded = coded.drop(out)
     tokens = sorted(ranks.items(), key=lambda x: x[1])
     size = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
     for t, r in tokens:
@@ -224,7 +225,7 @@ def decode(coded: DataFrame, ranks: Ranks, ids_col: str = "ids", out: str = "dec
 def digest(coded: DataFrame, ids_col: str = "ids") -> DataFrame:
     """``n_tokens`` and ``ids_sha256`` (ids as little-endian 32-bit) beside
     the other columns; the ids themselves go."""
-    rest = [f for f in coded.schema.fields if f.name != ids_col]
+    rest = [f for f in coded.schema.fields if f.name not in (ids_col, "n_tokens", "ids_sha256")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierline.llm.common import ddl_of
+
 DIM = 1 << 15
 _LETTER: list[np.ndarray] = []
 
@@ -177,9 +179,8 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                 [*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                 [*b.schema.names, lang_out, score_out])
 
-    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields),
-                     f"`{lang_out}` string", f"`{score_out}` double"])
-    return docs.mapInArrow(run, ddl)
+    docs = docs.drop(lang_out, score_out)
+    return docs.mapInArrow(run, f"{ddl_of(docs.schema.fields)}, `{lang_out}` string, `{score_out}` double")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

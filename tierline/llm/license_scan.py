@@ -151,7 +151,7 @@ def scan(docs: DataFrame, model: LicenseModel, text_col: str = "text", out: str
          count_col: str = "n_paragraphs") -> DataFrame:
     """``docs`` without the text, with ``count_col`` and ``out``: the licence
     paragraphs found (line number from 0, family or ``unknown``)."""
-    rest = [f for f in docs.schema.fields if f.name != text_col]
+    rest = [f for f in docs.schema.fields if f.name not in (text_col, count_col, out)]
     kind = pa.list_(pa.struct([("paragraph", pa.int32()), ("family", pa.string()), ("score", pa.float64()), ("similarity", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -71,10 +71,10 @@ def repeated_chunks(chunked: DataFrame, id_col: str, key: str, chunks: str) -> D
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = 3) -> DataFrame:
     """``docs`` with repeated chunks cut out of the text, and the columns
     ``n_chunks, n_removed, removed_lines``."""
-    key, chunks, gone = (fresh(c, docs) for c in ("__key", "__chunks", "__gone"))
+    key, other, chunks, gone = (fresh(c, docs) for c in ("__key", "__other", "__chunks", "__gone"))
     chunked = with_chunks(docs.withColumn(key, doc_key(id_col, text_col)), text_col, divisor, chunks)
-    cut = repeated_chunks(chunked, id_col, key, chunks).withColumnRenamed(key, "__k").withColumnRenamed("gone", gone)
-    j = chunked.join(cut, F.col(key).eqNullSafe(F.col("__k")), "left").drop("__k", key)
+    cut = repeated_chunks(chunked, id_col, key, chunks).withColumnRenamed(key, other).withColumnRenamed("gone", gone)
+    j = chunked.join(cut, F.col(key).eqNullSafe(F.col(other)), "left").drop(other, key)
     is_gone = f"coalesce(array_contains({gone}, i), false)"
     kept = F.expr(f"array_join(transform(filter({chunks}, (c, i) -> not {is_gone}), c -> c.text), '\n')")
     lost = F.expr(f"aggregate(filter({chunks}, (c, i) -> {is_gone}), 0, (a, c) -> a + c.lines)")

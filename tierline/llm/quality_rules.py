@@ -42,7 +42,6 @@ from tierline.llm.common import stable
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 SYMBOLS = "#*$%&|<>"
-_SPACES = re.compile(r"[\x20\x09-\x0D]")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -87,13 +86,14 @@ def _count(text: str | None) -> tuple[int, int, int, int, int]:
 
 def text_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without the text, with the counts of ``STATS``."""
-    rest = [f for f in docs.schema.fields if f.name != text_col]
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    rest = [f for f in docs.schema.fields if f.name not in (text_col, *made)]
     names = [f.name for f in rest]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = pd.DataFrame([_count(t) for t in b[text_col]], dtype="int64",
-                               columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
+                               columns=made)
             yield pd.concat([b[names].reset_index(drop=True), got], axis=1)
 
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), STATS])

@@ -304,25 +304,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("min_match must be from 40 to 4000")
     window = min(window, width - WORD + 1)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumns({"k_id": F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)), "k_h": F.xxhash64(text)})
+    made = (kept_col, "n_bytes", "n_removed", "n_spans")
+    rest = [f"`{c}`" for c in docs.columns if c != text_col and c not in made]
+    # The other columns travel as one, so that no name of theirs can clash.
+    keyed = docs.select(F.struct(*rest).alias("row"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("k_id"),
+                        F.xxhash64(text).alias("k_h"), F.col(text_col).alias("text"))
     index = SuffixIndex()
     for i in range(batches):
         part = keyed.filter(F.pmod(F.xxhash64("k_id", "k_h"), F.lit(batches)) == i) if batches > 1 else keyed
-        index.add(suffixes(part, text_col, width, window, places=False))
-    found = (suffixes(keyed, text_col, width, window, places=True).join(stable(index.repeats()), ["core", "context"])
+        index.add(suffixes(part, "text", width, window, places=False))
+    found = (suffixes(keyed, "text", width, window, places=True).join(stable(index.repeats()), ["core", "context"])
              .select("k_id", "k_h", (F.shiftleft("pos", 3).bitwiseOR(F.col("status").cast("bigint"))).alias("mark")))
     marks = stable(found.groupBy("k_id", "k_h").agg(F.collect_list("mark").alias("marks")))
-    marked = packed(keyed, text_col).join(marks, ["k_id", "k_h"], "left")
+    marked = packed(keyed, "text").join(marks, ["k_id", "k_h"], "left")
 
-    groups = (_runs(marked, text_col, width, window, wide=False)
+    groups = (_runs(marked, "text", width, window, wide=False)
               .groupBy("core").agg(F.collect_list(F.struct("k_id", "k_h", "pos", "status", "around")).alias("members")))
-    strings = _runs(marked, text_col, width, window, wide=True)
+    strings = _runs(marked, "text", width, window, wide=True)
     again = strings.groupBy("core", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core", "string")
     spans = _resolved(groups, width).unionByName(
         strings.join(again, ["core", "string"]).select("k_id", "k_h", F.col("at").alias("lo"), (F.col("at") + width).alias("hi")))
     spans = spans.groupBy("k_id", "k_h").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     whole = marked.join(spans, ["k_id", "k_h"], "left")
-    rest = [f for f in docs.schema.fields if f.name != text_col]
+    row = keyed.schema["row"]
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -330,7 +334,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for b in rows:
             col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
             kept, counts = [], []
-            for z, marks, more in zip(col[text_col], col["marks"], col["spans"], strict=True):
+            for z, marks, more in zip(col["text"], col["marks"], col["spans"], strict=True):
                 data = unpack(z.as_py())
                 lo, hi = np.zeros(0, np.int64), np.zeros(0, np.int64)
                 if marks.is_valid:
@@ -352,7 +356,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     kept.append(data)
                     counts.append((len(data), 0, 0))
             yield pa.RecordBatch.from_arrays(
-                [*(col[f.name] for f in rest), pa.array(kept, pa.binary()), *(pa.array([c[k] for c in counts], pa.int64()) for k in range(3))],
-                [*(f.name for f in rest), kept_col, "n_bytes", "n_removed", "n_spans"])
+                [col["row"], pa.array(kept, pa.binary()), *(pa.array([c[k] for c in counts], pa.int64()) for k in range(3))],
+                ["row", *made])
 
-    return whole.mapInArrow(cut, ", ".join(filter(None, [ddl_of(rest), f"`{kept_col}` binary, n_bytes bigint, n_removed bigint, n_spans bigint"])))
+    out = whole.mapInArrow(cut, ddl_of([row]) + f", `{kept_col}` binary, n_bytes bigint, n_removed bigint, n_spans bigint")
+    return out.select("row.*", *made)

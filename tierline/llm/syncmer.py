@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tierline.llm.common import packed, stable
+from tierline.llm.common import ddl_of, packed, stable
 
 K, S, SIZE = 16, 5, 32
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -106,8 +106,8 @@ def fingerprint_docs(docs: DataFrame, text_col: str = "text", out: str = "finger
             got = [fingerprint_string(sketch(codes_of(t.as_py() or ""))) for t in texts]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.string())], [*b.schema.names, out])
 
-    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{out}` string"])
-    return docs.mapInArrow(run, ddl)
+    docs = docs.drop(out)
+    return docs.mapInArrow(run, f"{ddl_of(docs.schema.fields)}, `{out}` string")
 
 
 # -- a document against its edited text and its successor --------------------
