@@ -103,7 +103,7 @@ def test_links_lose_none(spark):
 
 
 def test_large_buckets_are_refined_without_loss(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "HEAVY", 1)            # every sampled bucket counts as large
+    monkeypatch.setattr(simhash, "HEAVY", 5)            # a few members make a bucket large
     monkeypatch.setattr(simhash, "SAMPLE", 2)
     rng = random.Random(8)
     base = rng.getrandbits(64)

@@ -16,8 +16,8 @@ Only distinct fingerprints enter the tables.  A bucket's members are compared
 row by row and leave one edge per joined member, never all pairs.  A bucket
 that a 1/64 sample of its members shows to be large is not sent to one task:
 its members are hashed again by the same construction over the masked bits,
-which fixes half of the rest, and so on; at the last level eight free bits
-hold 256 fingerprints at most.  Both ways are exact; the sample only chooses.
+which fixes about half of the rest, and so on; at the last level eight free
+bits hold 256 fingerprints at most.  Both ways are exact; the sample only chooses.
 
 Defined results: a text with fewer words than a shingle is one shingle; null
 or wordless text has fingerprint zero and links like any other.  Rows with a
@@ -78,9 +78,13 @@ def fingerprints(docs: DataFrame, text_col: str, out: str, shingle: int = 4) ->
 
 
 def covering_masks(bits: list[int], radius: int) -> list[int]:
-    """The masks of the positions that each table compares."""
+    """The masks of the positions that each table compares.  The unit vectors
+    come first, so that with ``radius + 1`` positions or more every table
+    compares at least one."""
     vectors = 2 ** (radius + 1) - 1
-    mapped = [(b, i % vectors + 1) for i, b in enumerate(bits)]
+    units = [1 << i for i in range(radius + 1)]
+    order = units + [v for v in range(vectors, 0, -1) if v not in units]
+    mapped = [(b, order[i % vectors]) for i, b in enumerate(bits)]
     return [sum(1 << b for b, m in mapped if (m & v).bit_count() % 2) for v in range(1, vectors + 1)]
 
 
@@ -128,15 +132,19 @@ def _refined(rows: DataFrame, radius: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables: dict[int, np.ndarray] = {}
         for b in batches:
-            for mask, part in b.groupby("mask"):
-                m = int(mask) & (2 ** 64 - 1)
-                if mask not in tables:
+            masks, which = np.unique(b["mask"].to_numpy(np.int64), return_inverse=True)
+            for m in masks.tolist():
+                if m not in tables:
                     free = [i for i in range(64) if not m >> i & 1]
-                    tables[mask] = np.array([x | m for x in covering_masks(free, radius)], np.uint64)
-                for t, x in enumerate(tables[mask]):
-                    kept = part["fp"].to_numpy(np.int64).view(np.uint64) & x
-                    yield pd.DataFrame({"fp": part["fp"].to_numpy(), "mask": np.full(len(part), x).view(np.int64),
-                                        "key": part["key"].to_numpy(), "t": t, "kept": kept.view(np.int64)})
+                    tables[m] = np.array([x | m & (2 ** 64 - 1) for x in covering_masks(free, radius)], np.uint64)
+            for lo in range(0, len(b), 4096):
+                part = slice(lo, lo + 4096)
+                x = np.stack([tables[m] for m in masks.tolist()])[which[part]]         # rows x tables
+                fp = b["fp"].to_numpy(np.int64)[part]
+                n = x.shape[1]
+                yield pd.DataFrame({"fp": np.repeat(fp, n), "mask": x.ravel().view(np.int64),
+                                    "key": np.repeat(b["key"].to_numpy()[part], n), "t": np.tile(np.arange(n, dtype=np.int32), len(fp)),
+                                    "kept": (fp.view(np.uint64)[:, None] & x).ravel().view(np.int64)})
 
     return (rows.select("fp", "mask", "key").mapInPandas(run, "fp bigint, mask bigint, key bigint, t int, kept bigint")
             .select("fp", "mask", F.xxhash64("key", "t", "kept").alias("key")))
