@@ -3,14 +3,18 @@
 Money columns arrive as doubles.  Summing raw doubles gives results that
 depend on the order rows meet in a task, so two engines (or two runs with a
 different partitioning) disagree in the last bits.  Every money sum is taken
-over whole cents instead: each value is rounded to cents (half up) as a
-BIGINT, the BIGINTs are summed exactly (and order independently), and the
-total is handed back as a double.  This equals summing the values as
+over whole cents instead: each value is rounded half up to two places as a
+decimal number (0.285 is 0.29, as in a cast to ``DECIMAL(18,2)``), taken in
+cents as a BIGINT, the BIGINTs are summed exactly (and order independently),
+and the total is handed back as a double.  This equals summing the values as
 ``DECIMAL(18,2)``, but the aggregation buffer is a fixed-width long, so it
-stays on Spark's fast hash-aggregate path instead of allocating a
-``BigDecimal`` per row.  Totals are exact up to 9e13 in money units (2^53
-cents); beyond the BIGINT range the sum fails under ANSI mode rather than
-wrapping.
+stays on Spark's fast hash-aggregate path.  Totals are exact up to 9e13 in
+money units (2^53 cents); beyond the BIGINT range the sum fails under ANSI
+mode rather than wrapping.
+
+Metrics are no money: ``exact_sum`` keeps nine decimal places of each value.
+
+NaN and infinite values count as missing, in sums and in averages.
 """
 
 from __future__ import annotations
@@ -30,9 +34,29 @@ def money(c) -> Column:
     return _col(c).cast(MONEY)
 
 
+def finite(c) -> Column:
+    """The value, or null for NaN and infinity."""
+    x = _col(c)
+    return F.when(F.abs(x.cast("double")) < F.lit(float("inf")), x)
+
+
 def cents(c) -> Column:
-    """A money value in whole cents (BIGINT), rounded half up."""
-    return F.round(_col(c) * 100).cast("long")
+    """A money value in whole cents (BIGINT), rounded half up; null if not finite."""
+    return F.round(F.round(finite(c), 2) * 100).cast("long")
+
+
+# Places of a metric value that sums keep.
+METRIC = "decimal(28,9)"
+
+
+def exact_sum(c) -> Column:
+    """Exact, order-independent sum of a metric column, as a double."""
+    return F.sum(finite(c).cast(METRIC)).cast("double")
+
+
+def exact_mean(c) -> Column:
+    """The exact sum divided by the count of finite values."""
+    return safe_ratio(exact_sum(c), F.count(finite(c)).cast("double"))
 
 
 def money_sum(c) -> Column:
@@ -42,7 +66,7 @@ def money_sum(c) -> Column:
 
 def mean_of_money(c) -> Column:
     """Average of a money column: the exact sum divided by the non-null count."""
-    return safe_ratio(money_sum(c), F.count(_col(c)).cast("double"))
+    return safe_ratio(money_sum(c), F.count(finite(c)).cast("double"))
 
 
 def safe_ratio(num, den) -> Column:

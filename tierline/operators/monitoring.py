@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.money import money_sum
+from tierline.functions.money import exact_mean, exact_sum
 
 # The reference's alert windows and thresholds.
 FAILURE_WINDOW = "15 minutes"
@@ -47,20 +47,20 @@ def usage_alerts(log: DataFrame, ts: str = "ts", resource: str = "resource", usa
     """(window, resource) whose summed usage is above ``threshold``."""
     start, end = _bucket(ts, window)
     return (log.groupBy(start, end, resource)
-            .agg(money_sum(usage).alias("total_usage"))
+            .agg(exact_sum(usage).alias("total_usage"))
             .filter(F.col("total_usage") > threshold))
 
 
 def metric_rollup(log: DataFrame, ts: str, window: str, by: Sequence[str], value: str,
                   how: str = "sum", scale: float = 1.0, name: str = "value") -> DataFrame:
     """Per time bucket and ``by`` columns: the sum or average of ``value``
-    (both exact over whole hundredths), divided by ``scale``."""
+    (exact to nine places of each value, NaN counts as missing), divided by
+    ``scale``."""
     start, _ = _bucket(ts, window)
-    total = money_sum(value)
     if how == "sum":
-        agg = total
+        agg = exact_sum(value)
     elif how == "avg":
-        agg = total / F.count(value).cast("double")
+        agg = exact_mean(value)
     else:
         raise ValueError(f"how must be sum or avg, not {how!r}")
     if scale != 1.0:
@@ -72,7 +72,7 @@ def job_performance(log: DataFrame, job: str = "job", duration: str = "duration"
                     ok="ok") -> DataFrame:
     """Per job: average duration in seconds (from milliseconds) and the
     success rate in percent, slowest first."""
-    avg_s = (money_sum(duration) / F.count(duration).cast("double")) / F.lit(1000.0)
+    avg_s = exact_mean(duration) / F.lit(1000.0)
     rate = F.lit(100.0) * F.count_if(_c(ok)).cast("double") / F.count(F.lit(1)).cast("double")
     return (log.groupBy(job).agg(avg_s.alias("avg_duration_s"), rate.alias("success_rate"))
             .orderBy(F.desc("avg_duration_s"), F.asc(job)))

@@ -13,8 +13,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StructType
+from pyspark.sql.window import Window
 
+from tierline.functions.money import finite
 from tierline.functions.rules import EMAIL_PATTERN, PHONE_PATTERN, as_date, matches_fully
+from tierline.session import checkpoint_root
 
 ISSUES = "_data_quality_issues"
 DATE_COLUMNS = "date_columns"   # a rule target meaning "every date-like column"
@@ -115,33 +118,60 @@ def issue_summary(df: DataFrame, rules: Iterable[Rule] = DEFAULT_RULES, as_of=No
 
 # Profile statistics in the order the reference's summary shows them.
 PROFILE_STATS = ("count", "mean", "stddev", "min", "p25", "p50", "p75", "max")
-
-
-def profile(df: DataFrame, cols: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
+PERCENTILES = (0.25, 0.5, 0.75)
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(i, q0, q1, ...): for column number ``i`` the smallest value whose rank
+    reaches ``p * count``, exact at any size.  Equal values are counted first
+    (map-side); the distinct ones are range-partitioned, and running totals
+    inside each range are offset by a table of one row per range and column."""
+    x = [F.struct(F.lit(i).alias("i"), finite(F.col(c).cast("double")).alias("x")) for i, c in enumerate(cols)]
+    counts = (df.select(F.explode(F.array(*x)).alias("v")).select("v.*").filter(F.col("x").isNotNull())
+              .groupBy("i", "x").agg(F.count(F.lit(1)).alias("n")))
+    checkpoint_root(df.sparkSession)
+    ranged = (counts.repartitionByRange("i", "x").withColumn("part", F.spark_partition_id())
+              .checkpoint(eager=True))
+    sizes = ranged.groupBy("i", "part").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("i").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("i", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+                           F.sum("n").over(Window.partitionBy("i")).alias("total"))
+    local = Window.partitionBy("i", "part").orderBy("x")
+    ranks = (ranged.withColumn("upto", F.sum("n").over(local)).join(offsets, ["i", "part"])
+             .withColumn("upto", F.col("upto") + F.col("before")))
+    return ranks.groupBy("i").agg(*[F.min(F.when(F.col("upto") >= F.ceil(F.lit(p) * F.col("total")), F.col("x"))).alias(f"q{k}")
+                                    for k, p in enumerate(probs)])
+
+
+def profile(df: DataFrame, cols: Sequence[str] | None = None, accuracy: int | None = None) -> DataFrame:
     """Column profile, one row per numeric column: count, mean, stddev
     (sample), min, 25/50/75 % and max.
 
-    Everything comes from one aggregate.  Percentiles are
-    ``percentile_approx`` sketches (bounded memory per task); with
-    ``accuracy`` above the row count they are exact: the smallest value
-    whose rank reaches ``p * count``.  The mean is an exact decimal sum over
-    the count (independent of row order); stddev is rounded to 4 places.
+    Percentiles are exact: the smallest value whose rank reaches
+    ``p * count`` (``exact_quantiles``).  With ``accuracy`` they are
+    ``percentile_approx`` sketches of that accuracy instead, from the same
+    aggregate as the rest (one pass, for a quick look).  The mean is an exact
+    decimal sum over the count (independent of row order); stddev is rounded
+    to 4 places.  NaN and infinite values count as missing.
     """
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = finite(F.col(c).cast("double"))
         aggs += [F.count(x).alias(f"c{i}"), F.try_divide(F.sum(x.cast("decimal(38,9)")).cast("double"),
                                                       F.count(x).cast("double")).alias(f"a{i}"),
-                 F.round(F.stddev_samp(x), 4).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"),
-                 F.max(x).alias(f"hi{i}")]
+                 F.round(F.stddev_samp(x), 4).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        if accuracy:
+            aggs.append(F.percentile_approx(x, list(PERCENTILES), accuracy).alias(f"p{i}"))
     one = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("count"),
+    rows = [F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.col(f"c{i}").alias("count"),
                      F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
-                     F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("p25"),
-                     F.col(f"q{i}")[1].alias("p50"), F.col(f"q{i}")[2].alias("p75"),
-                     F.col(f"hi{i}").alias("max"))
+                     F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
+                     *([F.col(f"p{i}")[k].alias(f"q{k}") for k in range(3)] if accuracy else []))
             for i, c in enumerate(cols)]
-    return one.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    out = one.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    if not accuracy:
+        out = out.join(exact_quantiles(df, cols, PERCENTILES), "i", "left")
+    return out.select("column", "count", "mean", "stddev", "min", F.col("q0").alias("p25"),
+                      F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max")

@@ -8,7 +8,7 @@ from tierline.operators import monitoring as M
 from tierline.plans import views as V
 from tierline.plans.registry import register
 
-_DEC = "CAST(SUM(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
+_DEC = "CAST(SUM(CAST({} AS DECIMAL(28,9))) AS DOUBLE)"
 
 
 @register("failure_alerts", "MON-1, AGG-11", V.with_views("log") + """
@@ -53,3 +53,12 @@ FROM log GROUP BY job ORDER BY avg_duration_s DESC, job""")
 def q_job_performance(spark, d):
     log = V.log(spark, d).withColumn("ok", ~F.col("failure"))
     return M.job_performance(log, "job", "duration", "ok")
+
+
+@register("metric_rollup_fine", "MON-3, MON-4, AGG-5", V.with_views("log") + f"""
+SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, resource, {_DEC.format('usage / 8')} AS total_cost
+FROM log GROUP BY 1, 2""")
+def q_metric_rollup_fine(spark, d):
+    """Digits below a hundredth are kept."""
+    log = V.log(spark, d).withColumn("usage", F.col("usage") / F.lit(8.0))
+    return M.metric_rollup(log, "ts", "1 day", ["resource"], "usage", "sum", name="total_cost")
