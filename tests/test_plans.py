@@ -63,8 +63,8 @@ def test_partition_filter_prunes_directories(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(yr" in plan(q)
 
 
-def test_dedup_is_an_aggregate_not_a_window(spark):
+def test_dedup_limits_each_key_before_the_shuffle(spark):
     from tierline.operators.dedup import dedup_latest
     df = dedup_latest(V.table(spark, SF_SMALL, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
     text = plan(df)
-    assert "Window" not in text and "Aggregate" in text
+    assert text.count("WindowGroupLimit") == 2 and "Partial" in text

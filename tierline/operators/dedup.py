@@ -1,13 +1,11 @@
 """Latest row per key (the silver-layer deduplication).
 
-A ``row_number()`` window hashes every row of a key into one task and sorts
-it there, so a single hot key (a third of the rows, say) lands whole in one
-task.  Picking the latest row is an aggregate instead: the maximum of
-(order key, row) per business key.  Aggregates combine map-side, so each
-task ships at most one candidate per key to the shuffle, whatever the skew.
-
-Ties: the order key is extended with the whole row, so among rows with equal
-order keys the result is still one fixed row (a window would pick any).
+``row_number() = 1`` over the key.  Spark limits each group before the
+shuffle as well (``WindowGroupLimit``): every task ships at most one candidate
+per key, so a key with a third of the rows is no large task.
+
+Ties: the order is extended with the whole row, so among rows with equal
+order columns the result is still one fixed row.
 """
 
 from __future__ import annotations
@@ -17,8 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
+from pyspark.sql.window import Window
 
-_PICK = "__latest"
+_RANK = "__latest"
 
 
 def _orderable(dtype) -> bool:
@@ -35,7 +34,8 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                  ties: Sequence[str] = ()) -> DataFrame:
     """Keep one row per ``keys``: the one with the greatest ``order_by``
     tuple (compared left to right, like ``ORDER BY c1 DESC, c2 DESC``; nulls
-    lose), then the greatest ``ties`` tuple, then the greatest whole row.
+    lose), then the greatest ``ties`` tuple, then the greatest remaining
+    columns (those that can be ordered).
 
     Null keys form one group, as in ``Window.partitionBy``.
     """
@@ -43,10 +43,7 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
         raise ValueError("dedup_latest needs at least one key column")
     if not order_by:
         raise ValueError("dedup_latest needs an order column")
-    row = F.struct(*[F.col(c) for c in df.columns])
-    rank_key = F.struct(*[F.col(c) for c in [*order_by, *ties]])
-    if all(_orderable(f.dataType) for f in df.schema.fields):
-        best = F.max(F.struct(rank_key.alias("k"), row.alias("r"))).getField("r")
-    else:
-        best = F.max_by(row, rank_key)
-    return df.groupBy(*keys).agg(best.alias(_PICK)).select(f"{_PICK}.*")
+    first = [*order_by, *ties]
+    rest = [f.name for f in df.schema.fields if f.name not in {*first, *keys} and _orderable(f.dataType)]
+    w = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in [*first, *rest]])
+    return df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) == 1).drop(_RANK)

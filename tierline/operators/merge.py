@@ -6,33 +6,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tierline.operators.dedup import dedup_latest
 
 CHANGE = "_change_type"
 
 
+def one_per_key(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``updates``, failing at run time if a key is repeated (a merge with two
+    rows for one key has no defined result)."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    ok = F.when(n > 1, F.raise_error(F.concat(F.lit("upsert: repeated key "), F.to_json(F.struct(*keys))))).otherwise(F.lit(True))
+    return updates.withColumn("__ok", ok.cast("boolean")).filter("__ok").drop("__ok")
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
            latest_by: Sequence[str] = ()) -> DataFrame:
     """Rows of ``updates`` win; target rows whose key is not in ``updates``
     stay.  Keys compare null-safe.  When the update batch may hold several
     rows per key, ``latest_by`` keeps only the latest of them (by those
-    columns, see ``dedup_latest``); otherwise all of them are inserted.
+    columns, see ``dedup_latest``); without it a repeated key is an error.
+    Columns that only one side has are kept and null-filled.
 
     An anti join plus a union: the target is shuffled on the keys once
     (broadcast instead when the update batch is under the broadcast
     threshold), and AQE splits skewed key partitions of the anti join.
     """
     keys = list(keys)
-    if latest_by:
-        from tierline.operators.dedup import dedup_latest
-        updates = dedup_latest(updates, keys, latest_by)
-    upd_keys = updates.select(*[F.col(k).alias(f"__u_{k}") for k in keys]).distinct()
+    updates = dedup_latest(updates, keys, latest_by) if latest_by else one_per_key(updates, keys)
+    upd_keys = updates.select(*[F.col(k).alias(f"__u_{k}") for k in keys])
     cond = None
     for k in keys:
         e = target[k].eqNullSafe(upd_keys[f"__u_{k}"])
         cond = e if cond is None else cond & e
     kept = target.join(upd_keys, cond, "left_anti")
-    return kept.unionByName(updates.select(*target.columns))
+    return kept.unionByName(updates, allowMissingColumns=True)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,12 +51,13 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     Built without pairing rows: both snapshots are tagged and grouped on the
     whole row (identical rows cancel, map-side combined), then each key is
     classified from a per-key aggregate.  Nulls compare equal, and a key
-    repeated in a snapshot never multiplies rows.
+    repeated in a snapshot never multiplies rows.  Columns that only one
+    snapshot has are compared as null on the other side.
     """
     keys = list(keys)
-    cols = old.columns
-    tagged = (old.select(*cols, F.lit(1).alias("__o"), F.lit(0).alias("__n"))
-              .unionByName(new.select(*cols, F.lit(0).alias("__o"), F.lit(1).alias("__n"))))
+    tagged = (old.select("*", F.lit(1).alias("__o"), F.lit(0).alias("__n"))
+              .unionByName(new.select("*", F.lit(0).alias("__o"), F.lit(1).alias("__n")), allowMissingColumns=True))
+    cols = [c for c in tagged.columns if c not in ("__o", "__n")]
     per_row = tagged.groupBy(*cols).agg(F.sum("__o").alias("__co"), F.sum("__n").alias("__cn"))
     # A row present k times in old and m times in new contributes |k - m| copies.
     changed = (per_row.filter(F.col("__co") != F.col("__cn"))
@@ -70,32 +80,24 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     return _expand_copies(out, "__copies")
 
 
-# Copies of one row above this count are spread over tasks before expansion.
+# Copies of one row are expanded in chunks of this many.
 _COPY_CHUNK = 4096
 
 
 def _expand_copies(df: DataFrame, n_col: str) -> DataFrame:
-    """Each row ``n_col`` times.  Small counts expand in place; a row with
-    many copies is first cut into chunks of ``_COPY_CHUNK``, the chunks are
+    """Each row ``n_col`` times.  Counts are cut into chunks, the chunks are
     spread over tasks, and each task expands its chunks - so a group of
     copies holding a large share of the table never lands in one task."""
-    n = F.col(n_col).cast("long")
     keep = [c for c in df.columns if c != n_col]
-    small = df.filter(n <= _COPY_CHUNK).select(
-        *keep, F.explode(F.sequence(F.lit(1), n.cast("int"))).alias("__i")).drop("__i")
-    big = (df.filter(n > _COPY_CHUNK)
-           .select(*keep, n.alias("__n"),
-                   F.explode(F.sequence(F.lit(0).cast("long"),
-                                        F.floor((n - 1) / _COPY_CHUNK).cast("long"))).alias("__c"))
-           # An explicit partition count: AQE would otherwise coalesce this
-           # tiny shuffle of chunk descriptors back into a single task.
-           .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__c", *keep[:1])
-           .select(*keep, F.explode(F.sequence(
-               F.lit(1).cast("long"),
-               F.least(F.lit(_COPY_CHUNK).cast("long"), F.col("__n") - F.col("__c") * _COPY_CHUNK)))
-               .alias("__i"))
-           .drop("__i"))
-    return small.unionByName(big)
-
-
-__all__ = ["upsert", "snapshot_diff", "CHANGE"]
+    n = F.col(n_col).cast("long")
+    chunks = df.select(*keep, n.alias("__n"), F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((n - 1) / _COPY_CHUNK).cast("long"))).alias("__c"))
+    # An explicit partition count: AQE would otherwise coalesce this shuffle
+    # of chunk descriptors by its own small size.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = F.least(F.lit(_COPY_CHUNK).cast("long"), F.col("__n") - F.col("__c") * _COPY_CHUNK)
+    return (chunks.repartition(parts, "__c", *keep[:1])
+            .select(*keep, F.explode(F.sequence(F.lit(1).cast("long"), left)).alias("__i")).drop("__i"))
+
+
+__all__ = ["upsert", "one_per_key", "snapshot_diff", "CHANGE"]
