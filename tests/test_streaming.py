@@ -55,19 +55,35 @@ def test_alerts_ignore_rows_behind_the_watermark(spark, tmp_dir):
     assert got[base + dt.timedelta(hours=4)] == (4, 7)           # the 4:05 row counted
 
 
+def _state(spark, dest):
+    return sorted(tuple(r) for r in S.current_state(spark, dest, ["k"], ["seq"]).select("k", "v").collect())
+
+
 def test_upsert_epoch_rerun_is_idempotent(spark, tmp_dir):
-    dest = tmp_dir + "/gold"
-    base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    S.write_version(base, dest, 0)
-    run = S.upsert_batch_writer(dest, ["k"])
-    batch = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
-    run(batch, 0)
-    first = sorted(map(tuple, S.latest_version(spark, dest).collect()))
-    run(batch, 0)                    # a retried epoch
-    second = sorted(map(tuple, S.latest_version(spark, dest).collect()))
-    assert first == second == [(1, "a"), (2, "B"), (3, "c")]
-    run(spark.createDataFrame([(1, "A")], "k int, v string"), 1)
-    assert sorted(map(tuple, S.latest_version(spark, dest).collect())) == [(1, "A"), (2, "B"), (3, "c")]
+    dest, kind = tmp_dir + "/gold", "k int, v string, seq int"
+    S.append_changes(spark.createDataFrame([(1, "a", 0), (2, "b", 0)], kind), dest, "initial", 0)
+    batch = spark.createDataFrame([(2, "B", 1), (3, "c", 1)], kind)
+    S.append_changes(batch, dest, "s1", 0)
+    first = _state(spark, dest)
+    S.append_changes(batch, dest, "s1", 0)                     # a retried epoch
+    assert _state(spark, dest) == first == [(1, "a"), (2, "B"), (3, "c")]
+    S.append_changes(spark.createDataFrame([(1, "A", 2)], kind), dest, "s1", 1)
+    assert _state(spark, dest) == [(1, "A"), (2, "B"), (3, "c")]
+
+
+def test_upsert_survives_a_fresh_checkpoint_and_repeated_keys(spark, tmp_dir):
+    """Two runs with one checkpoint, a third with a new one (its epochs start
+    at 0 again); one batch holds a key twice; late rows do not win."""
+    dest, kind = tmp_dir + "/gold", "k int, v string, seq int"
+
+    def load(name, rows, ck):
+        spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{tmp_dir}/in-{ck}/{name}")
+        S.stream_upsert(S.read_stream(spark, f"{tmp_dir}/in-{ck}/*", kind), dest, f"{tmp_dir}/ck-{ck}")
+
+    load("b1", [(1, "one", 1), (1, "uno", 2), (2, "two", 1)], "a")
+    load("b2", [(2, "zwei", 5)], "a")
+    load("b3", [(1, "eins", 9), (3, "drei", 1), (2, "late", 4)], "b")
+    assert _state(spark, dest) == [(1, "eins"), (2, "zwei"), (3, "drei")]
 
 
 def test_stream_dedup_drops_repeats(spark, tmp_dir):
@@ -80,25 +96,3 @@ def test_stream_dedup_drops_repeats(spark, tmp_dir):
          .trigger(availableNow=True).start(tmp_dir + "/out"))
     q.awaitTermination()
     assert sorted(r["k"] for r in spark.read.parquet(tmp_dir + "/out").collect()) == [1, 2]
-
-
-def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
-    import glob as _glob
-    dest = tmp_dir + "/gold"
-    base = spark.range(200).select(F.col("id").alias("k"), F.lit("v0").alias("v"))
-    S.write_buckets(base, dest, ["k"], 16, 0)
-    run = S.upsert_batch_writer(dest, ["k"], buckets=16)
-    batch = spark.createDataFrame([(3, "v1"), (5, "v1"), (500, "new")], "k long, v string")
-    run(batch, 0)
-    touched = {r[0] for r in batch.select(S.bucket_of(["k"], 16)).collect()}
-    written = {int(p.split("_bucket=")[1].split("/")[0])
-               for p in _glob.glob(dest + "/_bucket=*/version=1")}
-    assert written == touched                                  # untouched buckets not rewritten
-    state = {r["k"]: r["v"] for r in S.latest_version(spark, dest, buckets=16).collect()}
-    assert len(state) == 201 and state[3] == state[5] == "v1" and state[500] == "new" and state[7] == "v0"
-    run(batch, 0)                                              # a retried epoch
-    again = {r["k"]: r["v"] for r in S.latest_version(spark, dest, buckets=16).collect()}
-    assert again == state
-    run(spark.createDataFrame([(3, "v2")], "k long, v string"), 1)
-    final = {r["k"]: r["v"] for r in S.latest_version(spark, dest, buckets=16).collect()}
-    assert final[3] == "v2" and final[5] == "v1" and len(final) == 201

@@ -16,7 +16,6 @@ from tierline.session import scratch_path
 from tierline.streaming import pipelines as S
 
 ALERT_DELAY = "1 hour"
-UPSERT_BUCKETS = 16
 
 
 def _schema(spark, d, name):
@@ -58,27 +57,44 @@ def q_stream_rollup_closed(spark, d):
     return spark.read.parquet(dest)
 
 
-@register("stream_upsert", "STR-4, SNK-5", """
+_UPSERT_SQL = """
 SELECT c_custkey, c_name, c_nationkey,
-       CASE WHEN c_custkey % 2 = 0 THEN c_acctbal ELSE c_acctbal - 1 END AS c_acctbal, c_mktsegment
-FROM customer""")
+       CASE WHEN c_custkey % 2 = 0 THEN c_acctbal ELSE c_acctbal - 1 END AS c_acctbal, c_mktsegment,
+       CASE WHEN c_custkey % 2 = 0 THEN 1 + {last} ELSE 0 END AS seq
+FROM customer"""
+
+
+@register("stream_upsert", "STR-4, SNK-5", _UPSERT_SQL.format(last="0"))
 def q_stream_upsert(spark, d):
     dest, ck = scratch_path(spark, "stream-gold"), scratch_path(spark, "ck-gold")
-    base = V.table(spark, d, "customer").withColumn("c_acctbal", F.col("c_acctbal") - 1)
-    # Hash-bucketed gold table: each micro-batch rewrites only the buckets it touches.
-    S.write_buckets(base, dest, ["c_custkey"], UPSERT_BUCKETS, 0)
+    c = V.table(spark, d, "customer")
+    S.append_changes(c.withColumns({"c_acctbal": F.col("c_acctbal") - 1, "seq": F.lit(0)}), dest, "initial", 0)
     src = S.read_stream(spark, d, _schema(spark, d, "customer"), glob="customer.parquet")
-    S.stream_upsert(src.filter(F.col("c_custkey") % 2 == 0), dest, ["c_custkey"], ck,
-                    buckets=UPSERT_BUCKETS)
-    return S.latest_version(spark, dest, buckets=UPSERT_BUCKETS)
+    S.stream_upsert(src.filter(F.col("c_custkey") % 2 == 0).withColumn("seq", F.lit(1)), dest, ck)
+    return S.current_state(spark, dest, ["c_custkey"], ["seq"])
+
+
+@register("stream_upsert_again", "STR-4, SNK-5", _UPSERT_SQL.format(last="2"))
+def q_stream_upsert_again(spark, d):
+    """Repeated keys in one batch, a second batch, and a fresh checkpoint."""
+    dest = scratch_path(spark, "stream-gold2")
+    c = V.table(spark, d, "customer")
+    S.append_changes(c.withColumns({"c_acctbal": F.col("c_acctbal") - 1, "seq": F.lit(0)}), dest, "initial", 0)
+    src = S.read_stream(spark, d, _schema(spark, d, "customer"), glob="customer.parquet").filter(F.col("c_custkey") % 2 == 0)
+    twice = F.explode(F.array(F.struct(F.lit(1).alias("seq"), (F.col("c_acctbal") + 5).alias("b")),
+                              F.struct(F.lit(2).alias("seq"), (F.col("c_acctbal") + 7).alias("b"))))
+    first = src.select("*", twice.alias("x")).withColumns({"c_acctbal": F.col("x.b"), "seq": F.col("x.seq")}).drop("x")
+    S.stream_upsert(first, dest, scratch_path(spark, "ck-a"))
+    S.stream_upsert(src.withColumn("seq", F.lit(3)), dest, scratch_path(spark, "ck-b"))
+    return S.current_state(spark, dest, ["c_custkey"], ["seq"])
 
 
 @register("stream_usage_alerts", "STR-3, MON-2", V.with_views("log") + """
 SELECT time_bucket(INTERVAL '1 day', ts) AS window_start,
        time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end, resource,
-       CAST(SUM(CAST(usage AS DECIMAL(18,2))) AS DOUBLE) AS total_usage
+       CAST(SUM(CAST(usage AS DECIMAL(28,9))) AS DOUBLE) AS total_usage
 FROM log GROUP BY 1, 2, 3
-HAVING CAST(SUM(CAST(usage AS DECIMAL(18,2))) AS DOUBLE) > 5000
+HAVING CAST(SUM(CAST(usage AS DECIMAL(28,9))) AS DOUBLE) > 5000
    AND time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day'
        <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""")
 def q_stream_usage_alerts(spark, d):

@@ -5,7 +5,8 @@
 * ``stream_dedup``      one row per key within the event-time watermark
 * ``stream_alerts``     tumbling-window counts/sums emitted once a window
                         is closed by the watermark (append mode)
-* ``stream_upsert``     micro-batches merged into a versioned gold table
+* ``stream_upsert``     micro-batches appended to a change table, whose latest
+                        row per key is the current state
 
 Checkpoints and outputs must live on shared storage; a restarted query
 resumes from its checkpoint, so lost executors or drivers replay only the
@@ -21,10 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from tierline.operators.cleanse import INGEST_TS, SOURCE_FILE
-from tierline.operators.merge import upsert
+from tierline.operators.dedup import dedup_latest
 from tierline.sources.readers import read_options
 
-VERSION_COL = "version"
+STREAM_COL, EPOCH_COL = "_stream", "_epoch"
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",
@@ -92,106 +93,42 @@ def stream_usage_alerts(df: DataFrame, ts: str, delay: str, resource: str = "res
                         usage: str = "usage", window: str = "1 day", threshold: float = 5000) -> DataFrame:
     """Streaming form of the usage alert: per closed window and resource,
     the exact usage total, emitted only when above ``threshold``."""
-    from tierline.functions.money import money_sum
-    out = stream_alerts(df, ts, delay, window, by=[resource], aggs=[money_sum(usage).alias("total_usage")])
+    from tierline.functions.money import exact_sum
+    out = stream_alerts(df, ts, delay, window, by=[resource], aggs=[exact_sum(usage).alias("total_usage")])
     return out.filter(F.col("total_usage") > threshold)
 
 
-BUCKET_COL = "_bucket"
-
-
-def latest_version(spark: SparkSession, dest: str, before: int | None = None,
-                   buckets: int | None = None) -> DataFrame | None:
-    """The current state of a table written by ``stream_upsert``; ``None``
-    when nothing is written yet.
-
-    Whole-table versions: the newest version (below ``before``).  Bucketed
-    tables: per bucket its newest version, found from the partition values
-    and applied through a broadcast table with at most one row per bucket
-    (a proven bound), so only the current files are read."""
-    try:
-        df = spark.read.parquet(dest)
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-    if before is not None:
-        df = df.filter(F.col(VERSION_COL) < before)
-    if buckets is None:
-        top = df.agg(F.max(VERSION_COL)).first()[0]
-        return None if top is None else df.filter(F.col(VERSION_COL) == top).drop(VERSION_COL)
-    return _newest_per_bucket(df)
-
-
-def _newest_per_bucket(df: DataFrame) -> DataFrame:
-    newest = df.groupBy(BUCKET_COL).agg(F.max(VERSION_COL).alias(VERSION_COL))
-    return df.join(F.broadcast(newest), [BUCKET_COL, VERSION_COL]).drop(VERSION_COL, BUCKET_COL)
-
-
-def write_version(df: DataFrame, dest: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{dest.rstrip('/')}/{VERSION_COL}={version}")
-
-
-def bucket_of(keys: Sequence[str], buckets: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
-def write_buckets(df: DataFrame, dest: str, keys: Sequence[str], buckets: int, version: int) -> None:
-    """Write ``df`` as version ``version`` of the buckets it touches.  Only
-    those (bucket, version) partitions are replaced, so a retried epoch
-    rewrites its own output and never deletes an older version."""
-    (df.withColumn(BUCKET_COL, bucket_of(keys, buckets)).withColumn(VERSION_COL, F.lit(version))
+def append_changes(batch: DataFrame, dest: str, stream: str, epoch: int) -> None:
+    """Append a batch of rows to the change table at ``dest`` under its
+    (stream, epoch) partition.  A retried epoch replaces its own partition
+    and nothing else, whatever other streams or checkpoints have written."""
+    (batch.withColumn(STREAM_COL, F.lit(stream)).withColumn(EPOCH_COL, F.lit(int(epoch)).cast("bigint"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL, VERSION_COL).parquet(dest))
+     .partitionBy(STREAM_COL, EPOCH_COL).parquet(dest))
+
 
+def current_state(spark: SparkSession, dest: str, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The table that the changes at ``dest`` make up: per key the row with
+    the greatest ``order_by`` (ties: the later epoch, then the greatest row)."""
+    changes = spark.read.option("mergeSchema", "true").parquet(dest)
+    return dedup_latest(changes, keys, order_by, ties=[EPOCH_COL]).drop(STREAM_COL, EPOCH_COL)
 
-def upsert_batch_writer(dest: str, keys: Sequence[str],
-                        prepare: Callable[[DataFrame], DataFrame] | None = None,
-                        buckets: int | None = None):
-    """``foreachBatch`` function merging micro-batch ``epoch`` into the table.
 
-    Whole-table mode (``buckets=None``): merge into the newest version below
-    ``epoch + 1`` and write version ``epoch + 1``.  Bucketed mode: only the
-    buckets the batch touches are read (partition pruning) and written as
-    version ``epoch + 1``; untouched buckets are not rewritten.  Either way a
-    re-run epoch rebuilds the same output from the same inputs (version 0 is
-    an optional initial load)."""
+def stream_upsert(df: DataFrame, dest: str, checkpoint: str,
+                  prepare: Callable[[DataFrame], DataFrame] | None = None, wait: bool = True):
+    """Upsert a stream of rows: every micro-batch is appended to the change
+    table at ``dest``; ``current_state`` reads the latest row per key by the
+    rows' own order columns, so neither the order of batches nor a restart
+    from a fresh checkpoint can lose an update.  Each checkpoint is a stream
+    of its own (the query id that Spark keeps in it)."""
     def run(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        updates = prepare(batch) if prepare else batch
-        if buckets is None:
-            base = latest_version(spark, dest, before=epoch + 1)
-            merged = updates if base is None else upsert(base, updates, keys)
-            write_version(merged, dest, epoch + 1)
-            return
-        # At most ``buckets`` values come back: the touched bucket ids.
-        touched = [r[0] for r in updates.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]
-        if not touched:
-            return
-        try:
-            stored = spark.read.parquet(dest)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            stored = None
-        base = None
-        if stored is not None:
-            # Partition filters: only the touched buckets' directories are read.
-            base = _newest_per_bucket(stored.filter(F.col(BUCKET_COL).isin(touched)
-                                                    & (F.col(VERSION_COL) < epoch + 1)))
-        merged = updates if base is None else upsert(base, updates, keys)
-        write_buckets(merged, dest, keys, buckets, epoch + 1)
-    return run
-
-
-def stream_upsert(df: DataFrame, dest: str, keys: Sequence[str], checkpoint: str,
-                  prepare: Callable[[DataFrame], DataFrame] | None = None, wait: bool = True,
-                  buckets: int | None = None):
-    """Merge a stream of updates into the versioned table at ``dest``
-    (bucketed by key hash when ``buckets`` is given, see
-    ``upsert_batch_writer``)."""
-    q = (df.writeStream.foreachBatch(upsert_batch_writer(dest, keys, prepare, buckets))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("no streaming query id: call this from foreachBatch")
+        append_changes(prepare(batch) if prepare else batch, dest, stream, epoch)
+
+    q = (df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     if wait:
         q.awaitTermination()
     return q
