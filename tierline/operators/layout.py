@@ -11,11 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, LongType, NumericType, StringType,
-                               StructField, StructType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import (BooleanType, DateType, MapType, NumericType, StringType, TimestampNTZType,
+                               TimestampType, VariantType)
 
 from tierline.functions.zorder import interleave_bits
 from tierline.operators.rank import rank_pairs
@@ -37,70 +38,40 @@ def _numeric_surrogate(c: str, dtype) -> Column:
     return col.cast("double")
 
 
-def _quantile_buckets(df: DataFrame, specs: Sequence[tuple[str, object, str]], bits: int) -> DataFrame:
-    """Equal-depth bucket (0 .. 2**bits - 1) per numeric-like column, from
-    approximate quantiles of all the columns in one pass.  Only the
-    2**bits - 1 boundaries per column come back to the driver."""
-    n = 1 << bits
-    surs = {out: f"__s_{out}" for _, _, out in specs}
-    withsur = df.select("*", *[F.coalesce(_numeric_surrogate(c, dt), F.lit(float("-inf"))).alias(surs[out])
-                               for c, dt, out in specs])
-    probs = [i / n for i in range(1, n)]
-    all_bounds = withsur.approxQuantile([surs[out] for _, _, out in specs], probs, 1.0 / (4 * n))
-    out_df = withsur
-    for (_, _, out), bounds in zip(specs, all_bounds):
-        splits = sorted({b for b in bounds if b is not None and math.isfinite(b)})
-        if not splits:        # constant column: one bucket
-            out_df = out_df.withColumn(out, F.lit(0).cast("long"))
-            continue
-        splits = [float("-inf")] + splits + [float("inf")]
-        out_df = Bucketizer(splits=splits, inputCol=surs[out], outputCol=out,
-                            handleInvalid="keep").transform(out_df)
-        out_df = out_df.withColumn(out, F.col(out).cast("long"))
-    return out_df.drop(*surs.values())
-
-
-# Distinct values up to this many per column (and this many bytes in all)
-# are bucketed on the driver and broadcast; above it the rank is computed
-# distributed.
-SMALL_DOMAIN_VALUES = 65_536
-SMALL_DOMAIN_BYTES = 16 * 1024 * 1024
-
-
-def _small_domains(df: DataFrame, cols: Sequence[str]) -> dict | None:
-    """Sorted distinct values of every column in ``cols`` from one bounded
-    job, or ``None`` when any column has more than ``SMALL_DOMAIN_VALUES``
-    values (or the values are too large in bytes)."""
-    cap = SMALL_DOMAIN_VALUES
-    tagged = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(cols)])
-    pairs = df.select(F.explode(tagged).alias("p")).select("p.i", "p.v").distinct()
-    head = pairs.limit(cap * len(cols) + 1).collect()
-    if len(head) > cap * len(cols):
-        return None
-    doms = {c: [] for c in cols}
-    for i, v in head:
-        doms[cols[i]].append(v)
-    size = sum(len(str(v).encode()) for vals in doms.values() for v in vals if v is not None)
-    if any(len(v) > cap for v in doms.values()) or size > SMALL_DOMAIN_BYTES:
-        return None
-    return {c: sorted(v, key=lambda x: (x is not None, x if x is not None else "")) for c, v in doms.items()}
-
-
-def _domain_buckets(df: DataFrame, c: str, ordered: list, bits: int, out: str) -> DataFrame:
-    """Join a driver-built (value, bucket) table of proven small size."""
-    n = 1 << bits
-    total = max(len(ordered), 1)
-    rows = [(v, (i * n) // total) for i, v in enumerate(ordered)]
-    table = df.sparkSession.createDataFrame(
-        rows, StructType([StructField("__v", df.schema[c].dataType), StructField(out, LongType())]))
-    return df.join(F.broadcast(table), df[c].eqNullSafe(table["__v"]), "left").drop("__v")
+# Rows of the layout sample (boundaries only; no row is dropped by it).
+SAMPLE_ROWS = 200_000
+
+
+def _sample(df: DataFrame, specs: Sequence[tuple[str, object, str]]):
+    """About ``SAMPLE_ROWS`` rows of the numeric surrogates, on the driver."""
+    total = df.count()                       # file footers, for a table scan
+    surs = df.select(*[F.coalesce(_numeric_surrogate(c, dt), F.lit(float("-inf"))).alias(out) for c, dt, out in specs])
+    if total > SAMPLE_ROWS:
+        surs = surs.sample(fraction=SAMPLE_ROWS / total, seed=17)
+    return surs.toPandas()
+
+
+def _bounds(values: np.ndarray, n: int) -> list[float]:
+    """At most ``n - 1`` boundaries that cut the values into equal parts."""
+    values = np.sort(values[np.isfinite(values)])
+    if not len(values):
+        return []
+    at = (np.arange(1, n) * len(values)) // n
+    return sorted({float(x) for x in values[at]})
+
+
+def _bucketed(df: DataFrame, col: str, out: str, bounds: list[float]) -> DataFrame:
+    """``out``: the number of boundaries at or below ``col``."""
+    if not bounds:
+        return df.withColumn(out, F.lit(0).cast("long"))
+    b = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol=col, outputCol=out, handleInvalid="keep")
+    return b.transform(df).withColumn(out, F.col(out).cast("long"))
 
 
 def _rank_buckets(df: DataFrame, c: str, bits: int, out: str) -> DataFrame:
-    """Equal-width bucket over the exact rank of the distinct values, for a
-    column whose domain is too large to build on the driver: the ranks are
-    computed over the distinct values, range-partitioned, and joined back on
-    the value (AQE splits a hot value)."""
+    """Equal-width bucket over the exact rank of the distinct values of a
+    string column: the ranks are computed over the distinct values,
+    range-partitioned, and joined back on the value (AQE splits a hot value)."""
     n = 1 << bits
     vals = df.select(F.col(c).alias("__v")).distinct()
     ranked = rank_pairs(vals, [], "__v", "__r", descending=False)
@@ -112,23 +83,33 @@ def _rank_buckets(df: DataFrame, c: str, bits: int, out: str) -> DataFrame:
 
 def zorder(df: DataFrame, cols: Sequence[str], bits: int | None = None,
            num_partitions: int | None = None, partition_by: Sequence[str] = (),
-           materialize: bool = False) -> DataFrame:
+           materialize: bool = False, target_file_mb: int = 128) -> DataFrame:
     """Rows of ``df`` range-partitioned and sorted by the Z-order key of
     ``cols`` (1-3 columns); write the result to get clustered files.
 
-    With ``partition_by`` (the table's directory partitions) the range key
-    starts with those columns, so each task writes into few directories and
-    rows are Z-ordered inside each directory.
-
-    The input is read once per numeric pass, once for string domains and
-    once for the final shuffle; ``materialize`` checkpoints it first, which
-    pays off when it is an aggregate or join rather than a table scan."""
+    Boundaries of numeric, date and boolean columns come from a sample of
+    ``SAMPLE_ROWS`` rows; string columns use the exact rank of their distinct
+    values.  A hash of the row breaks ties, so that a Z-value with a large
+    share of the rows spreads over several files and a recomputed task deals
+    its rows as before.  Without strings and ``partition_by`` the ranges come
+    from the same sample and the input is read twice in all; otherwise Spark
+    samples the range key itself.
+
+    ``num_partitions`` follows the input's file sizes (one per
+    ``target_file_mb``, at least the session's shuffle partitions).  With
+    ``partition_by`` (the table's directory partitions) the range key starts
+    with those columns, so each task writes into few directories and rows are
+    Z-ordered inside each directory.  ``materialize`` checkpoints the input
+    first, which pays off when it is an aggregate or join rather than a scan.
+    """
     cols = list(cols)
+    if not 1 <= len(cols) <= 3:
+        raise ValueError("zorder takes one to three columns")
+    n = num_partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                              math.ceil(input_bytes(df) / (target_file_mb << 20)))
     if materialize:
         checkpoint_root(df.sparkSession)
         df = df.checkpoint(eager=True)
-    if not 1 <= len(cols) <= 3:
-        raise ValueError("zorder takes one to three columns")
     bits = bits or min(10, 63 // len(cols))
     types = {f.name: f.dataType for f in df.schema.fields}
     numeric, strings, names = [], [], []
@@ -142,21 +123,35 @@ def zorder(df: DataFrame, cols: Sequence[str], bits: int | None = None,
         else:
             raise TypeError(f"cannot Z-order on {c} of type {dt.simpleString()}")
         names.append(name)
-    out = _quantile_buckets(df, numeric, bits) if numeric else df
-    domains = _small_domains(df, [c for c, _ in strings]) if strings else {}
+    out, sample, drop = df, _sample(df, numeric) if numeric else None, list(names)
+    for c, dt, name in numeric:
+        bounds = _bounds(sample[name].to_numpy(float), 1 << bits)
+        out = out.withColumn(f"__s{name}", F.coalesce(_numeric_surrogate(c, dt), F.lit(float("-inf"))))
+        out = _bucketed(out, f"__s{name}", name, bounds)
+        sample[name] = np.searchsorted(bounds, sample[name].to_numpy(float), side="right")
+        drop.append(f"__s{name}")
     for c, name in strings:
-        if domains is not None:
-            out = _domain_buckets(out, c, domains[c], bits, name)
-        else:
-            out = _rank_buckets(out, c, bits, name)
-    out = out.withColumn(ZCOL, interleave_bits([F.col(n) for n in names], bits))
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Range partitioning cannot split equal keys; a random tie-breaker lets a
-    # Z-value shared by a large share of the rows spread over several files.
+        out = _rank_buckets(out, c, bits, name)
+    # Rows of one Z-value in 2^20 classes: Z plus a fraction, exact as a double.
+    tie = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if _hashable(types[c])]), F.lit(1 << 20))
+    out = out.withColumn(ZCOL, interleave_bits([F.col(x) for x in names], bits))
     parts = list(partition_by)
-    return (out.withColumn("__zt", F.rand(17))
-            .repartitionByRange(n, *parts, ZCOL, "__zt").sortWithinPartitions(*parts, ZCOL)
-            .drop(ZCOL, "__zt", *names).select(*df.columns))
+    if strings or parts or bits * len(cols) > 30:
+        return (out.withColumn("__zt", tie).repartitionByRange(n, *parts, ZCOL, "__zt")
+                .sortWithinPartitions(*parts, ZCOL).select(*df.columns))
+    z = np.zeros(len(sample), np.int64)
+    for j, name in enumerate(names):
+        v = sample[name].to_numpy(np.int64)
+        for k in range(bits):
+            z |= (v >> k & 1) << (k * len(names) + len(names) - 1 - j)
+    bounds = _bounds(z + np.random.default_rng(17).random(len(z)), n)
+    out = out.withColumn("__zk", F.col(ZCOL).cast("double") + tie / F.lit(float(1 << 20)))
+    out = _bucketed(out, "__zk", "__zp", bounds)
+    return (out.repartitionById(n, F.col("__zp").cast("int")).sortWithinPartitions(ZCOL).select(*df.columns))
+
+
+def _hashable(dtype) -> bool:
+    return not isinstance(dtype, (MapType, VariantType))
 
 
 def table_detail(df: DataFrame) -> DataFrame:
@@ -174,8 +169,15 @@ def table_detail(df: DataFrame) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Total bytes of the files behind a file-source DataFrame."""
-    return int(table_detail(df).first()["size_in_bytes"] or 0)
+    """Total bytes of the files behind a DataFrame (0 without files), from
+    their listing."""
+    spark = df.sparkSession
+    conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    total = 0
+    for f in df.inputFiles():
+        p = path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return int(total)
 
 
 def needs_compaction(n_rows: int, min_rows: int = 100_000) -> bool:

@@ -51,6 +51,13 @@ def q_bloom_lookup(spark, d):
     return read_table(spark, path).filter(F.col("o_custkey").isin(1, 2, 3, 4, 5))
 
 
-@register("table_detail", "VAL-4")
+@register("table_detail", "VAL-4", """
+SELECT 1::BIGINT + max(year(o_orderdate)) - min(year(o_orderdate)) AS num_directories,
+       1::BIGINT + max(year(o_orderdate)) - min(year(o_orderdate)) AS num_files,
+       count(*) AS num_rows, 7 AS num_columns FROM orders""")
 def q_table_detail(spark, d):
-    return table_detail(V.table(spark, d, "lineitem"))
+    """Of a table written with one file per year."""
+    o = V.table(spark, d, "orders").withColumn("yr", F.year("o_orderdate")).select("*")
+    path = scratch_path(spark, "detail")
+    write_table(o.repartition(1), path, partition_by=["yr"])
+    return table_detail(read_table(spark, path)).drop("size_in_bytes")
