@@ -15,13 +15,16 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tierline.operators import cleanse as C
 from tierline.operators import quality as Q
 from tierline.operators.dedup import dedup_latest
-from tierline.operators.layout import compact, needs_compaction, zorder
+from tierline.operators.layout import compact, input_bytes, needs_compaction, zorder
+from tierline.operators.merge import upsert
 from tierline.plans import products as P
-from tierline.sinks.writers import save_mode, write_table
+from tierline.session import checkpoint_root
+from tierline.sinks.writers import align, save_mode, stored_schema, write_table
 from tierline.sources import incremental as I
 from tierline.sources.readers import read_landing, read_table
 
@@ -34,29 +37,36 @@ def to_bronze(spark: SparkSession, source: str, dest: str, fmt: str = "csv",
     """Load a landing area into the bronze table ``dest``: a Parquet path, or
     a catalog table name when ``as_table`` is set.
 
-    Returns the run facts: watermark used, rows written, final row count and
-    rows above the previous watermark.
+    The stored schema rules: columns it knows are read in its types (a column
+    whose values its type cannot hold fails the load before anything is
+    written), new columns join it.  With ``optimize``, partitions the load
+    has touched (all of an unpartitioned table) are compacted in place once
+    the table has more than ``min_rows_to_optimize`` rows, which is the
+    reference's gate.
+
+    Returns the run facts: watermark used, rows written, final row count,
+    rows above the previous watermark, and files before / after compaction.
     """
     def current():
         if as_table:
             return spark.table(dest) if spark.catalog.tableExists(dest) else None
-        try:
-            return read_table(spark, dest)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            return None
+        return read_table(spark, dest) if stored_schema(spark, dest) is not None else None
 
     target = current()
-    wm = I.high_watermark(target, watermark_col) if (mode == "incremental" and target is not None) else None
+    incremental = mode == "incremental" and target is not None
+    wm = I.high_watermark(target, watermark_col) if incremental else None
     src = read_landing(spark, source, glob=glob, fmt=fmt, schema=schema, **read_opts)
+    if incremental and schema is None:
+        src = _in_stored_types(spark, src, target.schema, source, glob, fmt, read_opts)
     src = I.incremental(src, watermark_col, wm, mode=mode)
     src = C.with_ingest_metadata(src, ts=ingest_ts)
     # Optimized write: rebalance on the partition columns so each directory
     # gets a few well-sized files instead of one file per task (AQE splits a
     # hot partition value over several tasks).
     stats = write_table(src, dest, mode=save_mode(mode), partition_by=partition_by,
-                        rebalance=bool(partition_by), as_table=as_table)
+                        rebalance=bool(partition_by), as_table=as_table, merge_schema=True)
+    if as_table:
+        spark.catalog.refreshTable(dest)
     final = current()
     facts = {"watermark": wm, "rows_written": stats["rows"]}
     total = final.count()
@@ -64,19 +74,49 @@ def to_bronze(spark: SparkSession, source: str, dest: str, fmt: str = "csv",
     if wm is not None:
         facts["new_rows"] = I.new_rows(final, watermark_col, wm).first()["new_records"]
     if optimize and needs_compaction(total, min_rows_to_optimize):
-        # Compaction, written beside the table (a path cannot be replaced while
-        # it is read): partitioned tables are rebalanced on their partition
-        # columns (evenly sized files per directory; clustering on the
-        # partition columns themselves would add nothing), others coalesced.
-        facts["optimized_path"] = dest.rstrip("/") + "__optimized"
-        if partition_by:
-            write_table(final, facts["optimized_path"], partition_by=partition_by,
-                        rebalance=True, as_table=as_table)
-        else:
-            write_table(compact(final), facts["optimized_path"], as_table=as_table)
+        touched = src.select(*partition_by).distinct() if partition_by else None
+        facts["files_before"], facts["files_after"] = _compact_in_place(spark, current, dest, list(partition_by), touched, as_table)
     return facts
 
 
+def _in_stored_types(spark, src: DataFrame, stored, source: str, glob: str, fmt: str, read_opts: dict) -> DataFrame:
+    """The landing rows with the stored type for every known column.  Text is
+    read again as text (an inferred number would lose leading zeros); other
+    types must hold the inferred one."""
+    known = {f.name: f.dataType for f in stored.fields}
+    as_text = [f.name for f in src.schema.fields if isinstance(known.get(f.name), StringType) and not isinstance(f.dataType, StringType)]
+    if as_text:
+        files = [f for f in src.schema.fields]
+        schema = StructType([StructField(f.name, StringType() if f.name in as_text else f.dataType) for f in files])
+        src = read_landing(spark, source, glob=glob, fmt=fmt, schema=schema, **read_opts)
+    here = StructType([f for f in stored.fields if f.name in src.columns])
+    return align(src, here, new_columns=True)
+
+
+def _compact_in_place(spark, current, dest: str, partition_by: list, touched: DataFrame | None, as_table: bool) -> tuple[int, int]:
+    """Rewrite the touched partitions (or the whole table) as few, well-sized
+    files.  The rows are staged in the checkpoint folder first, as a table
+    cannot be replaced while it is read; only their own partitions are
+    replaced, in one commit."""
+    checkpoint_root(spark)
+    table = current()
+    before = len(table.inputFiles())
+    if touched is None:
+        size = input_bytes(table)
+        staged = table.checkpoint(eager=True)
+        write_table(compact(staged, size_bytes=size), dest, mode="overwrite", as_table=as_table)
+    else:
+        on = [table[c].eqNullSafe(touched[c]) for c in partition_by]
+        staged = table.join(touched, on, "left_semi").checkpoint(eager=True).hint("rebalance", *partition_by)
+        if as_table:
+            staged.select(*table.columns).write.option("partitionOverwriteMode", "dynamic").insertInto(dest, overwrite=True)
+        else:
+            write_table(staged, dest, mode="overwrite", partition_by=partition_by, dynamic_overwrite=True)
+    if as_table:
+        spark.catalog.refreshTable(dest)
+    return before, len(current().inputFiles())
+
+
 def to_silver(bronze: DataFrame, keys: Sequence[str] = (), order_by: Sequence[str] = (C.INGEST_TS,),
               ties: Sequence[str] = (), rules: Iterable[Q.Rule] | None = Q.DEFAULT_RULES,
               as_of=None, date_cols: Sequence[str] = (), dedup: bool = True,
@@ -113,29 +153,55 @@ GOLD_TABLES = {
 }
 
 
+# The keys that a merge into a gold table matches rows by.
+GOLD_KEYS = {
+    "daily_sales_summary": ["date"],
+    "product_performance": ["product_id"],
+    "category_performance": ["category", "year", "month"],
+    "customer_purchase_patterns": ["customer_id"],
+    "dim_product": ["product_id"],
+}
+
+
 def to_gold(orders: DataFrame, products: DataFrame, dest_root: str, as_of=None,
             orders_hdr: DataFrame | None = None, cluster: bool = True,
-            segments: dict | None = None, as_table: bool = False) -> dict:
+            segments: dict | None = None, as_table: bool = False, mode: str = "overwrite",
+            only: Iterable[str] = tuple(GOLD_TABLES)) -> dict:
     """Build and write the five gold tables under ``dest_root`` (a folder, or
     with ``as_table`` a catalog schema: ``<dest_root>.<table>``); returns the
     rows written per table (counted on the write itself).
 
-    ``category_performance`` is partitioned by (year, month); every table is
-    Z-ordered on the reference's columns when ``cluster`` is set.
+    ``mode="merge"`` (the reference's default) upserts the new rows into
+    existing tables by ``GOLD_KEYS``: rows of keys the new data does not have
+    stay.  ``category_performance`` is partitioned by (year, month); every
+    table is Z-ordered on the reference's columns when ``cluster`` is set.
+
+    Building runs jobs at once: the orders are stored in the checkpoint
+    folder, as four products read them, and ranks are computed.  ``only``
+    names the tables to build.
     """
+    if mode not in ("overwrite", "merge"):
+        raise ValueError(f"mode must be overwrite or merge, not {mode!r}")
     seg = segments or {}
-    tables = {
-        "daily_sales_summary": P.daily_sales(orders_hdr if orders_hdr is not None else orders),
-        "product_performance": P.product_performance(orders, products),
-        "category_performance": P.category_performance(orders, products),
-        "customer_purchase_patterns": P.segment_customers(P.customer_patterns(orders, as_of=as_of), **seg),
-        "dim_product": P.dim_product(products),
+    spark = orders.sparkSession
+    checkpoint_root(spark)
+    orders = orders.checkpoint(eager=True)
+    build = {
+        "daily_sales_summary": lambda: P.daily_sales(orders_hdr if orders_hdr is not None else orders),
+        "product_performance": lambda: P.product_performance(orders, products),
+        "category_performance": lambda: P.category_performance(orders, products),
+        "customer_purchase_patterns": lambda: P.segment_customers(P.customer_patterns(orders, as_of=as_of), **seg),
+        "dim_product": lambda: P.dim_product(products),
     }
     written = {}
-    for name, df in tables.items():
+    for name in only:
+        df = build[name]()
         parts = ["year", "month"] if name == "category_performance" else []
-        out = zorder(df, GOLD_TABLES[name], partition_by=parts, materialize=True) if cluster else df
         dest = f"{dest_root}.{name}" if as_table else f"{dest_root.rstrip('/')}/{name}"
+        if mode == "merge" and stored_schema(spark, dest, as_table=as_table) is not None:
+            stored = spark.table(dest) if as_table else read_table(spark, dest)
+            df = upsert(align(stored, df.schema, new_columns=True), df, GOLD_KEYS[name]).checkpoint(eager=True)
+        out = zorder(df, GOLD_TABLES[name], partition_by=parts, materialize=True) if cluster else df
         written[name] = write_table(out, dest, mode="overwrite", partition_by=parts,
                                     as_table=as_table)["rows"]
     return written

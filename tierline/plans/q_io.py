@@ -133,14 +133,23 @@ FROM customer""")
 def q_evolve_append(spark, d):
     c = V.table(spark, d, "customer")
     path = scratch_path(spark, "evolve")
-    first = c.filter(F.col("c_custkey") % 2 == 1).drop("c_mktsegment")
-    second = c.filter(F.col("c_custkey") % 2 == 0)
+    first = c.filter(F.col("c_custkey") % 2 == 1).drop("c_mktsegment").withColumn("c_nationkey", F.col("c_nationkey").cast("smallint"))
     write_table(first, path, mode="overwrite")
-    write_table(second, path, mode="append")
-    stored = read_source(spark, path, "parquet")          # mergeSchema is on by default
-    # Same result without a round trip: the evolved union of both batches.
-    assert set(stored.columns) == set(evolve_append(first, second).columns)
-    return stored.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    out = evolve_append(read_table(spark, path), c.filter(F.col("c_custkey") % 2 == 0))
+    return out.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@register("merge_schema_write", "SNK-1, SRC-5, SRC-14", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+       CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS c_mktsegment
+FROM customer""")
+def q_merge_schema_write(spark, d):
+    """An append with a new column, stored and read by path."""
+    c = V.table(spark, d, "customer")
+    path = scratch_path(spark, "evolve-stored")
+    write_table(c.filter(F.col("c_custkey") % 2 == 1).drop("c_mktsegment"), path)
+    write_table(c.filter(F.col("c_custkey") % 2 == 0), path, mode="append", merge_schema=True)
+    return read_table(spark, path).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 @register("partition_overwrite", "SNK-2, SNK-4", V.with_views("orders_hdr") + """
@@ -222,6 +231,22 @@ def q_quarantine_split(spark, d):
     return bad.select("_corrupt_record", "o_orderkey", F.col("yr").cast("int"))
 
 
+@register("bad_row_counts", "SRC-7", """
+SELECT part, count(*) AS n, sum(k)::BIGINT AS keys FROM (
+  SELECT CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 'bad' ELSE 'good' END AS part, o_orderkey AS k FROM orders
+  UNION ALL SELECT 'good, dropped', o_orderkey FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0)
+GROUP BY part""")
+def q_bad_row_counts(spark, d):
+    """Both halves, each from a single column, and the counts."""
+    root = _write_landing(spark, d)
+    opts = {"glob": "*.txt", "schema": LANDING_SCHEMA, "header": False}
+    good, bad = read_landing(spark, root, bad_rows="quarantine", **opts)
+    dropped = read_landing(spark, root, bad_rows="drop", **opts)
+    one = [df.select(F.lit(part).alias("part"), F.col("o_orderkey").alias("k"))
+           for part, df in (("good", good), ("bad", bad), ("good, dropped", dropped))]
+    return one[0].unionByName(one[1]).unionByName(one[2]).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("keys"))
+
+
 AUDIT_TS = _dt.datetime(2024, 1, 1, 0, 0, 0)
 
 
@@ -268,6 +293,40 @@ def q_bronze_job(spark, d):
                                           "status", F.col("yr").cast("int"))
 
 
+_BRONZE_ROWS = """
+SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, o_totalprice AS total_amount,
+       CASE WHEN o_orderdate > TIMESTAMP '{cut}' THEN o_orderstatus END AS status, CAST(year(o_orderdate) AS INT) AS yr
+FROM orders"""
+
+
+def _bronze_twice(spark, d, **opts):
+    """A first load without ``status``, and an incremental one that has it."""
+    o = V.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.to_date("o_orderdate").alias("order_date"),
+        F.col("o_totalprice").alias("total_amount"), F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("yr"))
+    old = F.col("order_date") <= F.lit(TARGET_CUTOFF).cast("date")
+    root, dest = scratch_path(spark, "landing-evolved"), scratch_path(spark, "bronze-evolved")
+    for name, rows in (("a", o.filter(old).drop("status")), ("b", o.filter(~old))):
+        rows.repartition(4).write.option("header", True).csv(f"{root}/{name}")
+    load = dict(watermark_col="order_date", glob="*.csv", ingest_ts=INGEST_TS_FIXED, partition_by=["yr"], **opts)
+    to_bronze(spark, f"{root}/a", dest, mode="full", **load)
+    return to_bronze(spark, f"{root}/b", dest, mode="incremental", **load), dest
+
+
+@register("bronze_evolved", "BRZ-1, SRC-5, SNK-1, SNK-3", _BRONZE_ROWS.format(cut=TARGET_CUTOFF))
+def q_bronze_evolved(spark, d):
+    _, dest = _bronze_twice(spark, d, optimize=False)
+    return read_table(spark, dest).select("order_id", "order_date", "total_amount", "status", F.col("yr").cast("int"))
+
+
+@register("bronze_optimized", "BRZ-1, SNK-6", _BRONZE_ROWS.format(cut=TARGET_CUTOFF))
+def q_bronze_optimized(spark, d):
+    facts, dest = _bronze_twice(spark, d, optimize=True, min_rows_to_optimize=10)
+    if facts["files_after"] > facts["files_before"]:
+        raise RuntimeError(f"compaction left {facts['files_after']} files of {facts['files_before']}")
+    return read_table(spark, dest).select("order_id", "order_date", "total_amount", "status", F.col("yr").cast("int"))
+
+
 SILVER_AS_OF = "1998-01-01"
 
 
@@ -326,3 +385,57 @@ def q_json_roundtrip(spark, d):
     back = read_source(spark, path, "json", multiLine=False)
     assert all(t == "string" for _, t in back.dtypes)
     return enforce_schema(back, ev.schema)
+
+
+# Every stored gold table against the SQL of its product.
+_GOLD_PRODUCT = {"daily_sales_summary": "daily_sales", "product_performance": "product_performance",
+                 "category_performance": "category_performance", "customer_purchase_patterns": "customer_segments",
+                 "dim_product": "dim_product"}
+
+
+def _gold(spark, d, name, runs, mode):
+    from tierline.plans.q_products import AS_OF, SEG_FREQ, SEG_RECENCY, SEG_SPEND
+    root = scratch_path(spark, "gold-values")
+    segments = {"spend": SEG_SPEND, "freq": SEG_FREQ, "recency": SEG_RECENCY}
+    for keep in runs:
+        to_gold(V.sales(spark, d), V.products(spark, d), root, as_of=AS_OF, orders_hdr=V.orders_hdr(spark, d).filter(keep),
+                segments=segments, mode=mode, only=[name])
+    return read_table(spark, f"{root}/{name}")
+
+
+def register_gold(oracles: dict) -> None:
+    for name, product in _GOLD_PRODUCT.items():
+        def run(spark, d, name=name, product=product):
+            from tierline.plans.registry import all_queries
+            out = _gold(spark, d, name, [F.lit(True)], "overwrite")
+            want = all_queries()[product].run(spark, d).schema
+            return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want.fields])
+        register(f"gold_{name}", "GLD-1..6, SNK-2, SNK-7", oracles[product])(run)
+
+    @register("gold_merge", "GLD-1, SNK-5", oracles["daily_sales"])
+    def q_gold_merge(spark, d):
+        """Two merges whose days overlap: every day once, none lost."""
+        day = F.col("order_date")
+        runs = [day < F.lit("2000-09-01").cast("timestamp_ntz"), day >= F.lit("1998-03-01").cast("timestamp_ntz")]
+        return _gold(spark, d, "daily_sales_summary", runs, "merge")
+
+
+@register("snapshot_diff_added", "SNK-11", """
+SELECT c_custkey, c_acctbal, NULL AS c_mktsegment, 'update_preimage' AS _change_type FROM customer WHERE c_custkey % 3 = 0
+UNION ALL SELECT c_custkey, c_acctbal, c_mktsegment, 'update_postimage' FROM customer WHERE c_custkey % 3 = 0""")
+def q_snapshot_diff_added(spark, d):
+    """A column that only the new snapshot has, filled in every third row."""
+    c = V.table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    new = c.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment")))
+    return snapshot_diff(c.drop("c_mktsegment"), new, ["c_custkey"])
+
+
+@register("upsert_repeats", "SNK-5, CLN-6", """
+SELECT c_custkey, c_acctbal + CASE WHEN c_custkey % 4 = 0 THEN 2 ELSE 0 END AS c_acctbal,
+       CASE WHEN c_custkey % 4 = 0 THEN 2 ELSE 0 END AS seq FROM customer""")
+def q_upsert_repeats(spark, d):
+    """An update batch with two rows per key: the later one wins."""
+    c = V.table(spark, d, "customer").select("c_custkey", "c_acctbal", F.lit(0).alias("seq"))
+    some = c.filter(F.col("c_custkey") % 4 == 0)
+    updates = some.withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("c_acctbal", F.col("c_acctbal") + F.col("seq"))
+    return upsert(c, updates, ["c_custkey"], latest_by=["seq"])

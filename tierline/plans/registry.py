@@ -38,4 +38,6 @@ def register(name: str, operator: str, oracle: str | None = None):
 def all_queries() -> dict[str, Query]:
     # Import for the side effect of registering.
     from tierline.plans import q_products, q_cleanse, q_io, q_layout, q_monitoring, q_streaming  # noqa: F401
+    if "gold_merge" not in _REGISTRY:
+        q_io.register_gold({n: q.oracle for n, q in _REGISTRY.items()})
     return dict(_REGISTRY)

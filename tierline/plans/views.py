@@ -13,6 +13,8 @@ mapped name would be a CASE expression the scan cannot use).
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,17 +27,18 @@ STATUS_CODES = {v: k for k, v in STATUS_NAMES.items()}
 ACTIVE_MAX_SIZE = 40
 
 
-# Inferred schemas by path: later reads pass the schema and skip the footer
-# read (the dataset directories are read-only).
-_SCHEMAS: dict[str, object] = {}
+# Inferred schemas by session and path: later reads of a session pass the
+# schema and skip the footer read (the dataset directories are read-only).
+_SCHEMAS: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
+    known = _SCHEMAS.setdefault(spark, {})
+    schema = known.get(path)
     if schema is None:
         df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
+        known[path] = df.schema
         return df
     return spark.read.schema(schema).parquet(path)
 

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
-from tierline.session import checkpoint_root
+from pyspark.sql.types import StructType
 
 # Reader options per format, merged over the common ones.
 COMMON_OPTIONS = {"mergeSchema": "true"}
@@ -41,9 +39,39 @@ def read_source(spark: SparkSession, path, fmt: str = "csv", schema: StructType
     return reader.load(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a stored table by path."""
-    return spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = True) -> DataFrame:
+    """Read a stored table by path, with the columns of all its files."""
+    return spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower()).load(path)
+
+
+def _parsed_lines(spark: SparkSession, root: str, fmt: str, schema: StructType, opts: dict) -> DataFrame:
+    """Line files parsed against ``schema``: a struct ``r`` (with the corrupt
+    record's text) and the partition columns.
+
+    The file readers parse only the columns a query needs, so what counts as
+    a bad row there depends on the projection.  Here every line is parsed
+    whole, by one expression over the text source.
+    """
+    glob = opts.pop("pathGlobFilter")
+    header = opts.pop("header", "false") == "true"
+    for k in ("inferSchema", "mergeSchema"):
+        opts.pop(k, None)
+    if opts.pop("multiLine", "false") == "true":
+        raise ValueError("bad_rows needs one record per line (multiLine=false)")
+    lines = spark.read.option("pathGlobFilter", glob).text(root)
+    parts = [c for c in lines.columns if c != "value"]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + f", `{CORRUPT}` string"
+    opts = {**opts, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if fmt == "csv" and header:
+        names = [c for c in spark.read.options(header=True, sep=opts.get("sep", ","), pathGlobFilter=glob).csv(root).columns
+                 if c not in parts]
+        first = F.from_csv("value", ", ".join(f"h{i} string" for i in range(len(names))), {"sep": opts.get("sep", ",")})
+        is_header = F.lit(True)
+        for i, c in enumerate(names):
+            is_header = is_header & first[f"h{i}"].eqNullSafe(F.lit(c))
+        lines = lines.filter(~is_header)
+    parse = {"csv": F.from_csv, "json": F.from_json}[fmt]
+    return lines.filter(F.length("value") > 0).select(parse("value", ddl, opts).alias("r"), *parts)
 
 
 def read_landing(spark: SparkSession, root: str, glob: str = "*.csv", fmt: str = "csv",
@@ -51,35 +79,35 @@ def read_landing(spark: SparkSession, root: str, glob: str = "*.csv", fmt: str =
     """Read a landing area: every file under ``root`` whose name matches
     ``glob`` (``k=v`` directories become partition columns).
 
-    ``bad_rows``:
+    ``bad_rows`` (CSV and JSON files with one record per line):
       * ``None``         keep Spark's default (permissive) parsing
       * ``"drop"``       drop rows that do not fit ``schema`` (wrong type, too short)
       * ``"quarantine"`` return ``(good, bad)``: good rows without the
         corrupt-record column, and bad rows as ``_corrupt_record`` text plus
-        whatever fields did parse, and the partition columns.  Needs ``schema``.
+        whatever fields did parse, and the partition columns.
+
+    Which rows are bad does not depend on the columns selected later; nothing
+    is copied.  Needs ``schema``.  JSON is read with ``multiLine=true`` by
+    default, one file per task: pass ``multiLine=False`` for line files.
     """
     o = {"pathGlobFilter": glob, **opts}
-    if bad_rows == "drop":
-        return read_source(spark, root, fmt, schema, mode="DROPMALFORMED", **o)
-    if bad_rows == "quarantine":
-        if schema is None:
-            raise ValueError("quarantine needs an explicit schema")
-        if isinstance(schema, str):
-            schema = StructType.fromDDL(schema)
-        with_corrupt = StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])
-        df = read_source(spark, root, fmt, with_corrupt, mode="PERMISSIVE",
-                         columnNameOfCorruptRecord=CORRUPT, **o)
-        # Spark parses (and so validates) only the columns a query needs; a
-        # wrong value in an unused column would pass as good.  The full
-        # parse is therefore checkpointed once (every column required) and
-        # both outputs read the checkpoint.
-        checkpoint_root(spark)
-        df = df.checkpoint(eager=True)
-        data_cols = {f.name for f in with_corrupt.fields}
-        part_cols = [c for c in df.columns if c not in data_cols]
-        good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        bad = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, *schema.fieldNames(), *part_cols)
-        return good, bad
-    if bad_rows is not None:
+    if bad_rows is None:
+        return read_source(spark, root, fmt, schema, **o)
+    if bad_rows not in ("drop", "quarantine"):
         raise ValueError(f"bad_rows must be None, 'drop' or 'quarantine', not {bad_rows!r}")
-    return read_source(spark, root, fmt, schema, **o)
+    if fmt not in ("csv", "json"):
+        raise ValueError(f"bad_rows is for csv and json, not {fmt}")
+    if schema is None:
+        raise ValueError(f"bad_rows={bad_rows!r} needs an explicit schema")
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if fmt == "json":
+        o.setdefault("multiLine", False)
+    parsed = _parsed_lines(spark, root, fmt, schema, read_options(fmt, **o))
+    parts = [c for c in parsed.columns if c != "r"]
+    fields = [F.col("r")[f.name].alias(f.name) for f in schema.fields]
+    good = parsed.filter(F.col("r")[CORRUPT].isNull()).select(*fields, *parts)
+    if bad_rows == "drop":
+        return good
+    bad = parsed.filter(F.col("r")[CORRUPT].isNotNull()).select(F.col("r")[CORRUPT].alias(CORRUPT), *fields, *parts)
+    return good, bad
