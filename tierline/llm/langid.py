@@ -160,9 +160,11 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     sample = sample[sample["cols"].map(len) > 0].sort_values(["spot", "y", "cols"], kind="stable")
     langs = sorted(sample["y"].unique())
     vectors = []
-    for cols, n, y in zip(sample["cols"], sample["n"], sample["y"], strict=True):
-        c = np.frombuffer(cols, np.uint16).astype(np.int64)
-        vectors.append((c, vectorise(c, np.frombuffer(n, np.uint32).astype(float), idf), langs.index(y)))
+    for cols, n, y in zip(sample.pop("cols"), sample.pop("n"), sample["y"], strict=True):
+        c = np.frombuffer(cols, np.uint16)
+        v = vectorise(c, np.frombuffer(n, np.uint32).astype(float), idf)
+        vectors.append((c, v.astype(np.float32), langs.index(y)))       # six bytes a feature
+    del sample
     fit, held = [v for i, v in enumerate(vectors) if i % 5], vectors[::5]
     w = fit_ftrl(fit, len(langs), alpha, beta, l1, l2, epochs)
     t = calibrate(np.array([v @ w[c] for c, v, _ in held]), np.array([y for *_, y in held], int)) if held else 1.0
