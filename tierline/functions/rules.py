@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 # The rule patterns must equal the reference's rules.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
@@ -27,6 +27,4 @@ def as_date(c, dtype=None) -> Column:
         return col
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
         return F.to_date(col)
-    if dtype is None or isinstance(dtype, StringType):
-        return F.try_to_date(col.cast("string"))
     return F.try_to_date(col.cast("string"))

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
+from pyspark.sql.types import StringType, StructType
 
 from tierline.functions.rules import as_date
 
@@ -86,7 +86,3 @@ def null_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
     pairs = ", ".join(f"'{c}', n{i}" for i, c in enumerate(cols))
     return counts.selectExpr(f"stack({len(cols)}, {pairs}) AS (column, null_count)")
-
-
-def declared(schema: StructType) -> Mapping[str, DataType]:
-    return {f.name: f.dataType for f in schema.fields}

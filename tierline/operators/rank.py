@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.session import checkpoint_root
@@ -39,15 +39,6 @@ _ND = "__rk_nd"
 _OFF = "__rk_off"
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    """Join condition equating ``cols`` with null == null."""
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def rank_pairs(pairs: DataFrame, by: Sequence[str], metric: str, rank_col: str,
                descending: bool = True, num_partitions: int | None = None) -> DataFrame:
     """Dense rank of ``metric`` within ``by`` for rows that are unique on

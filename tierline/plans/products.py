@@ -151,7 +151,7 @@ def dim_product(products: DataFrame) -> DataFrame:
 
 
 def category_monthly_report(orders: DataFrame, products: DataFrame,
-                            status: str | None = COMPLETED) -> DataFrame:
+                            status: str | None = COMPLETED, exact_distinct: bool = True) -> DataFrame:
     """Category x year x month over completed lines with a known product
     (inner join): distinct orders, revenue, units and the weighted average
     unit price (revenue / units), ordered by category, year, month."""
@@ -160,7 +160,7 @@ def category_monthly_report(orders: DataFrame, products: DataFrame,
     return (joined.groupBy("category",
                            as_int(F.year("order_date")).alias("year"),
                            as_int(F.month("order_date")).alias("month"))
-            .agg(F.countDistinct("order_id").alias("orders"),
+            .agg(_distinct("order_id", exact_distinct).alias("orders"),
                  money_sum("total_amount").alias("revenue"),
                  F.sum("quantity").alias("units_sold"))
             .withColumn("average_unit_price", safe_ratio("revenue", "units_sold"))
@@ -168,14 +168,14 @@ def category_monthly_report(orders: DataFrame, products: DataFrame,
 
 
 def daily_category_sales(orders: DataFrame, products: DataFrame,
-                         status: str | None = COMPLETED) -> DataFrame:
+                         status: str | None = COMPLETED, exact_distinct: bool = True) -> DataFrame:
     """Revenue and distinct orders per day and category (inner join),
     ordered by day and category."""
     lines = _completed(orders, status)
     joined = lines.join(products.select("product_id", "category"), "product_id", "inner")
     return (joined.groupBy(F.to_date("order_date").alias("order_date"), "category")
             .agg(money_sum("total_amount").alias("daily_revenue"),
-                 F.countDistinct("order_id").alias("order_count"))
+                 _distinct("order_id", exact_distinct).alias("order_count"))
             .orderBy("order_date", "category"))
 
 

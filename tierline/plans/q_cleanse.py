@@ -41,6 +41,7 @@ CONTACTS_SQL = """WITH contacts AS (
     DATE '2000-06-01' + CAST(c_custkey % 400 AS INTEGER) AS signup_date
   FROM customer)
 """
+# The reference's two patterns, in DuckDB's dialect.
 EMAIL_BAD = r"NOT regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$')"
 PHONE_BAD = r"NOT regexp_matches(phone, '^\+?[0-9]{10,15}$')"
 DATE_BAD = f"signup_date > DATE '{DQ_AS_OF}'"
