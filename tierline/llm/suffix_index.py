@@ -50,7 +50,9 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import ddl_of, packed, stable
 
-WORD, CHUNK, WIDE = 32, 1 << 21, 1000
+WORD, CHUNK = 32, 1 << 20
+#: Contexts of one core that a task may gather: about 10 MB.
+WIDE = 20_000
 NO_ID = -(1 << 63)
 _CACHE: dict[str, tuple] = {}
 
@@ -259,25 +261,29 @@ def _resolved(groups: DataFrame, width: int) -> DataFrame:
             owner = np.repeat(b.column(0).to_numpy(), sizes)
             ids, hashes, pos, status = (flat.field(k).to_numpy() for k in range(4))
             out = [[], [], [], []]
-            step = 4000                                  # members at a time, whole groups
+            step = 2000                                  # members at a time
             cuts = np.concatenate([[0], np.cumsum(sizes)])
             lo = 0
-            while lo < len(sizes):
+            while lo < len(sizes):                       # whole groups, about so many members
                 hi = max(lo + 1, int(np.searchsorted(cuts, cuts[lo] + step, side="right")) - 1)
                 w = slice(int(cuts[lo]), int(cuts[hi]))
-                around = [unpack(x.as_py()) for x in flat.field(4)[w.start:w.stop]]
-                data = np.frombuffer(b"".join(around), np.uint8)
-                ends = np.cumsum([len(x) for x in around])
-                begin = ends - np.array([len(x) for x in around])
-                h = prefix_hashes(data, 0)
                 p = pos[w]
                 n = (p >> 12 & 4095) + 1                  # strings of each member
                 member = np.repeat(np.arange(len(p)), n)
                 k = np.arange(len(member)) - np.repeat(np.cumsum(n) - n, n)
-                at = begin[member] + k
+                code = np.empty(len(member), np.uint64)
+                upto = np.concatenate([[0], np.cumsum(n)])
+                for i in range(0, len(p), step):
+                    j = min(i + step, len(p))
+                    around = [unpack(x.as_py()) for x in flat.field(4)[w.start + i:w.start + j]]
+                    ends = np.cumsum([len(x) for x in around])
+                    begin = ends - np.array([len(x) for x in around])
+                    h = prefix_hashes(np.frombuffer(b"".join(around), np.uint8), 0)
+                    some = slice(int(upto[i]), int(upto[j]))
+                    at = begin[member[some] - i] + k[some]
+                    code[some] = span_hash(h, at, at + width, 0)
                 distance = ((p & 4095)[member] - k).astype(np.int64).astype(np.uint64)
-                code = _mix(span_hash(h, at, at + width, 0) + _mix(distance * np.uint64(0x9E3779B97F4A7C15)
-                                                                   + owner[w][member].view(np.uint64)))
+                code = _mix(code + _mix(distance * np.uint64(0x9E3779B97F4A7C15) + owner[w][member].view(np.uint64)))
                 _, inverse, count = np.unique(code, return_inverse=True, return_counts=True)
                 keep = np.flatnonzero((count[inverse] > 1) & (status[w][member] == 2))
                 if len(keep):
