@@ -73,7 +73,7 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return (bpe.digest(bpe.decode(coded, ranks))
+    return (bpe.decode(coded, ranks, digest=True)
             .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
 
 
