@@ -141,7 +141,7 @@ def fit_mcd(rows: DataFrame, keys: list[str], h: float, steps: int) -> DataFrame
     Quantiles are ``percentile_approx`` (error 1/10,000 of a group's rows)."""
     p = len(VECTOR)
     start = rows.groupBy(*keys).agg(*[F.percentile_approx(v, 0.5, 10000).alias(v) for v in VECTOR])
-    on = [F.col(k).eqNullSafe(F.col(f"m_{k}")) for k in keys] or [F.lit(True)]
+    on = [F.col(k).eqNullSafe(F.col(f"m_{k}")) for k in keys]
 
     def beside(model: DataFrame) -> DataFrame:
         return rows.join(model.withColumnsRenamed({k: f"m_{k}" for k in keys}), on).drop(*[f"m_{k}" for k in keys])
@@ -156,7 +156,7 @@ def fit_mcd(rows: DataFrame, keys: list[str], h: float, steps: int) -> DataFrame
         model = stable(model)
         far = beside(model).withColumn("d", _distance("prec", "mean"))
         cut = far.groupBy(*keys).agg(F.percentile_approx("d", h, 10000).alias("cut"))
-        inner = beside(model.join(cut, [model[k].eqNullSafe(cut[k]) for k in keys] or [F.lit(True)])
+        inner = beside(model.join(cut, [model[k].eqNullSafe(cut[k]) for k in keys])
                        .select(*[model[k] for k in keys], "mean", "prec", "cut")).filter(_distance("prec", "mean") <= F.col("cut"))
         moments = inner.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"), *[F.sum(v).alias(f"s{i}") for i, v in enumerate(VECTOR)],
@@ -166,7 +166,7 @@ def fit_mcd(rows: DataFrame, keys: list[str], h: float, steps: int) -> DataFrame
     # Consistency: the middle row of a group lies where a normal one would.
     scale = (beside(model).withColumn("d", _distance("prec", "mean")).groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("d", 0.5, 10000).alias("mid")))
-    return (model.join(scale, [model[k].eqNullSafe(scale[k]) for k in keys] or [F.lit(True)])
+    return (model.join(scale, [model[k].eqNullSafe(scale[k]) for k in keys])
             .select(*[model[k] for k in keys], "n", "mean", F.expr(
                 f"transform(prec, x -> x / greatest(mid / {CHI2_MEDIAN}, 1.0D))").alias("prec")))
 
@@ -192,12 +192,14 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     model = stable(fit_mcd(sound, ["level", "l", "s"], h, steps)
                    .filter((F.col("n") >= min_rows) | (F.col("level") == 2)))
     out = rows
-    for level, on in enumerate(({"l": "g_lang", "s": "g_source"}, {"l": "g_lang"}, {})):
+    for level, on in enumerate(({"l": "g_lang", "s": "g_source"}, {"l": "g_lang"})):
         m = (model.filter(F.col("level") == level)
              .select(F.col("l").alias("m_l"), F.col("s").alias("m_s"), F.col("mean").alias(f"mean{level}"),
                      F.col("prec").alias(f"prec{level}")))
-        cond = [F.col(f"m_{k}").eqNullSafe(F.col(v).cast("string")) for k, v in on.items()]
-        out = out.join(m, cond or [F.lit(True)], "left").drop("m_l", "m_s")
+        out = out.join(m, [F.col(f"m_{k}").eqNullSafe(F.col(v).cast("string")) for k, v in on.items()], "left").drop("m_l", "m_s")
+    whole = model.filter(F.col("level") == 2).first()                    # one row of 30 numbers
+    for c in ("mean", "prec"):
+        out = out.withColumn(f"{c}2", F.lit(whole[c]) if whole else F.lit(None).cast("array<double>"))
     out = (out.withColumn("mean", F.coalesce("mean0", "mean1", "mean2"))
            .withColumn("prec", F.coalesce("prec0", "prec1", "prec2")))
     worse = F.abs(F.col("z_len") - F.col("mean")[VECTOR.index("z_len")]) > FLOOR["z_len"]
