@@ -34,8 +34,9 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     threshold), and AQE splits skewed key partitions of the anti join.
     """
     keys = list(keys)
-    updates = dedup_latest(updates, keys, latest_by) if latest_by else one_per_key(updates, keys)
+    # The anti join takes the keys as they come (repeats do not matter there).
     upd_keys = updates.select(*[F.col(k).alias(f"__u_{k}") for k in keys])
+    updates = dedup_latest(updates, keys, latest_by) if latest_by else one_per_key(updates, keys)
     cond = None
     for k in keys:
         e = target[k].eqNullSafe(upd_keys[f"__u_{k}"])
