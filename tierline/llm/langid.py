@@ -146,9 +146,14 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     df = _document_frequencies(rows, text_col)
     idf = np.log((1 + df[DIM]) / (1 + df[:DIM])) + 1
     spot = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(11)), F.lit(1 << 30))
-    sizes = rows.groupBy(F.col(lang_col).alias("y")).agg(F.count(F.lit(1)).alias("n"))
-    drawn = (rows.select(spot.alias("spot"), F.col(lang_col).alias("y"), F.col(text_col).alias("text"))
-             .join(sizes, "y").filter(F.col("spot") < F.lit(float(per_lang)) / F.col("n") * (1 << 30)))
+    # One number per language, as the model has one column for each; joined,
+    # the texts would be shuffled by their few languages.
+    sizes = {r["y"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    bound = F.lit(0)
+    for y, n in sorted(sizes.items()):
+        bound = F.when(F.col(lang_col) == y, int(min(1.0, per_lang / n) * (1 << 30))).otherwise(bound)
+    drawn = (rows.filter(spot < bound)
+             .select(spot.alias("spot"), F.col(lang_col).alias("y"), F.col(text_col).alias("text")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
