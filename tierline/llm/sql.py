@@ -64,13 +64,13 @@ t4 AS (SELECT * EXCLUDE (n, p), CASE WHEN len(s) < 4 THEN NULL WHEN n >= 5 AND n
 t5 AS (SELECT * EXCLUDE (n, p), CASE WHEN len(s) < 5 THEN NULL WHEN n >= 5 AND n >= 0.01 * p THEN s[5] ELSE '*' END AS g5
   FROM (SELECT *, count(*) OVER (PARTITION BY host, g1, g2, g3, g4, s[5]) n,
         count(*) FILTER (WHERE len(s) >= 5) OVER (PARTITION BY host, g1, g2, g3, g4) p FROM t4)),
-tpl AS (SELECT page_id, host, path, rule, label, list_filter([g1, g2, g3, g4, g5], x -> x IS NOT NULL) AS tpl FROM t5),
+tpl AS (SELECT page_id, host, path, rule, label, list_filter([g1, g2, g3, g4, g5], lambda x: x IS NOT NULL) AS tpl FROM t5),
 lab AS (SELECT host, tpl, count(label) AS n_lab, count(*) FILTER (WHERE label = 'block') AS n_block FROM tpl GROUP BY ALL),
 kinds AS (
-  SELECT *, coalesce(list_position(list_transform(tpl, x -> x <> '*' AND x <> '**' AND NOT contains(x, '#')), true), 0) AS at,
+  SELECT *, coalesce(list_position(list_transform(tpl, lambda x: x <> '*' AND x <> '**' AND NOT contains(x, '#')), true), 0) AS lit_pos,
          CASE WHEN n_lab = 0 THEN 'unlabelled' WHEN n_block / n_lab >= 0.8 THEN 'blocked'
               WHEN n_block / n_lab <= 0.2 THEN 'allowed' ELSE 'mixed' END AS kind FROM lab),
-around AS (SELECT *, list_transform(tpl, (x, i) -> CASE WHEN i = at THEN '|' ELSE x END) AS ctx FROM kinds),
+around AS (SELECT *, list_transform(tpl, lambda x, i: CASE WHEN i = lit_pos THEN '|' ELSE x END) AS ctx FROM kinds),
 merged AS (SELECT *, min(array_to_string(tpl, '/')) OVER w AS template, sum(n_lab) OVER w AS m_lab, sum(n_block) OVER w AS m_block
   FROM around WINDOW w AS (PARTITION BY host, ctx, kind)),
 prior AS (SELECT CASE WHEN count(label) > 0 THEN count(*) FILTER (WHERE label = 'block') / count(label) ELSE 0 END AS p FROM ruled)
