@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierline.llm import bpe, langid, license_scan, quality_rules
-from tierline.llm.line_chunks import dedup_lines, with_chunks
+from tierline.llm.line_chunks import dedup_lines, dedup_passages, with_chunks
 from tierline.llm.url_filter import judge_urls
 
 MID = "/root/testdata/sf0.01"
@@ -91,6 +91,49 @@ def test_line_chunks_odd_inputs(spark):
     assert with_chunks(docs(spark, [(1, "a\nb")]), "text", 3, "chunks").first()["chunks"][0]["lines"] >= 1
 
 
+def brute_passages(rows):
+    seen, kept = {}, {}
+    for i, t in sorted(rows):
+        ls = t.split("\n")
+        at = [j for j, x in enumerate(ls) if x.strip()]
+        gone = set()
+        for k, (a, b) in enumerate(zip(at, at[1:])):
+            first = seen.setdefault("\n".join(ls[a:b + 1]), (i, k))
+            if first != (i, k):
+                gone |= set(range(a + (first == (i, k - 1)), b + 1))
+        kept[i] = "\n".join(x for j, x in enumerate(ls) if j not in gone)
+    return kept
+
+
+def test_passages_go_whole_wherever_they_stand(spark):
+    """Also runs of one line, alternating lines and passages of two lines."""
+    rng = random.Random(5)
+    passage = [f"shared {i}" if i % 7 else "" for i in range(40)]
+    rows = [(0, "\n".join(["same"] * 90 + ["a", "b"] * 30)), (1, "x\nsame\nsame\ny\na\nb\nz")]
+    for i in range(2, 80):
+        a, own = rng.randint(0, 37), [f"own {i} {j}" for j in range(rng.randint(1, 6))]
+        rows.append((i, "\n".join(own + passage[a:a + rng.randint(2, 5)] + [f"end {i}"] + [rng.choice("pq")] * rng.randint(0, 4))))
+    out = dedup_passages(docs(spark, rows, extra=True).repartition(5)).collect()
+    got, want = {r["doc_id"]: r["text"] for r in out}, brute_passages(rows)
+    assert got == want and got[0] == "same\nsame\na\nb" and got[1] == "x\ny\nz"
+    assert all(r["removed_lines"] == dict(rows)[r["doc_id"]].count("\n") - r["text"].count("\n") for r in out if r["text"])
+
+
+def test_pipeline_stage_cuts_short_and_periodic_passages(spark):
+    from corpus_pipeline import line_stage
+    rows = [(i, f"start {i}\nshared one\nshared two\nend {i}") for i in range(20)] + [(20, "\n".join(["run"] * 50))]
+    got = {r["doc_id"]: r["text"] for r in line_stage(spark, docs(spark, rows), "").collect()}
+    assert got == {0: rows[0][1], 20: "run\nrun"} | {i: f"start {i}\nend {i}" for i in range(1, 20)}
+
+
+def test_passages_odd_inputs(spark):
+    rows = dedup_passages(docs(spark, ODD, extra=True)).collect()
+    by = {r["doc_id"]: r["text"] for r in rows}
+    assert len(rows) == len(ODD) and by[1] is None and by[2] == "" and by[3] == " \t\n\n " and by[6] == "x"
+    assert [r["text"] for r in rows if r["doc_id"] == 4] == ["a b c\nd e f\ng"] * 2 and by[None] == ""
+    assert dedup_passages(docs(spark, [])).count() == 0
+
+
 # -- URL filter ---------------------------------------------------------------
 
 RULES = [("com", "/", "allow"), ("bad.com", "/x/", "block"), ("net", "/es/", "block")]

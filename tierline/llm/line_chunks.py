@@ -14,6 +14,12 @@ text has it (else the chunk stays).
 Shuffles: chunk texts once (combined map-side, so copies move once per
 task), occurrences without text once, whole documents once for the rebuild.
 
+``dedup_passages`` has no cuts at all: every two neighbouring full lines, with
+the blank ones between them, are a window, and a window that stands at an
+earlier place goes.  So a repeated passage of two or more full lines goes whole
+wherever it stands, runs and alternating lines too, and the first place of
+every line stays.
+
 Defined results: a null text has no lines and stays null; an empty text is
 one empty line and stays.  Null doc_ids count as the last ids.  Rows that are
 equal in doc_id and text are treated alike.  Extra columns are kept.
@@ -83,3 +89,53 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("n_removed", F.coalesce(F.size(gone), F.lit(0)))
             .withColumn("removed_lines", F.coalesce(lost, F.lit(0)))
             .drop(chunks, gone))
+
+
+def line_windows(docs: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame:
+    """(key, id, h, no, digest): one row per two neighbouring full lines of a
+    document, with the 128-bit MD5 of their bytes and of what is between."""
+    digest = """transform(sequence(0, size(at) - 2), k ->
+                    unhex(md5(array_join(slice(ls, at[k] + 1, at[k + 1] - at[k] + 1), '\n'))))"""
+    digests = _let(_full("ls"), "at", f"if(size(at) < 2, array(), {digest})")
+    return (docs.filter(F.col(text_col).isNotNull())
+            .select(F.col(key), F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)).alias("id"), F.col(f"{key}.h").alias("h"),
+                    F.posexplode(F.expr(_let(f"split(`{text_col}`, '\n', -1)", "ls", digests))).alias("no", "digest")))
+
+
+def _full(ls: str) -> str:
+    """SQL for the places of the lines with a character other than white space."""
+    return f"filter(sequence(0, size({ls}) - 1), i -> {ls}[i] rlike '\\\\S')"
+
+
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the windows of two full lines that stand at an earlier
+    place (smaller id, text hash, window number), and the column
+    ``removed_lines``.  Of a window that overlaps its first place (a run of one
+    line) the second line goes, so that the first place stays whole.
+
+    Shuffles: digests and places twice, whole documents once for the rebuild.
+    """
+    key, other, gone, left = (fresh(c, docs) for c in ("__key", "__other", "__gone", "__left"))
+    keyed = docs.withColumn(key, doc_key(id_col, text_col))
+    rows = line_windows(keyed, id_col, text_col, key)
+    place = F.struct("id", "h", "no")
+    repeated = (rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+                .filter("n > 1").select("digest", "first"))
+    overlaps = (F.col("first.id") == F.col("id")) & (F.col("first.h") == F.col("h")) & (F.col("first.no") == F.col("no") - 1)
+    cut = (rows.join(repeated, "digest").filter(place > F.col("first"))
+           .groupBy(F.col(key).alias(other))
+           .agg(F.sort_array(F.collect_set(F.col("no") * 2 + overlaps.cast("int"))).alias(gone)))
+    # f[k]: 0 for a window that goes, 1 for one that overlaps its first place, else -1 or null
+    flags = f"""flatten(transform({gone}, (c, j) -> concat(
+                    array_repeat(-1, int(c div 2 - if(j = 0, 0, {gone}[j - 1] div 2 + 1))), array(c % 2))))"""
+    part = """concat(if(coalesce(get(f, k - 1), -1) >= 0 or coalesce(get(f, k), -1) = 0, array(), slice(ls, at[k] + 1, 1)),
+                     if(coalesce(get(f, k), -1) >= 0, array(), slice(ls, at[k] + 2, coalesce(get(at, k + 1), size(ls)) - at[k] - 1)))"""
+    kept = f"concat(slice(ls, 1, at[0]), flatten(transform(sequence(0, size(at) - 1), k -> {part})))"
+    lines = f"split(`{text_col}`, '\n', -1)"
+    rebuilt = _let(lines, "ls", _let(_full("ls"), "at", _let(flags, "f", kept)))
+    j = keyed.join(cut, F.col(key).eqNullSafe(F.col(other)), "left").drop(other, key)
+    is_cut = F.col(gone).isNotNull()
+    return (j.withColumn(left, F.when(is_cut, F.expr(rebuilt)))
+            .withColumn("removed_lines", F.when(is_cut, F.size(F.expr(lines)) - F.size(left)).otherwise(F.lit(0)))
+            .withColumn(text_col, F.when(is_cut, F.array_join(left, "\n")).otherwise(F.col(text_col)))
+            .drop(gone, left))
