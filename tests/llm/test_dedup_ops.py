@@ -144,6 +144,22 @@ def test_syncmers_match_their_definition():
     assert syncmer.anchors(codes)[0].tolist() == want
 
 
+def test_fingerprints_keep_the_anchors_of_any_passage():
+    """A passage planted in a long text is seen in the likeness, and every
+    anchor of the passage is in the fingerprint of the whole."""
+    rng = random.Random(3)
+
+    def text(n):
+        return "".join(rng.choice("abcdefgh ijklm") for _ in range(n))
+
+    for _ in range(30):
+        a, b = text(6000), text(6000)
+        passage = a[2000:2500]
+        prints = [syncmer.sketch(syncmer.codes_of(x)) for x in (a, b, b[:3000] + passage + b[3500:], passage)]
+        assert set(prints[3].tolist()) <= set(prints[0].tolist()) & set(prints[2].tolist())
+        assert syncmer.likeness(prints[0], prints[2]) > syncmer.likeness(prints[0], prints[1])
+
+
 def test_compare_with_next_matches_brute_force(spark):
     rng = random.Random(9)
     rows = [(i * 3 % 101, "".join(rng.choice("abcdefg é") for _ in range(rng.choice([0, 1, 7, 300])))) for i in range(101)]

@@ -3,13 +3,12 @@
 A k-mer of code points is a closed syncmer if the smallest hash among its
 inner s-mers lies at its first or last s-mer: whether it is chosen depends on
 its own k characters only, so a passage keeps its anchors wherever it stands.
-The fingerprint holds the ``size`` anchors with the smallest hashes (each
-distinct hash once), in the order of their first places in the text, as 8 hex
-digits each.
+The fingerprint holds all anchors (each distinct hash once), in the order of
+their first places in the text, as 8 hex digits each, and so grows with it.
 
-``likeness`` of two fingerprints matches anchors by position: among the
-``size`` smallest hashes of both, the longest run of shared anchors in the
-same order (not necessarily adjacent), divided by their number.
+``likeness`` of two fingerprints matches anchors by position: the longest run
+of shared anchors in the same order (not necessarily adjacent), divided by the
+number of anchors of both.
 
 Defined results: an empty text has the empty fingerprint; a text shorter than
 k has one anchor, its whole; two empty fingerprints have likeness 1, one
@@ -30,7 +29,8 @@ from pyspark.sql.window import Window
 
 from tierline.llm.common import ddl_of, packed, stable
 
-K, S, SIZE = 16, 5, 32
+K, S = 16, 5
+ROWS = 1000                    # documents whose fingerprints a task holds at once
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -69,29 +69,25 @@ def anchors(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.n
     return at, (_mix(h) >> np.uint64(32)).astype(np.uint32)
 
 
-def sketch(codes: np.ndarray, size: int = SIZE) -> np.ndarray:
+def sketch(codes: np.ndarray) -> np.ndarray:
     """The fingerprint as an array of 32-bit hashes in text order."""
     _, h = anchors(codes)
-    values, first = np.unique(h, return_index=True)
-    return values[:size][np.argsort(first[:size], kind="stable")]
+    return h[np.sort(np.unique(h, return_index=True)[1])]
 
 
 def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
-def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
     if len(a) == 0 or len(b) == 0:
         return 1.0 if len(a) == len(b) else 0.0
-    both = np.union1d(a, b)[:size]
-    place = {int(h): i for i, h in enumerate(b)}
-    limit = int(both[-1])
+    _, at, place = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     tails: list[int] = []                      # longest increasing run of places
-    for h in a.tolist():
-        if h <= limit and (p := place.get(h)) is not None:
-            i = bisect_left(tails, p)
-            tails[i:i + 1] = [p]
-    return len(tails) / len(both)
+    for p in place[np.argsort(at)].tolist():
+        i = bisect_left(tails, p)
+        tails[i:i + 1] = [p]
+    return len(tails) / (len(a) + len(b) - len(place))
 
 
 def fingerprint_string(f: np.ndarray) -> str:
@@ -114,7 +110,6 @@ def fingerprint_docs(docs: DataFrame, text_col: str = "text", out: str = "finger
 
 _RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, print binary, edited_print binary, "
            "near_edited double, near_next double")
-_EDGE = "part int, side int, text binary"
 
 
 def _unpack(z: bytes) -> str:
@@ -139,39 +134,47 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     as many (or all) of the next document in ascending id order (after the
     last: the first; null ids come first; equal ids by text hash and text).
 
-    Whole documents, compressed, are shuffled once, by ranges of (id, text hash).  Each
-    task walks its sorted rows and holds one document back; the last document
-    of a range meets the first of the next range in a second, small join over
-    two rows per range.
+    Whole documents, compressed, are shuffled once, by ranges of (id, text hash), and
+    written; the fingerprints, larger than that, never are.  Each task walks its
+    sorted rows; the last document of a range meets the first of the next range
+    in a second, small join over two rows per range.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    ranged = (packed(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h")), "text")
+    ranged = (packed(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h")), "text", level=3)
               .repartitionByRange(F.asc_nulls_first("doc_id"), F.asc("h"))
               .sortWithinPartitions(F.asc_nulls_first("doc_id"), "h", "text")
               .withColumn("part", F.spark_partition_id()))
-    cols = ["doc_id", "n_chars", "edited_sha256", "print", "edited_print", "near_edited", "near_next", "part", "side", "text"]
+    ranged = stable(ranged.select("doc_id", "text", "part"))
+    cols = ["doc_id", "n_chars", "edited_sha256", "print", "edited_print", "near_edited", "near_next"]
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for b in batches:
-            out = []
-            for doc_id, z, part in zip(b["doc_id"].astype("Int64"), b["text"], b["part"], strict=True):
-                doc_id, t = None if doc_id is pd.NA else int(doc_id), _unpack(z)
-                own = sketch(codes_of(t))
-                if held is None:
-                    out.append((None,) * 7 + (part, 0, z))
-                else:
-                    out.append(_compare(*held[:3], t, own) + (None, None, None))
-                held = (doc_id, t, own, part, z)
-            yield pd.DataFrame(out, columns=cols).astype({"doc_id": "Int64", "n_chars": "Int64", "part": "Int32", "side": "Int32"})
-        if held is not None:
-            yield pd.DataFrame([(held[0],) + (None,) * 6 + (held[3], 1, held[4])], columns=cols).astype(
-                {"doc_id": "Int64", "n_chars": "Int64", "part": "Int32", "side": "Int32"})
-
-    walked = stable(ranged.select("doc_id", "text", "part").mapInPandas(walk, f"{_RESULT}, {_EDGE}"))
-    done = walked.filter("part is null").drop("part", "side", "text")
-
-    edges = walked.filter("part is not null").select("doc_id", "part", "side", "text")
+            for at in range(0, len(b), ROWS):
+                out, some = [], b.iloc[at:at + ROWS]
+                for doc_id, z in zip(some["doc_id"].astype("Int64"), some["text"], strict=True):
+                    t = _unpack(z)
+                    own = sketch(codes_of(t))
+                    if held is not None:
+                        out.append(_compare(*held, t, own))
+                    held = (None if doc_id is pd.NA else int(doc_id), t, own)
+                yield pd.DataFrame(out, columns=cols).astype({"doc_id": "Int64", "n_chars": "Int64"})
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(b: pa.RecordBatch, side: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*b.columns, pa.array([side], pa.int32())], [*b.schema.names, "side"])
+
+        last = None
+        for b in batches:
+            if b.num_rows:
+                if last is None:
+                    yield row(b.slice(0, 1), 0)
+                last = b.slice(b.num_rows - 1, 1)
+        if last is not None:
+            yield row(last, 1)
+
+    done = ranged.select("doc_id", "text").mapInPandas(walk, _RESULT)
+    edges = stable(ranged.mapInArrow(ends, "doc_id bigint, text binary, part int, side int"))
     parts = edges.filter("side = 0").select("part")                  # one number per range
     ring = (parts.withColumn("n", F.lead("part").over(Window.orderBy("part")))
             .withColumn("n", F.coalesce("n", F.min("part").over(Window.partitionBy()))))
