@@ -126,6 +126,12 @@ def test_pipeline_stage_cuts_short_and_periodic_passages(spark):
     assert got == {0: rows[0][1], 20: "run\nrun"} | {i: f"start {i}\nend {i}" for i in range(1, 20)}
 
 
+def test_no_repeat_of_two_lines_stays(spark):
+    rows = [(i, "\n".join([f"top {i}", *(f"{i // 10} line {k}" for k in range(2 + i // 10)), f"foot {i}"])) for i in range(40)]
+    got = {r["doc_id"]: r["text"] for r in dedup_passages(docs(spark, rows)).collect()}
+    assert got == {i: t if i % 10 == 0 else f"top {i}\nfoot {i}" for i, t in rows}
+
+
 def test_passages_odd_inputs(spark):
     rows = dedup_passages(docs(spark, ODD, extra=True)).collect()
     by = {r["doc_id"]: r["text"] for r in rows}
