@@ -78,3 +78,49 @@ SELECT t.page_id, t.host, t.path, t.rule, m.template,
        coalesce(t.label, CASE WHEN m.m_lab >= 5 AND (m.m_block + 5 * prior.p) / (m.m_lab + 5) > 0.6 THEN 'block' ELSE 'allow' END) AS verdict
 FROM tpl t JOIN merged m USING (host, tpl), prior
 """
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT page_id, h, strlen(h) AS n, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+def vector_codes(parts: int, entries: int, rounds: int, scale: int, dims: int) -> str:
+    """The rounds of the codebooks, one pair of tables each."""
+    w = dims // parts
+
+    def nearest(books: str) -> str:
+        # distance and entry as one number: the least distance, then the least entry
+        return f"""SELECT r, p, min(d * {entries} + e) AS k FROM (
+            SELECT r, c.p, b.e, sum((c.v - b.v) * (c.v - b.v))::HUGEINT AS d FROM comp c JOIN {books} b USING (j) GROUP BY r, c.p, b.e)
+          GROUP BY r, p"""
+
+    steps = [f"b0 AS MATERIALIZED (SELECT j, p, rank - 1 AS e, v FROM comp WHERE rank <= {entries})"]
+    for i in range(rounds):
+        steps.append(f"n{i} AS MATERIALIZED ({nearest(f'b{i}')})")
+        steps.append(f"""b{i + 1} AS MATERIALIZED (
+          SELECT b.j, b.p, b.e, CASE WHEN s.n IS NULL THEN b.v ELSE (s.s - ((s.s % s.n) + s.n) % s.n) // s.n END AS v
+          FROM b{i} b LEFT JOIN (
+            SELECT c.j, n.k % {entries} AS e, sum(c.v)::HUGEINT AS s, count(*)::HUGEINT AS n
+            FROM comp c JOIN n{i} n ON c.r = n.r AND c.p = n.p GROUP BY c.j, n.k % {entries}) s ON s.j = b.j AND s.e = b.e)""")
+    books = f"b{rounds}"
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+comp AS MATERIALIZED (
+  SELECT r, r AS rank, g.j, g.j // {w} AS p, floor({scale} * embedding[g.j + 1]::DOUBLE)::HUGEINT AS v
+  FROM kept, (SELECT unnest(range({dims})) AS j) g),
+{", ".join(steps)},
+final AS MATERIALIZED ({nearest(books)}),
+coded AS (
+  SELECT r, string_agg(printf('%02x', (k % {entries})::INT), '' ORDER BY p) AS code, sum(k // {entries})::BIGINT AS error FROM final GROUP BY r),
+hashed AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM {books})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), hashed
+"""
