@@ -42,7 +42,7 @@ def finite(c) -> Column:
 
 def cents(c) -> Column:
     """A money value in whole cents (BIGINT), rounded half up; null if not finite."""
-    return F.round(F.round(finite(c), 2) * 100).cast("long")
+    return F.rint(F.round(finite(c), 2) * 100).cast("long")
 
 
 # Places of a metric value that sums keep.

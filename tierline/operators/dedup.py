@@ -20,13 +20,14 @@ from pyspark.sql.window import Window
 _RANK = "__latest"
 
 
-def _orderable(dtype) -> bool:
+def orderable(dtype) -> bool:
+    """Whether values of the type can be sorted."""
     if isinstance(dtype, (MapType, VariantType)):
         return False
     if isinstance(dtype, StructType):
-        return all(_orderable(f.dataType) for f in dtype.fields)
+        return all(orderable(f.dataType) for f in dtype.fields)
     if isinstance(dtype, ArrayType):
-        return _orderable(dtype.elementType)
+        return orderable(dtype.elementType)
     return True
 
 
@@ -44,6 +45,6 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     if not order_by:
         raise ValueError("dedup_latest needs an order column")
     first = [*order_by, *ties]
-    rest = [f.name for f in df.schema.fields if f.name not in {*first, *keys} and _orderable(f.dataType)]
+    rest = [f.name for f in df.schema.fields if f.name not in {*first, *keys} and orderable(f.dataType)]
     w = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in [*first, *rest]])
     return df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) == 1).drop(_RANK)

@@ -13,10 +13,11 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, MapType, NumericType, StringType, TimestampNTZType,
                                TimestampType, VariantType)
+from pyspark.sql.window import Window
 
 from tierline.functions.zorder import interleave_bits
 from tierline.operators.rank import rank_pairs
@@ -126,9 +127,11 @@ def zorder(df: DataFrame, cols: Sequence[str], bits: int | None = None,
     out, sample, drop = df, _sample(df, numeric) if numeric else None, list(names)
     for c, dt, name in numeric:
         bounds = _bounds(sample[name].to_numpy(float), 1 << bits)
+        # A column of few values takes the high bits, else the others would go first.
+        up = bits - len(bounds).bit_length()
         out = out.withColumn(f"__s{name}", F.coalesce(_numeric_surrogate(c, dt), F.lit(float("-inf"))))
-        out = _bucketed(out, f"__s{name}", name, bounds)
-        sample[name] = np.searchsorted(bounds, sample[name].to_numpy(float), side="right")
+        out = _bucketed(out, f"__s{name}", name, bounds).withColumn(name, F.shiftleft(name, up))
+        sample[name] = np.searchsorted(bounds, sample[name].to_numpy(float), side="right") << up
         drop.append(f"__s{name}")
     for c, name in strings:
         out = _rank_buckets(out, c, bits, name)
@@ -168,6 +171,36 @@ def table_detail(df: DataFrame) -> DataFrame:
         "num_columns", F.lit(len(df.columns)))
 
 
+def file_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(file, column, lo, hi): least and greatest value per file and column of
+    a file-source DataFrame, as numbers; a file without values has no row."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    x = [_numeric_surrogate(c, types[c]) for c in cols]
+    per = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        *[F.min(v).alias(f"lo{i}") for i, v in enumerate(x)], *[F.max(v).alias(f"hi{i}") for i, v in enumerate(x)])
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi")) for i, c in enumerate(cols)]
+    return per.select("file", F.explode(F.array(*rows)).alias("r")).select("file", "r.*").filter(F.col("lo").isNotNull())
+
+
+def overlap_depth(ranges: DataFrame) -> DataFrame:
+    """(column, files, mean_depth, max_depth): how many files' ranges overlap a
+    file's own, itself included, on average, and the most files that share one
+    value.  1 is a table sorted by the column; ``files`` one that prunes nothing.
+
+    A sweep over the ends of the ranges: two rows per file, not per row of the
+    table, are sorted in one task per column."""
+    ends = ranges.select("column", F.explode(F.array(F.struct(F.col("lo").alias("x"), F.lit(0).alias("end")),
+                                                     F.struct(F.col("hi").alias("x"), F.lit(1).alias("end")))).alias("e")).select("column", "e.*")
+    # Ranges that touch overlap: at one value the lower ends come first.
+    upto = Window.partitionBy("column").orderBy("x", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = ends.withColumns({"opened": F.sum(1 - F.col("end")).over(upto), "closed": F.sum("end").over(upto)})
+    # A file overlaps all that opened up to its end, but those that closed before it opened.
+    return swept.groupBy("column").agg(
+        F.sum("end").alias("files"),
+        ((F.sum(F.when(F.col("end") == 1, F.col("opened"))) - F.sum(F.when(F.col("end") == 0, F.col("closed")))) / F.sum("end")).alias("mean_depth"),
+        F.max(F.col("opened") - F.col("closed") + F.col("end")).alias("max_depth"))
+
+
 def input_bytes(df: DataFrame) -> int:
     """Total bytes of the files behind a DataFrame (0 without files), from
     their listing."""
@@ -180,6 +213,23 @@ def input_bytes(df: DataFrame) -> int:
     return int(total)
 
 
+def file_sizes(spark: SparkSession, directory: str) -> list[int]:
+    """Bytes of the data files in one directory, from its listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    p = path(spark._jvm.java.net.URI(directory)) if ":" in directory.split("/")[0] else path(directory)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return [int(s.getLen()) for s in found if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+
+
+def worth_compacting(sizes: Sequence[int], target_file_mb: int = 128) -> bool:
+    """Whether a directory should be rewritten: two or more files are under
+    half the target size and hold a quarter of the bytes.  So a row is
+    rewritten about four times at most while its table grows, and a large table
+    is left alone by a small load."""
+    small = [s for s in sizes if s < target_file_mb << 19]
+    return len(small) > 1 and 4 * sum(small) >= sum(sizes)
+
+
 def needs_compaction(n_rows: int, min_rows: int = 100_000) -> bool:
     """The bronze gate: compact only tables above ``min_rows`` rows."""
     return n_rows > min_rows

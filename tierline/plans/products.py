@@ -119,7 +119,12 @@ def customer_patterns(orders: DataFrame, as_of=None, status: str | None = None,
                 F.min("order_date").alias("first_purchase_date"),
                 F.max("order_date").alias("last_purchase_date"),
                 _distinct("product_id", exact_distinct).alias("unique_products_purchased")))
-    return (agg
+    return with_recency(agg, as_of)
+
+
+def with_recency(patterns: DataFrame, as_of=None) -> DataFrame:
+    """Adds the days since the last purchase and the lifespan in days."""
+    return (patterns
             .withColumn("days_since_last_purchase",
                         as_int(F.datediff(_as_of(as_of), F.to_date("last_purchase_date"))))
             .withColumn("customer_lifespan_days",

@@ -168,3 +168,26 @@ def _profile_sql(cols):
 @register("profile_exact", "VAL-3", _profile_sql(_PROFILE_COLS))
 def q_profile_exact(spark, d):
     return Q.profile(V.table(spark, d, "lineitem"), _PROFILE_COLS)
+
+
+SKETCH_K = 400
+
+
+@register("profile_sketches", "VAL-3", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, count({c}) AS count, true AS p25_close, true AS p50_close, true AS p75_close FROM lineitem" for c in _PROFILE_COLS))
+def q_profile_sketches(spark, d):
+    """One sketch per return flag, merged; the ranks of its quartiles among all
+    rows are within the sketch's bound."""
+    li = V.table(spark, d, "lineitem")
+    merged = Q.merge_sketches(Q.profile_sketches(li, _PROFILE_COLS, by=["l_returnflag"], k=SKETCH_K), _PROFILE_COLS)
+    told = {r["column"]: r for r in Q.sketch_profile(merged, _PROFILE_COLS).collect()}
+    bound = Q.kll_rank_bound(SKETCH_K)
+
+    def close(c, i, p):
+        q, n = F.lit(told[c][f"q{i}"]), F.count(c)
+        return ((F.count_if(F.col(c) < q) <= (p + bound) * n) & (F.count_if(F.col(c) <= q) >= (p - bound) * n)).alias(f"{c}{i}")
+
+    one = li.agg(*[close(c, i, p) for c in _PROFILE_COLS for i, p in enumerate(Q.PERCENTILES)])
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(told[c]["count"]).cast("bigint").alias("count"),
+                     *[F.col(f"{c}{i}").alias(f"p{int(p * 100)}_close") for i, p in enumerate(Q.PERCENTILES)]) for c in _PROFILE_COLS]
+    return one.select(F.explode(F.array(*rows)).alias("s")).select("s.*")

@@ -10,7 +10,9 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, LongType, StructField, StructType
 
+from tierline.operators.changefeed import change_feed, store_snapshot
 from tierline.operators.cleanse import enforce_schema
 from tierline.operators.merge import snapshot_diff, upsert
 from tierline.plans import views as V
@@ -18,6 +20,7 @@ from tierline.plans.registry import register
 from tierline.session import scratch_path
 from tierline.sinks.writers import audit_row, evolve_append, write_csv, write_table
 from tierline.sources import incremental as I
+from tierline.sources.footers import footer_aggregates
 from tierline.sources.readers import read_landing, read_source, read_table
 
 TARGET_CUTOFF = "2001-01-01"
@@ -34,7 +37,32 @@ _WM_SQL = f"(SELECT max(o_orderdate) FROM orders WHERE o_orderdate <= TIMESTAMP
 @register("high_watermark", "SRC-10, AGG-7", f"""
 SELECT max(o_orderdate) AS max_watermark FROM orders WHERE o_orderdate <= TIMESTAMP '{TARGET_CUTOFF}'""")
 def q_high_watermark(spark, d):
-    return I.watermark_frame(_bronze_target(spark, d), "order_date")
+    """Of a stored target; a timestamp has no statistics Spark would push down."""
+    target = _stored_target(spark, d, _bronze_target(spark, d))
+    kind = target.schema["order_date"].dataType
+    wm = I.high_watermark(target, "order_date", stored=True)
+    return spark.createDataFrame([(wm,)], StructType([StructField("max_watermark", kind)]))
+
+
+def _stored_target(spark, d, target):
+    path = scratch_path(spark, "target")
+    write_table(target, path)
+    return read_table(spark, path)
+
+
+FOOTER_FACTS = {"row_count": ("count", None), "max_order_date": ("max", "order_date"), "min_order_id": ("min", "order_id"),
+                "max_total": ("max", "total_amount")}
+
+
+@register("footer_watermark", "SRC-10, VAL-1, AGG-4, AGG-7, AGG-10", f"""
+SELECT count(*) AS row_count, max(CAST(o_orderdate AS DATE)) AS max_order_date, min(o_orderkey) AS min_order_id,
+       max(o_totalprice) AS max_total FROM orders WHERE o_orderdate <= TIMESTAMP '{TARGET_CUTOFF}'""")
+def q_footer_watermark(spark, d):
+    """Watermark and counts of a stored target from its file footers."""
+    stored = _stored_target(spark, d, _bronze_target(spark, d).withColumn("order_date", F.to_date("order_date")))
+    facts = footer_aggregates(stored, FOOTER_FACTS)
+    kinds = {"row_count": LongType(), "max_order_date": DateType(), "min_order_id": stored.schema["order_id"].dataType, "max_total": DoubleType()}
+    return spark.createDataFrame([tuple(facts[n] for n in kinds)], StructType([StructField(n, k) for n, k in kinds.items()]))
 
 
 @register("incremental_load", "SRC-11, FLT-4", V.with_views("orders_hdr") + f"""
@@ -126,6 +154,31 @@ def q_snapshot_diff(spark, d):
     return snapshot_diff(old, new, ["c_custkey"])
 
 
+# Changes to the keys below this only: the other ranges are never read.
+FEED_KEYS, FEED_SPAN = 400, 128
+
+
+@register("change_feed", "SNK-11, JOIN-4", f"""WITH new_snap AS (
+  SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 10 = 0 AND c_custkey < {FEED_KEYS} THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+  FROM customer WHERE NOT (c_custkey % 25 = 7 AND c_custkey < {FEED_KEYS})
+  UNION ALL SELECT c_custkey + {NEW_KEY_OFFSET}, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey <= 5)
+SELECT *, 'update_preimage' AS _change_type FROM customer WHERE c_custkey % 10 = 0 AND c_custkey < {FEED_KEYS} AND c_custkey % 25 <> 7
+UNION ALL SELECT n.*, 'update_postimage' FROM new_snap n WHERE c_custkey % 10 = 0 AND c_custkey < {FEED_KEYS}
+UNION ALL SELECT *, 'delete' FROM customer WHERE c_custkey % 25 = 7 AND c_custkey < {FEED_KEYS}
+UNION ALL SELECT n.*, 'insert' FROM new_snap n WHERE c_custkey >= {NEW_KEY_OFFSET}""")
+def q_change_feed(spark, d):
+    """Between two stored snapshots, by the digests of their key ranges."""
+    old, new = scratch_path(spark, "snapshot-old"), scratch_path(spark, "snapshot-new")
+    c = V.table(spark, d, "customer")
+    few = F.col("c_custkey") < FEED_KEYS
+    changed = (c.filter(~((F.col("c_custkey") % 25 == 7) & few))
+               .withColumn("c_acctbal", F.when((F.col("c_custkey") % 10 == 0) & few, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
+               .unionByName(c.filter(F.col("c_custkey") <= 5).withColumn("c_custkey", F.col("c_custkey") + NEW_KEY_OFFSET)))
+    store_snapshot(c, old, ["c_custkey"], span=FEED_SPAN)
+    store_snapshot(changed, new, ["c_custkey"], span=FEED_SPAN)
+    return change_feed(spark, old, new, ["c_custkey"])
+
+
 @register("evolve_append", "SNK-3, SRC-4, SRC-5, SNK-1", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal,
        CASE WHEN c_custkey % 2 = 1 THEN NULL ELSE c_mktsegment END AS c_mktsegment
@@ -293,6 +346,26 @@ def q_bronze_job(spark, d):
                                           "status", F.col("yr").cast("int"))
 
 
+@register("incremental_overlap", "SRC-11, BRZ-1", """
+SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, o_totalprice AS total_amount, CAST(year(o_orderdate) AS INT) AS yr
+FROM orders""")
+def q_incremental_overlap(spark, d):
+    """Late rows at the mark, and a load that is run twice."""
+    o = V.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.to_date("o_orderdate").alias("order_date"),
+        F.col("o_totalprice").alias("total_amount"), F.year("o_orderdate").alias("yr"))
+    cut = o.filter(F.col("order_date") <= F.lit(TARGET_CUTOFF).cast("date")).agg(F.max("order_date")).first()[0]
+    late = (F.col("order_date") == F.lit(cut)) & (F.col("order_id") % 2 == 1)
+    landing, dest = scratch_path(spark, "landing-late"), scratch_path(spark, "bronze-late")
+    load = dict(watermark_col="order_date", glob="*.csv", ingest_ts=INGEST_TS_FIXED, optimize=False)
+    o.filter((F.col("order_date") <= F.lit(cut)) & ~late).write.option("header", True).csv(f"{landing}/a")
+    to_bronze(spark, f"{landing}/a", dest, mode="full", **load)
+    o.filter((F.col("order_date") > F.lit(cut)) | late).write.option("header", True).csv(f"{landing}/b")
+    for _ in range(2):
+        to_bronze(spark, landing, dest, overlap=True, recursiveFileLookup=True, **load)
+    return read_table(spark, dest).select("order_id", "order_date", "total_amount", F.col("yr").cast("int"))
+
+
 _BRONZE_ROWS = """
 SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, o_totalprice AS total_amount,
        CASE WHEN o_orderdate > TIMESTAMP '{cut}' THEN o_orderstatus END AS status, CAST(year(o_orderdate) AS INT) AS yr
@@ -412,12 +485,35 @@ def register_gold(oracles: dict) -> None:
             return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want.fields])
         register(f"gold_{name}", "GLD-1..6, SNK-2, SNK-7", oracles[product])(run)
 
-    @register("gold_merge", "GLD-1, SNK-5", oracles["daily_sales"])
-    def q_gold_merge(spark, d):
-        """Two merges whose days overlap: every day once, none lost."""
+    @register("gold_replace_keys", "GLD-1, SNK-5", oracles["daily_sales"])
+    def q_gold_replace_keys(spark, d):
+        """Two upserts of whole days, some of them in both: every day once, none lost."""
         day = F.col("order_date")
         runs = [day < F.lit("2000-09-01").cast("timestamp_ntz"), day >= F.lit("1998-03-01").cast("timestamp_ntz")]
-        return _gold(spark, d, "daily_sales_summary", runs, "merge")
+        return _gold(spark, d, "daily_sales_summary", runs, "replace_keys")
+
+    # Three loads, each with some rows of every day, product and customer; the
+    # first two are folded, and the second is run twice.
+    merged = {"gold_merge": "daily_sales_summary", "gold_merge_products": "product_performance",
+              "gold_merge_categories": "category_performance", "gold_merge_customers": "customer_purchase_patterns"}
+    for query, name in merged.items():
+        def run(spark, d, name=name):
+            from tierline.plans.registry import all_queries
+            out = _gold_increments(spark, d, name)
+            want = all_queries()[_GOLD_PRODUCT[name]].run(spark, d).schema
+            return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want.fields])
+        register(query, "GLD-1..5, AGG-8, SNK-5", oracles[_GOLD_PRODUCT[name]])(run)
+
+
+def _gold_increments(spark, d, name):
+    from tierline.plans.q_products import AS_OF, SEG_FREQ, SEG_RECENCY, SEG_SPEND
+    root = scratch_path(spark, "gold-increments")
+    segments = {"spend": SEG_SPEND, "freq": SEG_FREQ, "recency": SEG_RECENCY}
+    for load, third, fold in (("a", 0, False), ("b", 1, False), ("b", 1, True), ("c", 2, False)):
+        mine = F.pmod(F.xxhash64("order_id"), F.lit(3)) == third
+        to_gold(V.sales(spark, d).filter(mine), V.products(spark, d), root, as_of=AS_OF, orders_hdr=V.orders_hdr(spark, d).filter(mine),
+                segments=segments, mode="merge", only=[name], load_id=load, fold=fold, cluster=False)
+    return read_table(spark, f"{root}/{name}")
 
 
 @register("snapshot_diff_added", "SNK-11", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierline.operators.layout import compact, table_detail, zorder
+from tierline.operators.layout import compact, file_ranges, file_sizes, overlap_depth, table_detail, zorder
 from tierline.plans import views as V
 from tierline.plans.registry import register
 from tierline.session import scratch_path
@@ -61,3 +61,29 @@ def q_table_detail(spark, d):
     path = scratch_path(spark, "detail")
     write_table(o.repartition(1), path, partition_by=["yr"])
     return table_detail(read_table(spark, path)).drop("size_in_bytes")
+
+
+@register("table_size", "VAL-4", """
+SELECT 1::BIGINT AS num_directories, 4::BIGINT AS num_files, count(*) AS num_rows, 6 AS num_columns, true AS size_matches FROM orders""")
+def q_table_size(spark, d):
+    """The size that the detail reports against the folder's listing."""
+    path = scratch_path(spark, "sized")
+    write_table(V.table(spark, d, "orders").repartition(4), path)
+    listed = sum(file_sizes(spark, path))
+    return (table_detail(read_table(spark, path)).withColumn("size_matches", F.col("size_in_bytes") == F.lit(listed)).drop("size_in_bytes"))
+
+
+@register("layout_depth", "SNK-7, VAL-4", """
+SELECT c AS "column", 32::BIGINT AS files, 32 AS unsorted_depth, true AS zorder_is_lower FROM (VALUES ('l_partkey'), ('l_suppkey')) v(c)""")
+def q_layout_depth(spark, d):
+    """How many files' ranges overlap, per column: dealt rows against the same
+    rows in Z-order."""
+    li, cols = V.table(spark, d, "lineitem"), ["l_partkey", "l_suppkey"]
+    depths = []
+    for name, df in (("dealt", li.repartition(32)), ("z", zorder(li, cols, num_partitions=32))):
+        path = scratch_path(spark, f"depth-{name}")
+        write_table(df, path)
+        depths.append(overlap_depth(file_ranges(read_table(spark, path), cols)))
+    dealt, z = depths
+    return (dealt.join(z.select("column", F.col("mean_depth").alias("z_depth")), "column")
+            .select("column", "files", F.col("max_depth").cast("int").alias("unsorted_depth"), (F.col("z_depth") < F.col("mean_depth")).alias("zorder_is_lower")))

@@ -137,3 +137,13 @@ def size_shuffle(spark: SparkSession, input_bytes: int, target_bytes: int = 128
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     return n
+
+
+def runtime_filters(spark: SparkSession, min_scan_bytes: int = 10 << 30, max_build_bytes: int = 10 << 20) -> None:
+    """Lets Spark prune the large side of a join by a bloom filter of the small
+    side's keys, built at run time: where the large side scans at least
+    ``min_scan_bytes`` and the filtered small side is at most ``max_build_bytes``.
+    Worth it for a shuffled join of a fact table with a selective dimension."""
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", str(int(min_scan_bytes)))
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", str(int(max_build_bytes)))

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DataType, DecimalType, DoubleType, LongType, NullType, StringType, StructField,
                                StructType, TimestampNTZType)
 
+from tierline.sinks.replace import path_exists, replace_path, replace_table, table_columns
+
 
 def save_mode(load_mode: str) -> str:
     """Full loads overwrite, incremental loads append."""
@@ -38,11 +40,34 @@ def write_table(df: DataFrame, dest: str, mode: str = "overwrite", fmt: str = "p
                              it, and for types the table cannot hold, an
                              append to an existing table fails before writing
 
+    An overwrite goes to a fresh location first and then takes the old one's
+    place (``tierline.sinks.replace``): a write that fails leaves the old rows,
+    and ``df`` may read the table it replaces.  A catalog table keeps its
+    schema: new columns join it, a type it cannot hold is an error.  Bucketed
+    overwrites are Spark's own.
+
     Returns ``{"rows": n}`` measured by an ``Observation`` on the same job
     (no second pass over the data).
     """
+    opts = dict(fmt=fmt, partition_by=partition_by, rebalance=rebalance, bloom_cols=bloom_cols,
+                max_records_per_file=max_records_per_file, count_rows=count_rows)
+    spark = df.sparkSession
+    if mode == "overwrite" and bucket_by is None and as_table:
+        if fmt != "parquet":
+            raise ValueError("catalog tables are stored as parquet")
+        if spark.catalog.tableExists(dest):
+            df = _fit_stored(df, dest, fmt, True, True)
+        df = table_columns(df, partition_by)
+        return replace_table(spark, dest, df.schema, lambda at: _write(df, at, "errorifexists", **opts), partition_by, dynamic_overwrite)
+    if mode == "overwrite" and bucket_by is None and path_exists(spark, dest):
+        return replace_path(spark, dest, lambda at: _write(df, at, "errorifexists", **opts), partition_by, dynamic_overwrite)
     if mode == "append":
         df = _fit_stored(df, dest, fmt, as_table or bucket_by is not None, merge_schema)
+    return _write(df, dest, mode, bucket_by=bucket_by, as_table=as_table, **opts)
+
+
+def _write(df: DataFrame, dest: str, mode: str, fmt: str, partition_by: Sequence[str], rebalance: bool, bloom_cols: Sequence[str],
+           max_records_per_file: int | None, count_rows: bool, bucket_by=None, as_table: bool = False) -> dict:
     obs = Observation("write") if count_rows else None
     out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs else df
     if rebalance:
@@ -50,8 +75,6 @@ def write_table(df: DataFrame, dest: str, mode: str = "overwrite", fmt: str = "p
     w = out.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if dynamic_overwrite:
-        w = w.option("partitionOverwriteMode", "dynamic")
     for c in bloom_cols:
         w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if max_records_per_file:

@@ -9,16 +9,24 @@ would not do.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierline.functions.keys import row_text
+from tierline.sources.footers import footer_aggregates
+
 
-def high_watermark(target: DataFrame | None, col: str | None):
+def high_watermark(target: DataFrame | None, col: str | None, stored: bool = False):
     """``MAX(col)`` over the target, or ``None`` when there is no target,
     no watermark column or the target is empty.  Errors propagate: a failed
-    lookup must not turn into a silent full reload."""
+    lookup must not turn into a silent full reload.  A ``stored`` target (a
+    plain scan of Parquet files) is asked by its file footers first."""
     if target is None or not col:
         return None
+    if stored:
+        return footer_aggregates(target, {"m": ("max", col)})["m"]
     return target.agg(F.max(col).alias("m")).first()["m"]
 
 
@@ -32,8 +40,8 @@ def incremental(source: DataFrame, col: str | None, watermark, mode: str = "incr
     """Source rows newer than the watermark.
 
     ``mode="full"``, no column or no watermark -> every row.  ``inclusive``
-    also keeps rows equal to the mark (late rows sharing the last value);
-    pair it with a dedup on the business key.  Rows whose column is null are
+    also keeps rows equal to the mark (late rows sharing the last value;
+    ``overlap_load`` leaves out those that are loaded already).  Rows whose column is null are
     never newer.
     """
     if mode not in ("full", "incremental"):
@@ -44,6 +52,35 @@ def incremental(source: DataFrame, col: str | None, watermark, mode: str = "incr
     return source.filter(c >= F.lit(watermark) if inclusive else c > F.lit(watermark))
 
 
+def overlap_load(source: DataFrame, target: DataFrame, col: str, watermark, ignore: Sequence[str] = ()) -> DataFrame:
+    """Source rows newer than the watermark, and rows equal to it that the
+    target does not have yet: late rows that share the last value are not lost,
+    and a load that is run again adds nothing.
+
+    Rows count as the same if all columns of the source are equal (nulls too)
+    in the target's types; columns that only the target has, and those to
+    ``ignore`` (ingest metadata), are not compared.  So a row that repeats a loaded one in every
+    column is taken for it.  Only the boundary value is read from the target
+    (a pushed filter) and compared, by an anti join on the whole row's text."""
+    if watermark is None:
+        return source
+    kinds = {f.name: f.dataType for f in target.schema.fields}
+    here = [f.name for f in source.schema.fields if f.name in kinds and f.name not in ignore]
+    new = [f.name for f in source.schema.fields if f.name not in kinds and f.name not in ignore]
+    old = target.filter(F.col(col) == F.lit(watermark)).select(*here)
+    text = "__row"
+    seen = old.select(row_text(old.schema).alias(text)).distinct()
+    # A column the target has not got yet: only its nulls can be loaded rows.
+    fresh = F.lit(False)
+    for c in new:
+        fresh = fresh | F.col(c).isNotNull()
+    typed = source.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in source.columns])
+    mine = row_text(typed.select(*here).schema)
+    late = (typed.filter(F.col(col) == F.lit(watermark)).withColumn(text, F.when(fresh, F.lit(None)).otherwise(mine))
+            .join(seen, text, "left_anti").drop(text))
+    return typed.filter(F.col(col) > F.lit(watermark)).unionByName(late)
+
+
 def slice_window(df: DataFrame, col: str, start, end) -> DataFrame:
     """Rows with ``start <= col < end`` (either bound may be None)."""
     c = F.col(col)
