@@ -232,3 +232,31 @@ def test_table_detail_counts_partition_directories(spark, tmp_dir):
     years = o.select("yr").distinct().count()
     assert d["num_directories"] == years and d["num_rows"] == o.count()
     assert d["num_files"] <= 2 * years          # rebalanced: few files per directory
+
+
+def test_only_each_files_first_line_is_a_header(spark, tmp_dir):
+    """Header lines that stand again as data are rows (bad ones, if they do not
+    fit), also in files with other names, quotes and blanks."""
+    import os
+    os.makedirs(f"{tmp_dir}/in/d=1")
+    files = {"a.csv": ["id,name", "1,x", "id,name", '2,"y, z"', "", " 3, w "], "b.csv": ["key,label", "4,v", "key,label"],
+             "c.csv": ["only a header,x"], "d.csv": []}
+    for name, lines in files.items():
+        with open(f"{tmp_dir}/in/d=1/{name}", "w") as fh:
+            fh.write("".join(x + "\n" for x in lines))
+    got = read_landing(spark, f"{tmp_dir}/in", schema="id string, name string", bad_rows="drop")
+    assert sorted((r["id"], r["name"], r["d"]) for r in got.collect()) == [
+        (" 3", " w ", 1), ("1", "x", 1), ("2", "y, z", 1), ("4", "v", 1), ("id", "name", 1), ("key", "label", 1)]
+    good, bad = read_landing(spark, f"{tmp_dir}/in", schema="id int, name string", bad_rows="quarantine")
+    assert sorted(r["_corrupt_record"] for r in bad.collect()) == [" 3, w ", "id,name", "key,label"]
+    assert sorted(r["id"] for r in good.collect()) == [1, 2, 4]
+
+
+def test_sums_of_small_metrics_keep_their_places(spark):
+    from tierline.functions.money import exact_mean, exact_sum
+    df = spark.range(1000).select(F.lit(4e-10).alias("x"))
+    assert df.agg(exact_sum("x")).first()[0] == 0.0
+    assert df.agg(exact_sum("x", places=12)).first()[0] == 4e-7
+    assert df.agg(exact_mean("x", places=12)).first()[0] == pytest.approx(4e-10, rel=1e-12)
+    with pytest.raises(ValueError, match="places"):
+        exact_sum("x", places=25)

@@ -12,7 +12,7 @@ stays on Spark's fast hash-aggregate path.  Totals are exact up to 9e13 in
 money units (2^53 cents); beyond the BIGINT range the sum fails under ANSI
 mode rather than wrapping.
 
-Metrics are no money: ``exact_sum`` keeps nine decimal places of each value.
+Metrics are no money: ``exact_sum`` keeps ``places`` decimal places (nine) of each value.
 
 NaN and infinite values count as missing, in sums and in averages.
 """
@@ -45,18 +45,28 @@ def cents(c) -> Column:
     return F.rint(F.round(finite(c), 2) * 100).cast("long")
 
 
-# Places of a metric value that sums keep.
-METRIC = "decimal(28,9)"
+# Decimal places of a metric value that sums keep unless told otherwise.
+METRIC_PLACES = 9
 
 
-def exact_sum(c) -> Column:
-    """Exact, order-independent sum of a metric column, as a double."""
-    return F.sum(finite(c).cast(METRIC)).cast("double")
+def metric_type(places: int = METRIC_PLACES) -> str:
+    """The type that metric values are summed in: 28 digits up to nine places,
+    30 digits beyond, so that ten digits more hold the sum of 10^10 rows."""
+    if not 0 <= places <= 24:
+        raise ValueError("places must be from 0 to 24")
+    return f"decimal({28 if places <= 9 else 30},{places})"
 
 
-def exact_mean(c) -> Column:
+def exact_sum(c, places: int = METRIC_PLACES) -> Column:
+    """Exact, order-independent sum of a metric column, as a double.  Each value
+    is rounded to ``places``: choose them by the metric's unit, as values below
+    half of the last place count as 0."""
+    return F.sum(finite(c).cast(metric_type(places))).cast("double")
+
+
+def exact_mean(c, places: int = METRIC_PLACES) -> Column:
     """The exact sum divided by the count of finite values."""
-    return safe_ratio(exact_sum(c), F.count(finite(c)).cast("double"))
+    return safe_ratio(exact_sum(c, places), F.count(finite(c)).cast("double"))
 
 
 def money_sum(c) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.money import exact_mean, exact_sum
+from tierline.functions.money import METRIC_PLACES, exact_mean, exact_sum
 
 # The reference's alert windows and thresholds.
 FAILURE_WINDOW = "15 minutes"
@@ -43,24 +43,26 @@ def failure_alerts(log: DataFrame, ts: str = "ts", is_failure="failure",
 
 
 def usage_alerts(log: DataFrame, ts: str = "ts", resource: str = "resource", usage: str = "usage",
-                 window: str = USAGE_WINDOW, threshold: float = USAGE_THRESHOLD) -> DataFrame:
+                 window: str = USAGE_WINDOW, threshold: float = USAGE_THRESHOLD,
+                 places: int = METRIC_PLACES) -> DataFrame:
     """(window, resource) whose summed usage is above ``threshold``."""
     start, end = _bucket(ts, window)
     return (log.groupBy(start, end, resource)
-            .agg(exact_sum(usage).alias("total_usage"))
+            .agg(exact_sum(usage, places).alias("total_usage"))
             .filter(F.col("total_usage") > threshold))
 
 
 def metric_rollup(log: DataFrame, ts: str, window: str, by: Sequence[str], value: str,
-                  how: str = "sum", scale: float = 1.0, name: str = "value") -> DataFrame:
+                  how: str = "sum", scale: float = 1.0, name: str = "value", places: int = METRIC_PLACES) -> DataFrame:
     """Per time bucket and ``by`` columns: the sum or average of ``value``
-    (exact to nine places of each value, NaN counts as missing), divided by
-    ``scale``."""
+    (exact to ``places`` of each value, NaN counts as missing), divided by
+    ``scale``.  Small units need more places: seconds of nanosecond timings, say,
+    twelve."""
     start, _ = _bucket(ts, window)
     if how == "sum":
-        agg = exact_sum(value)
+        agg = exact_sum(value, places)
     elif how == "avg":
-        agg = exact_mean(value)
+        agg = exact_mean(value, places)
     else:
         raise ValueError(f"how must be sum or avg, not {how!r}")
     if scale != 1.0:

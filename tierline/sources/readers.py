@@ -15,6 +15,8 @@ FORMAT_OPTIONS = {
 }
 
 CORRUPT = "_corrupt_record"
+#: A line that holds this sequence of control characters is an error.
+NO_SEPARATOR = "\x01\x1f\x01"
 
 
 def read_options(fmt: str, **overrides) -> dict:
@@ -58,18 +60,16 @@ def _parsed_lines(spark: SparkSession, root: str, fmt: str, schema: StructType,
         opts.pop(k, None)
     if opts.pop("multiLine", "false") == "true":
         raise ValueError("bad_rows needs one record per line (multiLine=false)")
-    lines = spark.read.option("pathGlobFilter", glob).text(root)
+    if fmt == "csv" and header:
+        # Spark's CSV reader drops each file's first line, and only that; with a
+        # separator that no line has, what is left of a line is the line.
+        lines = (spark.read.schema("value string").option("pathGlobFilter", glob)
+                 .options(header=True, sep=NO_SEPARATOR, quote="", mode="FAILFAST").csv(root))
+    else:
+        lines = spark.read.option("pathGlobFilter", glob).text(root)
     parts = [c for c in lines.columns if c != "value"]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + f", `{CORRUPT}` string"
     opts = {**opts, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    if fmt == "csv" and header:
-        names = [c for c in spark.read.options(header=True, sep=opts.get("sep", ","), pathGlobFilter=glob).csv(root).columns
-                 if c not in parts]
-        first = F.from_csv("value", ", ".join(f"h{i} string" for i in range(len(names))), {"sep": opts.get("sep", ",")})
-        is_header = F.lit(True)
-        for i, c in enumerate(names):
-            is_header = is_header & first[f"h{i}"].eqNullSafe(F.lit(c))
-        lines = lines.filter(~is_header)
     parse = {"csv": F.from_csv, "json": F.from_json}[fmt]
     return lines.filter(F.length("value") > 0).select(parse("value", ddl, opts).alias("r"), *parts)
 
