@@ -236,6 +236,46 @@ def test_suffix_dedup_more_batches_and_levels(spark):
     check_cut(spark, shared_rows(), min_match=64, batches=3)
 
 
+def test_suffix_index_scans_each_batch_against_the_levels(spark):
+    """``add`` reports the cores that the batch shares with earlier batches, or
+    holds twice, by a brute-force count."""
+    rng = random.Random(9)
+    shared = ["".join(rng.choice("abcdefgh ") for _ in range(150)) for _ in range(4)]
+    noise = lambda: "".join(rng.choice("abcdefgh ") for _ in range(90))
+    batches = [[(10 * b + i, noise() + shared[(b + i) % 4] * (i % 2 + (b == 3)) + noise()) for i in range(4)] for b in range(6)]
+    index, seen = suffix_index.SuffixIndex(), {}
+    for rows in batches:
+        keyed = frame(spark, rows).selectExpr("doc_id as k_id", "xxhash64(text) as k_h", "text")
+        batch = suffix_index.suffixes(keyed, "text", 64, 33, places=False)
+        mine = Counter(r["core"] for r in batch.collect())
+        want = {c for c, n in mine.items() if n > 1 or c in seen}
+        assert {r["core"] for r in index.add(batch).collect()} == want
+        seen.update(mine)
+    assert [n for n, _ in index.levels] == [4, 2] and len(index.matches) == 6
+
+
+def test_suffix_groups_do_not_grow_with_the_tasks(spark, monkeypatch):
+    """Three rare contexts of a core and one that most documents have."""
+    rng = random.Random(4)
+    common = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    rows = [(i, ("x%d" % (i % 3) * 20 if i < 3 else "a common line ") + common + ("y%d" % i * 20 if i < 3 else " and its end")) for i in range(256)]
+    sizes = {}
+    for tasks in (4, 32):
+        seen = []
+        real = suffix_index.members
+        monkeypatch.setattr(suffix_index, "members", lambda runs, real=real, seen=seen: seen.append(real(runs)) or seen[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+        try:
+            suffix_index.remove_repeats(frame(spark, rows), min_match=64)
+            sizes[tasks] = max(len(r["members"]) for r in seen[0].collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+            monkeypatch.undo()
+    assert sizes[4] == sizes[32] <= 8
+
+
 def test_suffix_dedup_wide_groups(spark, monkeypatch):
     monkeypatch.setattr(suffix_index, "WIDE", 1)         # every group by the string counts
     check_cut(spark, shared_rows(), min_match=64)

@@ -15,14 +15,19 @@ prefixes adjacent finds the same matches, and fingerprints keep the entries
 at 24 bytes where 400-byte suffixes would be shuffled otherwise.
 
 The index family (``SuffixIndex``) holds sorted levels.  A new batch of
-documents gets its suffix array; two levels of equal size are merged into one
-of twice the size, so every entry is merged log2(batches) times.  The scan
-over the levels (a merge by core) tells repeated suffixes:
+documents gets its suffix array, which is merge-scanned by core against every
+level there is: a core that stands in both, or twice in the batch, is a long
+match.  Then two levels of equal size are merged into one of twice the size, so
+every entry is merged log2(batches) times.  Only the suffixes of matched cores
+are looked at again:
 
 * a context that occurs twice settles its run: all its strings repeat;
 * a core that occurs twice with different contexts is resolved exactly: the
   members of the core's group, one row per context, compare the fingerprints
-  of their strings at equal distance from the chosen place;
+  of their strings at equal distance from the chosen place.
+  A context that occurs often is reduced to one of its places first, map-side
+  and then by context, so that a group is as large as its contexts are many,
+  whatever the number of tasks;
 * groups with over ``WIDE`` contexts do the same as one row per string and a
   count per (core, distance, string), combined map-side, so that no group is
   ever gathered whole.
@@ -171,28 +176,41 @@ class SuffixIndex:
 
     def __init__(self) -> None:
         self.levels: list[tuple[int, DataFrame]] = []      # (batches in it, entries)
+        self.matches: list[DataFrame] = []                 # per batch: its matched cores
 
-    def add(self, batch: DataFrame) -> None:
-        """Index a batch of suffixes (core, context); equal levels merge."""
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Indexes a batch of suffixes (core, context) and returns the cores
+        that it holds twice or shares with earlier batches."""
         level = stable(batch.groupBy("core", "context").agg(F.count(F.lit(1)).alias("n")).sortWithinPartitions("core", "context"))
+        cores = level.groupBy("core").agg(F.sum("n").alias("n"))
+        found = cores.filter("n > 1").select("core")
+        for _, older in self.levels:
+            found = found.unionByName(cores.select("core").join(older.select("core"), "core", "left_semi"))
+        found = stable(found.distinct())
+        self.matches.append(found)
         size = 1
         while self.levels and self.levels[-1][0] == size:
             older = self.levels.pop()[1]
             level, size = stable(older.unionByName(level).groupBy("core", "context").agg(F.sum("n").alias("n"))
                                  .sortWithinPartitions("core", "context")), size * 2
         self.levels.append((size, level))
+        return found
 
     def repeats(self) -> DataFrame:
-        """(core, context, status): 0 all of the core's places have this one
-        context (twice or more); 1 the context repeats, the core has others
-        too; 2 the context stands once, the core more often.  From 4 on: the
-        same, in a group of over ``WIDE`` contexts."""
-        entries = self.levels[0][1]
-        for _, e in self.levels[1:]:
-            entries = entries.unionByName(e)
-        if len(self.levels) > 1:
-            entries = entries.groupBy("core", "context").agg(F.sum("n").alias("n"))
-        cores = entries.groupBy("core").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).filter("all > 1")
+        """(core, context, status) of the matched cores: 0 all of the core's
+        places have this one context (twice or more); 1 the context repeats, the
+        core has others too; 2 the context stands once, the core more often.
+        From 4 on: the same, in a group of over ``WIDE`` contexts."""
+        matched = self.matches[0]
+        for m in self.matches[1:]:
+            matched = matched.unionByName(m)
+        matched = stable(matched.distinct())
+        entries = None
+        for _, e in self.levels:
+            e = e.join(matched, "core", "left_semi")
+            entries = e if entries is None else entries.unionByName(e)
+        entries = entries.groupBy("core", "context").agg(F.sum("n").alias("n"))
+        cores = entries.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"))
         status = (F.when(F.col("kinds") == 1, 0).when(F.col("n") > 1, 1).otherwise(2)
                   + F.when(F.col("kinds") > WIDE, 4).otherwise(0))
         return entries.join(cores, "core").select("core", "context", status.alias("status"))
@@ -200,7 +218,7 @@ class SuffixIndex:
 
 def _runs(marked: DataFrame, text_col: str, width: int, window: int, wide: bool) -> DataFrame:
     """Documents with their marked places -> rows to compare.  Narrow groups:
-    (core, k_id, k_h, pos, status, around: the bytes of the run); wide ones:
+    (core, context, k_id, k_h, pos, status, around: the bytes of the run); wide ones:
     (core, string, k_id, k_h, at) per string."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -223,7 +241,7 @@ def _runs(marked: DataFrame, text_col: str, width: int, window: int, wide: bool)
                 h = prefix_hashes(data, 1)
                 g = prefix_hashes(data, 0)
                 core = _mix(span_hash(h, first + dist, first + dist + width - window + 1, 1)).view(np.int64)
-                whole = span_hash(g, first, first + extra + width, 0)
+                whole = span_hash(g, first, first + extra + width, 0).view(np.int64)
                 for j in range(len(m)):
                     if status[j] == 1:                  # copies of a context: one is enough
                         one = int(core[j]), int(whole[j])
@@ -238,14 +256,23 @@ def _runs(marked: DataFrame, text_col: str, width: int, window: int, wide: bool)
                         s = span_hash(g, at, at + width, 0) + _mix((lo + int(dist[j]) - at).astype(np.uint64))
                         rows.extend((int(core[j]), x, *key, int(y)) for x, y in zip(_mix(s).view(np.int64).tolist(), at.tolist(), strict=True))
                     else:
-                        rows.append((int(core[j]), *key, int(pos[j]), int(status[j]), pack(data[lo:lo + n + width].tobytes())))
-            names = ["core", "string", "k_id", "k_h", "at"] if wide else ["core", "k_id", "k_h", "pos", "status", "around"]
-            kinds = [pa.int64()] * 5 if wide else [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+                        rows.append((int(core[j]), int(whole[j]), *key, int(pos[j]), int(status[j]), pack(data[lo:lo + n + width].tobytes())))
+            names = ["core", "string", "k_id", "k_h", "at"] if wide else ["core", "context", "k_id", "k_h", "pos", "status", "around"]
+            kinds = [pa.int64()] * 5 if wide else [pa.int64()] * 5 + [pa.int32(), pa.binary()]
             cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
     return marked.mapInArrow(run, "core bigint, string bigint, k_id bigint, k_h bigint, at bigint" if wide else
-                             "core bigint, k_id bigint, k_h bigint, pos bigint, status int, around binary")
+                             "core bigint, context bigint, k_id bigint, k_h bigint, pos bigint, status int, around binary")
+
+
+def members(runs: DataFrame) -> DataFrame:
+    """(core, members): the places to compare, one per context.  Copies of a
+    context (one per task by now) are reduced to one row by core and context
+    before any list is made."""
+    row = F.struct("k_id", "k_h", "pos", "status", "around")
+    one = runs.groupBy("core", "context").agg(F.min_by(row, F.struct("k_id", "k_h", "pos")).alias("m"))
+    return one.groupBy("core").agg(F.collect_list("m").alias("members"))
 
 
 def _resolved(groups: DataFrame, width: int) -> DataFrame:
@@ -301,7 +328,7 @@ def _resolved(groups: DataFrame, width: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_match: int = 400,
-                   batches: int = 2, kept_col: str = "kept") -> DataFrame:
+                   batches: int = 3, kept_col: str = "kept") -> DataFrame:
     """``docs`` without the text, with ``kept_col`` (binary: the remaining
     bytes), ``n_bytes, n_removed, n_spans``.  ``batches``: the documents enter
     the index in so many batches (by a hash of id and text)."""
@@ -324,8 +351,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = stable(found.groupBy("k_id", "k_h").agg(F.collect_list("mark").alias("marks")))
     marked = packed(keyed, "text").join(marks, ["k_id", "k_h"], "left")
 
-    groups = (_runs(marked, "text", width, window, wide=False)
-              .groupBy("core").agg(F.collect_list(F.struct("k_id", "k_h", "pos", "status", "around")).alias("members")))
+    groups = members(_runs(marked, "text", width, window, wide=False))
     strings = _runs(marked, "text", width, window, wide=True)
     again = strings.groupBy("core", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core", "string")
     spans = _resolved(groups, width).unionByName(
