@@ -243,11 +243,13 @@ def test_suffix_index_scans_each_batch_against_the_levels(spark):
     shared = ["".join(rng.choice("abcdefgh ") for _ in range(150)) for _ in range(4)]
     noise = lambda: "".join(rng.choice("abcdefgh ") for _ in range(90))
     batches = [[(10 * b + i, noise() + shared[(b + i) % 4] * (i % 2 + (b == 3)) + noise()) for i in range(4)] for b in range(6)]
-    index, seen = suffix_index.SuffixIndex(), {}
+    index, seen = suffix_index.SuffixIndex(4), {}
     for rows in batches:
         keyed = frame(spark, rows).selectExpr("doc_id as k_id", "xxhash64(text) as k_h", "text")
         batch = suffix_index.suffixes(keyed, "text", 64, 33, places=False)
-        mine = Counter(r["core"] for r in batch.collect())
+        mine = Counter()
+        for r in batch.collect():
+            mine[r["core"]] += r["n"]
         want = {c for c, n in mine.items() if n > 1 or c in seen}
         assert {r["core"] for r in index.add(batch).collect()} == want
         seen.update(mine)
@@ -298,6 +300,20 @@ def test_suffix_dedup_odd_inputs(spark):
     assert suffix_index.remove_repeats(frame(spark, []), min_match=40).count() == 0
 
 
+def test_likeness_against_the_longest_common_order():
+    rng = random.Random(8)
+    for _ in range(60):
+        a, b = (np.array(rng.sample(range(25), rng.randint(0, 14)), np.uint32) for _ in range(2))
+        place = {int(x): i for i, x in enumerate(b)}
+        order = [place[int(x)] for x in a if int(x) in place]
+        longest = [0] * len(order)
+        for i, x in enumerate(order):
+            longest[i] = 1 + max((longest[j] for j in range(i) if order[j] < x), default=0)
+        both = len(order)
+        want = 1.0 if not len(a) and not len(b) else max(longest, default=0) / (len(a) + len(b) - both) if len(a) and len(b) else 0.0
+        assert syncmer.likeness(a, b) == want
+
+
 # -- packing ------------------------------------------------------------------
 
 def brute_best_fit(lengths, sizes, cost, largest):
@@ -395,13 +411,39 @@ def test_pipeline_stages_keep_the_columns_and_compose(spark):
         first.setdefault(fps[brute_fp(r["text"])], r["doc_id"])
     assert sorted(r["doc_id"] for r in near) == sorted(first.values())
     near = sorted(near, key=lambda r: r["doc_id"])
-    want = {r["doc_id"]: w[3].decode(errors="replace") for r, w in zip(near, brute_cut([r["text"].encode() for r in near], 400)) if w[3]}
+    want = {r["doc_id"]: w[3].decode(errors="replace") for r, w in zip(near, brute_cut([r["text"].encode() for r in near], p.REPEAT_BYTES)) if w[3]}
     assert {r["doc_id"]: r["text"] for r in cut} == want
     assert all(r["n_chars"] == len(r["text"]) for r in cut)
     check_packed(bins, packing.SIZES)
     assert sorted((r["doc_id"], r["n_places"]) for r in p.run(spark, d).collect()) == sorted((r["doc_id"], r["n_places"]) for r in bins)
 
 
+def test_pipeline_cuts_passages_of_over_fifty_words_inside_one_line(spark):
+    """Passages of 51 words that two documents share, each a part of one long
+    line: no window of 51 words is left in both."""
+    import corpus_pipeline as p
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8)))
+    passages = [" ".join(word() for _ in range(51)) for _ in range(12)]
+    texts = [" ".join([*(word() for _ in range(40)), passages[i % 12], *(word() for _ in range(40))]) for i in range(24)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r["doc_id"]: r["text"] for r in p.substring_stage(spark, df, "").collect()}
+    assert len(got) == 24 and all(min(map(len, passages)) > 0 and passages[i % 12][20:-20] not in got[i] for i in got)
+    # what is a document's own stays
+    assert all(texts[i][:150].split()[0] in got[i] and texts[i].split()[-1] in got[i] for i in got)
+
+
+def test_pipeline_of_no_documents_and_clashing_columns(spark):
+    import corpus_pipeline as p
+    base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    none = base.limit(0)
+    odd = base.withColumns({c: F.lit("x") for c in ("row", "k_id", "__lang", "__score", "fp", "core", "marks", "kept", "bin_id")})
+    for _, stage in p.STAGES:
+        none, odd = stage(spark, none, "").checkpoint(), stage(spark, odd, "").checkpoint()
+    assert none.count() == 0 and odd.count() > 0
+
+
 def test_pipeline_rows_with_odd_documents(spark):
     import corpus_pipeline as p
     base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tierline.llm import bpe, langid, license_scan, quality_rules
+from tierline.llm import bpe, langid, license_scan, line_chunks, quality_rules
 from tierline.llm.line_chunks import dedup_lines, dedup_passages, with_chunks
 from tierline.llm.url_filter import judge_urls
 
@@ -36,13 +36,21 @@ ODD = [(1, None), (2, ""), (3, " \t\n\n "), (None, "a b c\nd e f\ng"), (4, "a b
 def chunks_of(text, divisor):
     lines = text.split("\n")
     h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-    raw = [i > 0 and (h[i] + 31 * h[i - 1]) % divisor == 0 for i in range(len(lines))]
-    out, start = [], 0
-    for i in range(len(lines)):
-        if i == len(lines) - 1 or (raw[i] and not raw[i - 1]):
-            out.append(lines[start:i + 1])
-            start = i + 1
-    return out
+    n, p = len(lines), line_chunks.PRIME
+    raw = [i > 0 and (h[i - 1] % p * line_chunks.BASE + h[i]) % p < p // divisor for i in range(n)]
+    again = [i > 1 and h[i] == h[i - 2] for i in range(n)]
+    cuts, i = {n - 1}, 0
+    while i < n:
+        if again[i]:
+            cuts.update(k for k in range(i - 1, n) if (k - i) % 2 == 1 and all(again[i:k + 1]))
+            while i < n and again[i]:
+                i += 1
+        else:
+            if raw[i] and not raw[i - 1]:
+                cuts.add(i)
+            i += 1
+    ends = sorted(cuts)
+    return [lines[a + 1:b + 1] for a, b in zip([-1, *ends], ends)]
 
 
 def brute_lines(rows, divisor=3):
@@ -80,6 +88,24 @@ def test_line_chunks_are_shift_resistant(spark):
     assert got[1]["n_removed"] == 0 and got[2]["removed_lines"] > 40
 
 
+def test_runs_alternating_lines_and_short_passages(spark):
+    """Runs and alternating lines leave one pair (and what is odd at an end); of
+    passages between different lines, longer ones go more often."""
+    rows = [(1, "\n".join(["same"] * 60)), (2, "\n".join(["a", "b"] * 40)), (3, "x\n" + "\n".join(["same"] * 9)), (4, "one\ntwo\none\ntwo\nend")]
+    got = {r["doc_id"]: r["text"].split("\n") for r in dedup_lines(docs(spark, rows)).collect()}
+    assert got == {i: t.split("\n") for i, t in brute_lines(rows).items()}
+    assert got[1].count("same") <= 4 and len(got[2]) <= 4 and got[3].count("same") <= 3
+    rng, left = random.Random(1), {}
+    for n in (2, 4, 8, 16):
+        rows = []
+        for i in range(120):
+            a = [f"top {n} {i} {rng.random()}", *(f"{n} passage {i % 40} {k}" for k in range(n)), f"foot {n} {i} {rng.random()}"]
+            rows.append((i, "\n".join(a)))
+        out = {r["doc_id"]: r for r in dedup_lines(docs(spark, rows)).collect()}
+        left[n] = 1 - sum(out[i]["removed_lines"] for i in range(40, 120)) / (80 * n)
+    assert left[2] > left[4] > left[8] > left[16] and left[16] < 0.4, left
+
+
 def test_line_chunks_odd_inputs(spark):
     out = dedup_lines(docs(spark, ODD, extra=True))
     rows = out.collect()
@@ -157,7 +183,7 @@ def test_url_filter_rules_and_odd_urls(spark):
     assert (got[4]["rule"], got[4]["verdict"]) == ("com/", "allow")
     assert (got[5]["host"], got[5]["path"]) == ("u@host:1", "")
     assert got[7]["verdict"] == "block" and got[8]["rule"] is None
-    assert got[9]["template"] == "*/*/*/*/*"        # four segments and the rest
+    assert got[9]["template"] == "**"               # nothing is told by one page
     assert judge_urls(df.limit(0), RULES).count() == 0
 
 
@@ -170,6 +196,77 @@ def test_url_templates_are_rejected_by_labelled_purity(spark):
     assert {got[i] for i in range(10, 60)} == {"block"} and {got[i + 100] for i in range(10, 60)} == {"allow"}
 
 
+def brute_urls(pages, support=5, z=1.96, min_labels=5, k=5, cutoff=0.6):
+    """(host, path, label) rows -> (template, verdict) of each."""
+    segs = [re.sub("[0-9]+", "#", re.sub("^/", "", p)).split("/") for _, p, _ in pages]
+    tpl, open_rows, d = [[] for _ in pages], set(range(len(pages))), 0
+    while True:
+        open_rows = {i for i in open_rows if len(segs[i]) > d}
+        if not open_rows:
+            break
+        nodes = {}
+        for i in open_rows:
+            nodes.setdefault((pages[i][0], tuple(tpl[i])), {}).setdefault(segs[i][d], []).append(i)
+        for children in nodes.values():
+            small = [len(m) for m in children.values() if len(m) < support]
+            varies = len(small) >= support and 2 * len(small) >= sum(small)
+            thin = sum(map(len, children.values())) < support
+            for seg, members in children.items():
+                for i in members:
+                    tpl[i] = [*tpl[i], "**" if thin else "*" if varies and len(members) < support else seg]
+                    if thin:
+                        open_rows.discard(i)
+        d += 1
+    labels = [x for _, _, x in pages if x]
+    p = labels.count("block") / len(labels) if labels else 0.0
+    count = {}
+    for (h, _, x), t in zip(pages, tpl):
+        c = count.setdefault((h, tuple(t)), [0, 0])
+        c[0] += x is not None
+        c[1] += x == "block"
+    groups = {}
+    for (h, t), (n, b) in count.items():
+        at = next((j for j, x in enumerate(t) if x not in ("*", "**") and "#" not in x), None)
+        off = b - n * p
+        kind = None if n == 0 else 0 if off * off < z * z * p * (1 - p) * n or off == 0 else off > 0
+        groups.setdefault((h, tuple("|" if j == at else x for j, x in enumerate(t)), str(kind)), []).append((h, t))
+    verdict = {}
+    for members in groups.values():
+        n, b = (sum(count[m][j] for m in members) for j in (0, 1))
+        name = min("/".join(t) for _, t in members)
+        for m in members:
+            verdict[m] = name, n >= min_labels and (b + k * p) / (n + k) > cutoff
+    return [(verdict[h, tuple(t)][0], x or ("block" if verdict[h, tuple(t)][1] else "allow")) for (h, _, x), t in zip(pages, tpl)]
+
+
+def test_url_templates_match_brute_force(spark):
+    rng = random.Random(6)
+    pages = []
+    for i in range(900):
+        host = "hot.net" if rng.random() < 0.4 else rng.choice(["a.com", "b.com", "c.org"])
+        first = rng.choice(["blog", "news", "shop", "x%d" % rng.randint(0, 300), "img", ""])
+        deep = [rng.choice(["tag", "p%d" % rng.randint(0, 9), f"{rng.choice('abc')}{rng.choice('xyz')}", "u" + str(rng.random())[2:9].translate(str.maketrans("0123456789", "abcdefghij"))])
+                for _ in range(rng.choice([0, 1, 1, 2, 7]))]
+        bad = first in ("shop", "img")
+        label = None if rng.random() < 0.5 else ("block" if rng.random() < (0.9 if bad else 0.1) else "allow")
+        pages.append((host, "/" + "/".join([first, *deep]), label))
+    df = spark.createDataFrame([(i, f"http://{h}{p}", x) for i, (h, p, x) in enumerate(pages)], "page_id bigint, url string, known string")
+    got = {r["page_id"]: (r["template"], r["verdict"]) for r in judge_urls(df, [], label_col="known").collect()}
+    want = brute_urls(pages)
+    assert got == dict(enumerate(want))
+    assert {w[1] for w, p in zip(want, pages) if p[2] is None} == {"block", "allow"} and any("*" in w[0] for w in want)
+
+
+def test_a_section_of_a_hot_host_blocks_no_stranger(spark):
+    """150 sections of 20 pages, one labelled section, and a few small ones."""
+    name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:03d}")
+    rows = [f"http://hot.net/{name(i)}/{j}.html" for i in range(150) for j in range(20)] + [f"http://hot.net/es/{j}.html" for j in range(20)]
+    rows += [f"http://s.net/{x}/{j}.html" for x, n in (("es", 4), ("fr", 4), ("de", 3)) for j in range(n)]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id bigint, url string")
+    got = judge_urls(df, [("net", "/es/", "block"), ("net", "/fr/", "block")]).collect()
+    assert all((r["verdict"] == "block") == (r["path"][:4] in ("/es/", "/fr/")) for r in got) and len(got) == len(rows)
+
+
 # -- licences -----------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -187,6 +284,28 @@ def test_licences_found_and_confirmed(spark, license_model):
     assert got[4] == [(0, "GPL-3.0")] and got[5] == [(0, "CC-BY-NC")] and got[6] == [(0, "BSD")]
 
 
+def test_real_notices_are_found(spark, license_model):
+    """Two notices in a line, wrapped notices, notices in long lines, short
+    lines, and words in between."""
+    from tierline.llm.license_templates import TEMPLATES
+    mit, apache = TEMPLATES["MIT"][3], TEMPLATES["Apache-2.0"][2]
+    wrap = lambda t, n: "\n".join(" ".join(t.split()[i:i + n]) for i in range(0, len(t.split()), n))
+    filler = " ".join(f"word{i} of some long story" for i in range(300))
+    rows = [(1, f"{mit} {apache}"), (2, wrap(mit, 12)), (3, "MIT License"), (4, f"{filler} {apache} {filler}"),
+            (5, "Copyright 2024 someone\n\n" + wrap(mit, 10) + "\n\n" + wrap(apache, 9) + "\nend of it"),
+            (6, "Released under the MIT License. Licensed under the Apache License, Version 2.0."),
+            (7, f"{filler}\n{filler}"), (8, wrap(filler, 11)), (9, "the license\nof the software\nsubject to the following"),
+            (10, "# " + wrap(mit, 8).replace("\n", "\n# "))]
+    got = {r["doc_id"]: sorted({x["family"] for x in r["licences"]}) for r in license_scan.scan(docs(spark, rows), license_model).collect()}
+    assert got[1] == got[5] == got[6] == ["Apache-2.0", "MIT"], got
+    assert got[2] == got[3] == got[10] == ["MIT"] and got[4] == ["Apache-2.0"], got
+    assert got[7] == got[8] == [] and set(got[9]) <= {"unknown"}, got
+    for f, texts in TEMPLATES.items():             # every template, alone and wrapped
+        rows = [(i, t) for i, t in enumerate([*texts, *(wrap(t, 7) for t in texts)])]
+        for r in license_scan.scan(docs(spark, rows), license_model).collect():
+            assert f in {x["family"] for x in r["licences"]}, (f, rows[r["doc_id"]], r["licences"])
+
+
 def test_licences_of_the_corpus_match_a_plain_search(spark, license_model):
     df = spark.read.parquet(f"{MID}/documents.parquet")
     notices = {"GPL-3.0": "GNU General Public License, version 3.", "MIT": "Released under the MIT License.",
@@ -216,6 +335,21 @@ def test_language_held_out_accuracy(spark):
     assert odd[5]["lang_pred"] in model.langs
 
 
+def test_text_of_other_languages_is_not_typical(spark):
+    """One sentence each of languages that nobody has taught; documents of the
+    corpus that have a letter are typical, but for a rare mixture of languages."""
+    df = spark.read.parquet(f"{MID}/documents.parquet")
+    model = langid.train(df.filter(~langid.held_out()))
+    strangers = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan ja heille on annettu järki ja omatunto.",
+                 "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar, akıl ve vicdana sahiptirler.",
+                 "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są oni obdarzeni rozumem.",
+                 "Все люди рождаются свободными и равными в своем достоинстве и правах.", "zxqj vvkk qqzx jjwv xkcd wqwq zzzz kkqx vxvx"]
+    got = {r["doc_id"]: r for r in langid.predict(docs(spark, list(enumerate(strangers))), model).collect()}
+    assert all(got[i]["typical"] < -1 for i in range(len(strangers))), [(r["lang_pred"], r["score"], r["typical"]) for r in got.values()]
+    rows = langid.predict(df, model).filter("lang_pred <> 'und'").collect()
+    assert np.mean([r["typical"] < -1 for r in rows]) < 0.003
+
+
 def test_language_without_labels(spark):
     model = langid.train(docs(spark, ODD).withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in langid.predict(docs(spark, ODD), model).collect()} == {"und"}
@@ -301,6 +435,32 @@ def test_quality_odd_inputs_and_base_rule(spark):
     assert quality_rules.judge_quality(docs(spark, [])).count() == 0
 
 
+def test_mcd_finds_the_subset_of_least_determinant(spark):
+    """Against all subsets of 14 of 18 rows; outliers lie together, off the
+    direction in which the statistics vary."""
+    import itertools
+    floor = np.square(list(quality_rules.FLOOR.values()))
+    rows, want = [], {}
+    for g in range(6):
+        rng = np.random.default_rng(g)
+        x = rng.normal(size=(18, 1)) * np.array([[2.0, 0.5, 1.0, 1.5, 0.4]]) + rng.normal(size=(18, 5)) * 0.15
+        x[14:] += np.array([[-3.0, 2.0, 4.0, 3.0, 1.0]]) * (1 + g / 4)
+        best = min(itertools.combinations(range(18), 14),
+                   key=lambda c: np.linalg.slogdet(np.cov(x[list(c)].T, bias=True) + np.diag(floor))[1])
+        want[g] = x[list(best)].mean(axis=0)
+        rows += [(g, *map(float, r)) for r in x]
+    df = spark.createDataFrame(rows, "g int, " + ", ".join(f"{v} double" for v in quality_rules.VECTOR)).repartition(5)
+    got = {r["g"]: r for r in quality_rules.fit_mcd(df, ["g"], 0.75, 4).collect()}
+    same = [np.allclose(got[g]["mean"], want[g], rtol=1e-9) for g in want]
+    assert set(got) == set(want) and sum(same) >= 5, same
+    # each row against its own model: the outliers lie far off, the others do not
+    for g, x in itertools.groupby(rows, key=lambda r: r[0]):
+        x = np.array([r[1:] for r in x])
+        prec = np.array(got[g]["prec"]).reshape(5, 5)
+        d = np.einsum("ni,ij,nj->n", x - got[g]["mean"], prec, x - got[g]["mean"])
+        assert d[14:].min() > np.quantile(d[:14], 0.9)
+
+
 def test_quality_matches_labels(spark):
     df = spark.read.parquet(f"{MID}/documents.parquet")
     rows = quality_rules.judge_quality(df).join(spark.read.parquet(f"{MID}/labels.parquet"), "doc_id").collect()

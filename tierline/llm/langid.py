@@ -12,6 +12,13 @@ sample's hashed counts (at most ``DIM`` pairs a document) go to the driver;
 weights, idf and languages come back in the closure of the prediction, whose
 size is ``DIM`` x languages whatever the corpus.
 
+Strangers.  The classes share all probability among the learned languages, so
+text of another one gets a high score, too.  ``typical`` therefore compares a
+text with its predicted language alone: the mean log frequency of its n-grams
+there, in standard errors from the held-out mean, over ``SLACK`` times the worst
+of the held-out rows of that language.  Below -1 the text is further off than
+anything held out by that factor, and some other language or no language.
+
 Defined results: text that is null or has no letter is ``und`` with score 0;
 without any labelled row everything is ``und``.  Repeated rows are predicted
 alike; null ids are kept.
@@ -31,6 +38,7 @@ from pyspark.sql import functions as F
 from tierline.llm.common import ddl_of
 
 DIM = 1 << 15
+SLACK = 2.25
 _LETTER: list[np.ndarray] = []
 
 
@@ -64,18 +72,56 @@ class LanguageModel:
     idf: np.ndarray            # DIM
     weights: np.ndarray        # DIM x languages
     temperature: float = 1.0
+    frequency: np.ndarray | None = None        # DIM x languages, logarithms
+    usual: np.ndarray | None = None            # languages x (mean, spread, between, worst)
+
+    def typical(self, cols: np.ndarray, counts: np.ndarray, k: int) -> float:
+        """How far the text is from language ``k``; -1 is the bound."""
+        mean, spread, between, worst = self.usual[k]
+        return float(_off(self.frequency[:, k], cols, counts, mean, spread, between) / (SLACK * worst))
 
     def logits(self, cols: np.ndarray, counts: np.ndarray) -> np.ndarray:
         v = vectorise(cols, counts, self.idf)
         return v @ self.weights[cols]
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float | None]:
+        """Language, its probability, and ``typical`` (null for ``und``)."""
         cols, counts = ngram_counts(text)
         if not len(cols) or not self.langs:
-            return "und", 0.0
+            return "und", 0.0, None
         p = softmax(self.logits(cols, counts) / self.temperature)
         k = int(p.argmax())
-        return self.langs[k], float(p[k])
+        return self.langs[k], float(p[k]), self.typical(cols, counts, k)
+
+
+def _off(frequency: np.ndarray, cols: np.ndarray, counts: np.ndarray, mean: float, spread: float, between: float) -> float:
+    """The mean log frequency of the n-grams, in standard errors from ``mean``:
+    texts differ by ``between`` and by chance, the less the longer they are."""
+    n = counts.sum()
+    return (counts @ frequency[cols] / n - mean) / np.sqrt(between ** 2 + spread ** 2 / n)
+
+
+def usual_language(fit: list, held: list, n_langs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log frequencies of the n-grams per language from the fitted rows, and
+    per language the mean, the spread of one n-gram, that between texts, and the
+    worst of the held-out rows (the fitted ones where a language has none)."""
+    total = np.full((DIM, n_langs), 0.5)
+    for cols, counts, y in fit:
+        total[cols, y] += counts
+    frequency = np.log(total / total.sum(axis=0)).astype(np.float32)
+    usual = np.tile([0.0, 1.0, 0.0, 1.0], (n_langs, 1))
+    for k in range(n_langs):
+        rows = [(c, n) for c, n, y in held if y == k] or [(c, n) for c, n, y in fit if y == k]
+        if rows:
+            n = np.array([m.sum() for _, m in rows], float)
+            each = np.array([m @ frequency[c, k] for c, m in rows])
+            mean = each.sum() / n.sum()
+            square = sum(float(m @ frequency[c, k].astype(float) ** 2) for c, m in rows) / n.sum()
+            spread = np.sqrt(max(square - mean * mean, 1e-6))
+            between = np.sqrt(max(float(np.mean((each / n - mean) ** 2 - spread ** 2 / n)), 0.0))
+            off = (each / n - mean) / np.sqrt(between ** 2 + spread ** 2 / n)
+            usual[k] = mean, spread, between, max(float(-off.min()), 4.0)
+    return frequency, usual
 
 
 def vectorise(cols: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -115,7 +161,7 @@ def calibrate(logits: np.ndarray, y: np.ndarray) -> float:
     def loss(t):
         return -np.log(softmax(logits / t)[np.arange(len(y)), y] + 1e-12).mean()
 
-    grid = np.geomspace(0.25, 8, 80)
+    grid = np.geomspace(0.02, 50, 300)
     return float(min(grid, key=loss)) if len(y) else 1.0
 
 
@@ -164,30 +210,34 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     sample = drawn.select("spot", "y", "text").mapInPandas(run, "spot long, y string, cols binary, n binary").toPandas()
     sample = sample[sample["cols"].map(len) > 0].sort_values(["spot", "y", "cols"], kind="stable")
     langs = sorted(sample["y"].unique())
-    vectors = []
+    vectors, counts = [], []
     for cols, n, y in zip(sample.pop("cols"), sample.pop("n"), sample["y"], strict=True):
-        c = np.frombuffer(cols, np.uint16)
-        v = vectorise(c, np.frombuffer(n, np.uint32).astype(float), idf)
-        vectors.append((c, v.astype(np.float32), langs.index(y)))       # six bytes a feature
+        c, n = np.frombuffer(cols, np.uint16), np.frombuffer(n, np.uint32)
+        v = vectorise(c, n.astype(float), idf)
+        vectors.append((c, v.astype(np.float32), langs.index(y)))       # ten bytes a feature with its count
+        counts.append((c, n, langs.index(y)))
     del sample
+    frequency, usual = usual_language([v for i, v in enumerate(counts) if i % 5], counts[::5], len(langs))
+    del counts
     fit, held = [v for i, v in enumerate(vectors) if i % 5], vectors[::5]
     w = fit_ftrl(fit, len(langs), alpha, beta, l1, l2, epochs)
     t = calibrate(np.array([v @ w[c] for c, v, _ in held]), np.array([y for *_, y in held], int)) if held else 1.0
-    return LanguageModel(langs, idf.astype(np.float32), w.astype(np.float32), t)
+    return LanguageModel(langs, idf.astype(np.float32), w.astype(np.float32), t, frequency, usual)
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text",
-            lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its calibrated probability."""
+            lang_out: str = "lang_pred", score_out: str = "score", typical_out: str = "typical") -> DataFrame:
+    """``docs`` with the predicted language, its calibrated probability and how
+    typical the text is of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [model.predict(t.as_py()) for t in b.column(b.schema.get_field_index(text_col))]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                [*b.schema.names, lang_out, score_out])
+                [*b.columns, *(pa.array([g[i] for g in got], k) for i, k in enumerate((pa.string(), pa.float64(), pa.float64())))],
+                [*b.schema.names, lang_out, score_out, typical_out])
 
-    docs = docs.drop(lang_out, score_out)
-    return docs.mapInArrow(run, f"{ddl_of(docs.schema.fields)}, `{lang_out}` string, `{score_out}` double")
+    docs = docs.drop(lang_out, score_out, typical_out)
+    return docs.mapInArrow(run, f"{ddl_of(docs.schema.fields)}, `{lang_out}` string, `{score_out}` double, `{typical_out}` double")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

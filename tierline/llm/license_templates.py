@@ -76,6 +76,22 @@ TEMPLATES = {
     ],
 }
 
+# Names that stand as a line of their own.
+NAMES = {
+    "MIT": ["MIT License", "The MIT License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License v3.0"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU General Public License v2.0"],
+    "LGPL": ["GNU Lesser General Public License"],
+    "AGPL-3.0": ["GNU Affero General Public License"],
+    "BSD": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0"],
+    "CC-BY": ["CC BY 4.0"],
+    "CC-BY-SA": ["CC BY-SA 4.0"],
+    "CC-BY-NC": ["CC BY-NC 4.0"],
+    "Public-Domain": ["CC0 1.0"],
+}
+
 #: Paragraphs with licence words that grant none.
 DECOYS = [
     "He renewed his driving license under the new rules.", "The license of the restaurant was withdrawn last year.",

@@ -1,24 +1,31 @@
 """Line deduplication by content-defined chunks of lines (SQL functions only).
 
-A document is cut into chunks of whole lines where a rolling hash over the
-hashes of the last two lines is divisible by ``divisor`` (and the line before
+A document is cut into chunks of whole lines.  The rolling hash of a line is the
+polynomial ``(before * BASE + line) mod PRIME`` over the hashes of the last two
+lines; a chunk ends where it is below ``PRIME / divisor`` (and the line before
 was no such place, so that a chunk has two lines at least, but for the tail of
-a document).  Equal passages are cut alike wherever they stand.  A chunk of
-two or more lines that hold a character other than white space is removed if
-the same bytes stand at an earlier place (smaller doc_id, then chunk number).
+a document).  Equal passages are cut alike wherever they stand.  Where lines
+repeat with period one or two (a line equals the last but one), every hash is
+the same, and the stretch is cut into pairs from its first line on instead.
+
+A chunk of two or more lines that hold a character other than white space is
+removed if the same bytes stand at an earlier place (smaller doc_id, then chunk
+number).
 
 Bytes are compared by grouping the chunk texts themselves; the 64-bit hash
 that leads back from a group to its occurrences is used only if exactly one
 text has it (else the chunk stays).
 
+A passage goes as far as whole chunks of it do: of a short one the cuts at its
+ends may fall outside, and it stays (see the README for the share).
+
 Shuffles: chunk texts once (combined map-side, so copies move once per
 task), occurrences without text once, whole documents once for the rebuild.
 
-``dedup_passages`` has no cuts at all: every two neighbouring full lines, with
-the blank ones between them, are a window, and a window that stands at an
-earlier place goes.  So a repeated passage of two or more full lines goes whole
-wherever it stands, runs and alternating lines too, and the first place of
-every line stays.
+``dedup_passages`` takes every place as a boundary: every two neighbouring full
+lines, with the blank ones between them, are a window, and a window that stands
+at an earlier place goes.  So a repeated passage of two or more full lines goes
+whole wherever it stands, and the first place of every line stays.
 
 Defined results: a null text has no lines and stays null; an empty text is
 one empty line and stays.  Null doc_ids count as the last ids.  Rows that are
@@ -33,6 +40,7 @@ from pyspark.sql import functions as F
 from tierline.llm.common import doc_key, fresh
 
 LAST_ID = 9223372036854775807
+PRIME, BASE = (1 << 31) - 1, 1_000_003_579
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -48,9 +56,16 @@ def with_chunks(docs: DataFrame, text_col: str, divisor: int, out: str) -> DataF
     line = "slice(ls, if(j = 0, 1, cuts[j - 1] + 2), if(j = 0, c + 1, c - cuts[j - 1]))"
     chunk = _let(line, "part", """named_struct('text', array_join(part, '\n'), 'lines', size(part),
                                   'full', size(filter(part, s -> s rlike '\\\\S')))""")
-    cut = "i = size(raw) - 1 or (raw[i] and not raw[i - 1])"
-    cuts = _let(f"filter(sequence(0, size(raw) - 1), i -> {cut})", "cuts", f"transform(cuts, (c, j) -> {chunk})")
-    raw = _let(f"transform(h, (x, i) -> i > 0 and (x + 31 * h[i - 1]) % {int(divisor)} = 0)", "raw", cuts)
+    # Stretches of period one or two: a cut before each and after every second line.
+    first = "filter(sequence(0, size(again) - 1), i -> again[i] and not again[i - 1])"
+    last = "filter(sequence(0, size(again) - 1), i -> again[i] and not coalesce(get(again, i + 1), false))"
+    pairs = _let(first, "a", _let(last, "z", "flatten(transform(a, (s, k) -> sequence(s - 1, z[k], 2)))"))
+    plain = "filter(sequence(0, size(raw) - 1), i -> raw[i] and not raw[i - 1] and not again[i])"
+    ends = f"array_sort(array_distinct(concat({plain}, {pairs}, array(size(raw) - 1))))"
+    cuts = _let(ends, "cuts", f"transform(cuts, (c, j) -> {chunk})")
+    again = _let("transform(h, (x, i) -> i > 1 and x = h[i - 2])", "again", cuts)
+    rolling = f"(h[i - 1] % {PRIME}) * {BASE} + x"
+    raw = _let(f"transform(h, (x, i) -> i > 0 and ({rolling}) % {PRIME} < {PRIME // int(divisor)})", "raw", again)
     h = _let("transform(ls, s -> cast(conv(substring(md5(s), 1, 8), 16, 10) as bigint))", "h", raw)
     whole = _let(f"split(`{text_col}`, '\n', -1)", "ls", h)
     return docs.withColumn(out, F.when(F.col(text_col).isNotNull(), F.expr(whole)))

@@ -6,19 +6,24 @@ of the words inside 5-word windows that occur twice or more.  The others are
 judged per (language, source):
 
 * the counts become a vector of five transformed statistics (``VECTOR``);
-* per group, a deterministic MCD start (median and scaled median absolute
-  deviation of each statistic) and ``steps`` concentration steps: keep the
-  share ``h`` of the rows with the smallest Mahalanobis distance, refit mean
-  and covariance on them; no row is sampled, every step aggregates all rows;
-* the covariance is scaled so that the median squared distance is that of a
-  chi-square with five degrees, and no statistic is taken to vary less than
-  ``FLOOR`` (most documents have no symbols or repeats at all, where the
-  estimate would be singular);
+* per group, two deterministic MCD starts, both centred at the medians: the
+  scaled median absolute deviation of each statistic, and the covariance of the
+  spatial signs (rows shrunk to distance one, which keeps the directions in
+  which statistics vary together).  Each takes ``steps`` concentration steps:
+  keep the share ``h`` of the rows with the smallest Mahalanobis distance, refit
+  mean and covariance on them.  The start that ends with the least determinant
+  is taken.  No row is sampled, every step aggregates all rows;
+* the covariance is widened, never narrowed, until the median squared distance
+  is at most that of a chi-square with five degrees, and no statistic is taken
+  to vary less than ``FLOOR`` (most documents have no symbols or repeats at all,
+  where the estimate would be singular);
 * a group with fewer than ``min_rows`` rows is judged by its language, and a
   language with fewer by the whole table;
 * a row is rejected if its squared distance exceeds ``cutoff`` and it lies on
   the bad side (more symbols, repeats, repeated lines, or odd word lengths
   than the centre by over ``FLOOR``); a long or short document alone is none.
+  ``cutoff`` is far above the 0.999 quantile of that chi-square (20.5), as
+  symbols and repeats are no normal variables: their tails are long.
 
 A step reads the vectors only (text is read once) and ends in one row per
 group; 5 x 5 matrices are inverted where the group's row is.
@@ -117,25 +122,64 @@ def _distance(prec: str, mean: str) -> Column:
 
 
 def _inverted(moments: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, n, s_i, s_ij) -> (keys, mean, prec): 5 x 5 inverses, one row per group."""
+    """(keys, n, s_i, s_ij) -> (keys, mean, prec, logdet): 5 x 5 inverses, one row
+    per group."""
     p, floor = len(VECTOR), np.square(list(FLOOR.values()))
 
     def run(batches):
         for b in batches:
             mean = b[[f"s{i}" for i in range(p)]].to_numpy(float) / b[["n"]].to_numpy(float)
-            prec = []
+            prec, logdet = [], []
             for row, m in zip(b.itertuples(index=False), mean, strict=True):
                 c = np.array([[getattr(row, f"s{min(i, j)}_{max(i, j)}") for j in range(p)] for i in range(p)]) / row.n
                 c = c - np.outer(m, m)
                 c[np.diag_indices(p)] = np.maximum(np.diag(c), 0) + floor
                 prec.append(np.linalg.inv(c).ravel().tolist())
-            yield pd.concat([b[keys].reset_index(drop=True), pd.DataFrame({"mean": mean.tolist(), "prec": prec})], axis=1)
+                logdet.append(float(np.linalg.slogdet(c)[1]))
+            yield pd.concat([b[keys].reset_index(drop=True), pd.DataFrame({"mean": mean.tolist(), "prec": prec, "logdet": logdet})], axis=1)
 
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in moments.schema.fields if f.name in keys),
-                     "mean array<double>", "prec array<double>"])
+                     "mean array<double>", "prec array<double>", "logdet double"])
     return moments.mapInPandas(run, ddl)
 
 
+def _sums() -> list[Column]:
+    p = len(VECTOR)
+    return [F.count(F.lit(1)).alias("n"), *[F.sum(v).alias(f"s{i}") for i, v in enumerate(VECTOR)],
+            *[F.sum(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"s{i}_{j}") for i in range(p) for j in range(i, p)]]
+
+
+def _diagonal_start(centre: DataFrame, keys: list[str]) -> DataFrame:
+    """Precision of independent statistics with the given scales."""
+    p = len(VECTOR)
+    prec = [F.pow(F.col("scale")[i], F.lit(-2)) if i == j else F.lit(0.0) for i in range(p) for j in range(p)]
+    return centre.select(*keys, "mean", F.array(*prec).alias("prec"))
+
+
+def _sign_start(near: DataFrame, keys: list[str]) -> DataFrame:
+    """Precision from the rows' spatial signs: rows in units of the scales,
+    divided by their length (rows at the centre count as nothing)."""
+    p = len(VECTOR)
+    z = [(F.col(v) - F.col("mean")[i]) / F.col("scale")[i] for i, v in enumerate(VECTOR)]
+    length = F.sqrt(sum(x * x for x in z))
+    unit = [F.when(length > 0, x / length).otherwise(F.lit(0.0)) for x in z]
+    signs = near.select(*keys, "mean", "scale", *[u.alias(v) for u, v in zip(unit, VECTOR, strict=True)])
+    sums = signs.groupBy(*keys).agg(F.first("mean").alias("mean"), F.first("scale").alias("scale"), *_sums())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            prec = []
+            for row in b.itertuples(index=False):
+                c = np.array([[getattr(row, f"s{min(i, j)}_{max(i, j)}") for j in range(p)] for i in range(p)]) / row.n * p
+                c = c + 0.05 * np.eye(p)                   # no direction is without spread
+                scale = np.array(row.scale)
+                prec.append((np.linalg.inv(c) / np.outer(scale, scale)).ravel().tolist())
+            yield pd.concat([b[[*keys, "mean"]].reset_index(drop=True), pd.DataFrame({"prec": prec})], axis=1)
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in near.schema.fields if f.name in keys)
+    return sums.mapInPandas(run, f"{kinds}, mean array<double>, prec array<double>")
+
+
 def fit_mcd(rows: DataFrame, keys: list[str], h: float, steps: int) -> DataFrame:
     """(keys, n, mean, prec): the robust centre and precision of each group.
     Quantiles are ``percentile_approx`` (error 1/10,000 of a group's rows)."""
@@ -144,24 +188,27 @@ def fit_mcd(rows: DataFrame, keys: list[str], h: float, steps: int) -> DataFrame
     on = [F.col(k).eqNullSafe(F.col(f"m_{k}")) for k in keys]
 
     def beside(model: DataFrame) -> DataFrame:
+        """Every row with the model of its group (of each start, before the choice)."""
         return rows.join(model.withColumnsRenamed({k: f"m_{k}" for k in keys}), on).drop(*[f"m_{k}" for k in keys])
 
     near = beside(start.withColumnsRenamed({v: f"c_{v}" for v in VECTOR}))
     mad = near.groupBy(*keys).agg(*[F.first(f"c_{v}").alias(f"c_{v}") for v in VECTOR],
                                   *[F.percentile_approx(F.abs(F.col(v) - F.col(f"c_{v}")), 0.5, 10000).alias(v) for v in VECTOR])
-    diag = [F.lit(1.0) / (F.pow(1.4826 * F.col(v), F.lit(2)) + FLOOR[v] ** 2) for v in VECTOR]
-    model = mad.select(*keys, F.array(*[F.col(f"c_{v}") for v in VECTOR]).alias("mean"),
-                       F.array(*[diag[i] if i == j else F.lit(0.0) for i in range(p) for j in range(p)]).alias("prec"))
+    scales = [F.sqrt(F.pow(1.4826 * F.col(v), F.lit(2)) + FLOOR[v] ** 2) for v in VECTOR]
+    centre = stable(mad.select(*keys, F.array(*[F.col(f"c_{v}") for v in VECTOR]).alias("mean"), F.array(*scales).alias("scale")))
+    models = [_diagonal_start(centre, keys), _sign_start(beside(centre), keys)]
+    model = models[0].withColumn("start", F.lit(0)).unionByName(models[1].withColumn("start", F.lit(1)))
+    each = [*keys, "start"]
     for _ in range(steps):
-        model = stable(model)
+        model = stable(model.select(*each, "mean", "prec"))
         far = beside(model).withColumn("d", _distance("prec", "mean"))
-        cut = far.groupBy(*keys).agg(F.percentile_approx("d", h, 10000).alias("cut"))
-        inner = beside(model.join(cut, [model[k].eqNullSafe(cut[k]) for k in keys])
-                       .select(*[model[k] for k in keys], "mean", "prec", "cut")).filter(_distance("prec", "mean") <= F.col("cut"))
-        moments = inner.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), *[F.sum(v).alias(f"s{i}") for i, v in enumerate(VECTOR)],
-            *[F.sum(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"s{i}_{j}") for i in range(p) for j in range(i, p)])
-        model = _inverted(moments, keys)
+        cut = far.groupBy(*each).agg(F.percentile_approx("d", h, 10000).alias("cut"))
+        cut = cut.withColumnsRenamed({k: f"q_{k}" for k in each})
+        inner = beside(model.join(cut, [F.col(k).eqNullSafe(F.col(f"q_{k}")) for k in each])
+                       .select(*each, "mean", "prec", "cut")).filter(_distance("prec", "mean") <= F.col("cut"))
+        model = _inverted(inner.groupBy(*each).agg(*_sums()), each)
+    least = F.min_by(F.struct("mean", "prec"), F.struct("logdet", "start")).alias("m")
+    model = model.groupBy(*keys).agg(least).select(*keys, "m.mean", "m.prec")
     model = stable(model)
     # Consistency: the middle row of a group lies where a normal one would.
     scale = (beside(model).withColumn("d", _distance("prec", "mean")).groupBy(*keys)

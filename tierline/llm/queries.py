@@ -68,7 +68,7 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.filter(~langid.held_out()).select("doc_id", "text", "lang"))
     return (langid.predict(docs.select("doc_id", "text"), model)
-            .select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"))
+            .select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "typical"))
 
 
 @query("op6_bpe")
@@ -96,7 +96,7 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
-@query("op9_url_filter", sql.URL_FILTER)
+@query("op9_url_filter", sql.url_filter())
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 

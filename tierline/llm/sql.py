@@ -8,11 +8,15 @@ lines AS (
   WHERE text IS NOT NULL),
 hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
 raws AS (
-  SELECT *, coalesce((h + 31 * lag(h) OVER w) % 3 = 0, false) AS raw, lead(i) OVER w IS NULL AS last
+  SELECT *, coalesce(((lag(h) OVER w % 2147483647) * 1000003579 + h) % 2147483647 < 2147483647 // 3, false) AS raw, lead(i) OVER w IS NULL AS last,
+         coalesce(h = lag(h, 2) OVER w, false) AS again
   FROM hashed WINDOW w AS (PARTITION BY r ORDER BY i)),
+stretches AS (SELECT *, i - row_number() OVER (PARTITION BY r, again ORDER BY i) AS stretch FROM raws),
+pairs AS (SELECT *, row_number() OVER (PARTITION BY r, again, stretch ORDER BY i) AS at FROM stretches),
 cuts AS (
-  SELECT *, last OR (i > 1 AND raw AND NOT coalesce(lag(raw) OVER w, false)) AS cut
-  FROM raws WINDOW w AS (PARTITION BY r ORDER BY i)),
+  SELECT *, last OR (again AND at % 2 = 0) OR (NOT again AND lead(again) OVER w)
+            OR (NOT again AND i > 1 AND raw AND NOT coalesce(lag(raw) OVER w, false)) AS cut
+  FROM pairs WINDOW w AS (PARTITION BY r ORDER BY i)),
 numbered AS (
   SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS no
   FROM cuts),
@@ -33,7 +37,20 @@ SELECT d.doc_id, coalesce(n_chunks, 0)::INT AS n_chunks, coalesce(n_removed, 0):
 FROM docs d LEFT JOIN kept USING (r)
 """
 
-URL_FILTER = r"""
+def url_filter(levels: int = 8) -> str:
+    """The template tree level by level; paths that many pages share are fewer
+    than ``levels`` segments deep."""
+    steps = []
+    for d in range(1, levels + 1):
+        steps.append(f"""c{d} AS (SELECT *, row_number() OVER (PARTITION BY host, tpl, g) AS rn, count(*) OVER (PARTITION BY host, tpl, g) AS n
+  FROM (SELECT *, CASE WHEN done OR len(s) < {d} THEN NULL ELSE s[{d}] END AS g FROM t{d - 1}))""")
+        steps.append(f"""t{d} AS (SELECT page_id, host, path, rule, label, s,
+    CASE WHEN g IS NULL THEN tpl WHEN node < 5 THEN tpl || ['**'] WHEN n < 5 AND kinds >= 5 AND 2 * kinds >= pages THEN tpl || ['*']
+         ELSE tpl || [g] END AS tpl, done OR (g IS NOT NULL AND node < 5) AS done
+  FROM (SELECT *, count(*) OVER w AS node, count(*) FILTER (WHERE n < 5 AND rn = 1) OVER w AS kinds, count(*) FILTER (WHERE n < 5) OVER w AS pages
+        FROM c{d} WINDOW w AS (PARTITION BY host, tpl, g IS NULL)))""")
+    tree = ",\n".join(steps)
+    return r"""
 WITH parsed AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 split AS (
@@ -47,38 +64,28 @@ ruled AS (
   FROM (SELECT *, row_number() OVER () AS rid FROM split) s
   LEFT JOIN rules ON (host = r_host OR suffix(host, '.' || r_host)) AND starts_with(path, r_path)
   GROUP BY s.rid, s.page_id, s.host, s.path),
-raw AS (
-  SELECT *, string_split(regexp_replace(regexp_replace(path, '^/', ''), '[0-9]+', '#', 'g'), '/') AS s FROM ruled),
-seg AS (SELECT * EXCLUDE (s), CASE WHEN len(s) > 4 THEN s[1:4] || ['**'] ELSE s END AS s FROM raw),
-t1 AS (SELECT *, CASE WHEN n >= 5 AND n >= 0.01 * p THEN s[1] ELSE '*' END AS g1
-  FROM (SELECT *, count(*) OVER (PARTITION BY host, s[1]) n, count(*) OVER (PARTITION BY host) p FROM seg)),
-t2 AS (SELECT * EXCLUDE (n, p), CASE WHEN len(s) < 2 THEN NULL WHEN n >= 5 AND n >= 0.01 * p THEN s[2] ELSE '*' END AS g2
-  FROM (SELECT * EXCLUDE (n, p), count(*) OVER (PARTITION BY host, g1, s[2]) n,
-        count(*) FILTER (WHERE len(s) >= 2) OVER (PARTITION BY host, g1) p FROM t1)),
-t3 AS (SELECT *, CASE WHEN len(s) < 3 THEN NULL WHEN n >= 5 AND n >= 0.01 * p THEN s[3] ELSE '*' END AS g3
-  FROM (SELECT *, count(*) OVER (PARTITION BY host, g1, g2, s[3]) n,
-        count(*) FILTER (WHERE len(s) >= 3) OVER (PARTITION BY host, g1, g2) p FROM t2)),
-t4 AS (SELECT * EXCLUDE (n, p), CASE WHEN len(s) < 4 THEN NULL WHEN n >= 5 AND n >= 0.01 * p THEN s[4] ELSE '*' END AS g4
-  FROM (SELECT * EXCLUDE (n, p), count(*) OVER (PARTITION BY host, g1, g2, g3, s[4]) n,
-        count(*) FILTER (WHERE len(s) >= 4) OVER (PARTITION BY host, g1, g2, g3) p FROM t3)),
-t5 AS (SELECT * EXCLUDE (n, p), CASE WHEN len(s) < 5 THEN NULL WHEN n >= 5 AND n >= 0.01 * p THEN s[5] ELSE '*' END AS g5
-  FROM (SELECT *, count(*) OVER (PARTITION BY host, g1, g2, g3, g4, s[5]) n,
-        count(*) FILTER (WHERE len(s) >= 5) OVER (PARTITION BY host, g1, g2, g3, g4) p FROM t4)),
-tpl AS (SELECT page_id, host, path, rule, label, list_filter([g1, g2, g3, g4, g5], lambda x: x IS NOT NULL) AS tpl FROM t5),
-lab AS (SELECT host, tpl, count(label) AS n_lab, count(*) FILTER (WHERE label = 'block') AS n_block FROM tpl GROUP BY ALL),
+t0 AS (
+  SELECT *, string_split(regexp_replace(regexp_replace(path, '^/', ''), '[0-9]+', '#', 'g'), '/') AS s, []::VARCHAR[] AS tpl, false AS done
+  FROM ruled),
+""" + tree + rf""",
+prior AS (SELECT CASE WHEN count(label) > 0 THEN count(*) FILTER (WHERE label = 'block') / count(label) ELSE 0 END AS p FROM ruled),
+lab AS (SELECT host, tpl, count(label) AS n_lab, count(*) FILTER (WHERE label = 'block') AS n_block FROM t{levels} GROUP BY ALL),
 kinds AS (
   SELECT *, coalesce(list_position(list_transform(tpl, lambda x: x <> '*' AND x <> '**' AND NOT contains(x, '#')), true), 0) AS lit_pos,
-         CASE WHEN n_lab = 0 THEN 'unlabelled' WHEN n_block / n_lab >= 0.8 THEN 'blocked'
-              WHEN n_block / n_lab <= 0.2 THEN 'allowed' ELSE 'mixed' END AS kind FROM lab),
-around AS (SELECT *, list_transform(tpl, lambda x, i: CASE WHEN i = lit_pos THEN '|' ELSE x END) AS ctx FROM kinds),
-merged AS (SELECT *, min(array_to_string(tpl, '/')) OVER w AS template, sum(n_lab) OVER w AS m_lab, sum(n_block) OVER w AS m_block
-  FROM around WINDOW w AS (PARTITION BY host, ctx, kind)),
-prior AS (SELECT CASE WHEN count(label) > 0 THEN count(*) FILTER (WHERE label = 'block') / count(label) ELSE 0 END AS p FROM ruled)
+         (n_block - n_lab * p) * (n_block - n_lab * p) >= 1.96 * 1.96 * p * (1 - p) * n_lab AS clear, n_block - n_lab * p AS off
+  FROM lab, prior),
+around AS (
+  SELECT *, list_transform(tpl, lambda x, i: CASE WHEN i = lit_pos THEN '|' ELSE x END) AS ctx,
+         CASE WHEN n_lab = 0 THEN 'unlabelled' WHEN clear AND off > 0 THEN 'more' WHEN clear AND off < 0 THEN 'less' ELSE 'neither' END AS kind
+  FROM kinds),
+merged AS (SELECT host, tpl, min(array_to_string(tpl, '/')) OVER w AS template, sum(n_lab) OVER w AS m_lab, sum(n_block) OVER w AS m_block
+  FROM around WINDOW w AS (PARTITION BY host, ctx, kind))
 SELECT t.page_id, t.host, t.path, t.rule, m.template,
        coalesce(t.label, CASE WHEN m.m_lab >= 5 AND (m.m_block + 5 * prior.p) / (m.m_lab + 5) > 0.6 THEN 'block' ELSE 'allow' END) AS verdict
-FROM tpl t JOIN merged m USING (host, tpl), prior
+FROM t{levels} t JOIN merged m USING (host, tpl), prior
 """
 
+
 WARC = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 f AS (SELECT page_id, h, strlen(h) AS n, min(page_id) OVER (PARTITION BY h) AS first FROM p)

@@ -35,7 +35,8 @@ are looked at again:
 Strings count as equal when two independent 64-bit fingerprints agree (core
 and context, or core and string).
 
-Shuffles: entries and chosen places (numbers only), whole documents once,
+Shuffles: entries once per level they come to and chosen places once (numbers
+only), whole documents once,
 compressed (the plan's second use of them reuses the exchange), and the bytes
 around chosen places whose core repeats in different contexts.
 
@@ -53,7 +54,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import ddl_of, packed, stable
+from tierline.llm.common import ddl_of, drop_written, packed, shuffle_partitions, stable
+from tierline.session import scratch_path
 
 WORD, CHUNK = 32, 1 << 20
 #: Contexts of one core that a task may gather: about 10 MB.
@@ -144,10 +146,21 @@ def _pieces(offsets: np.ndarray, width: int) -> Iterator[tuple[int, int, np.ndar
         i = j
 
 
+def _counted(core: np.ndarray, context: np.ndarray) -> pa.RecordBatch:
+    """Each (core, context) once, with its count: what a batch repeats is
+    combined before it is shuffled."""
+    order = np.lexsort((context, core))
+    core, context = core[order], context[order]
+    new = np.flatnonzero(np.concatenate([[True], (core[1:] != core[:-1]) | (context[1:] != context[:-1])])) if len(core) else np.zeros(0, np.int64)
+    n = np.diff(np.append(new, len(core)))
+    return pa.RecordBatch.from_arrays([pa.array(core[new]), pa.array(context[new]), pa.array(n)], ["core", "context", "n"])
+
+
 def suffixes(docs: DataFrame, text_col: str, width: int, window: int, places: bool) -> DataFrame:
-    """(k_id, k_h, text) -> ``core, context`` and with ``places`` also
-    ``k_id, k_h, pos``: start of the first string, the number of further ones
-    and the chosen place's distance, packed into one number."""
+    """(k_id, k_h, text) -> ``core, context`` and ``n``, their number in the
+    batch; or with ``places`` each place's ``k_id, k_h, pos``: start of the first
+    string, the number of further ones and the chosen place's distance, packed
+    into one number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(b.schema.get_field_index(text_col))
@@ -159,29 +172,48 @@ def suffixes(docs: DataFrame, text_col: str, width: int, window: int, places: bo
             ids, hashes = (b.column(b.schema.get_field_index(c)).to_numpy() for c in ("k_id", "k_h"))
             for lo, hi, doc, starts, ends in _pieces(offsets, width):
                 core, context, place, first, last = chosen_places(data[lo:hi], starts, ends, width, window)
-                cols = [pa.array(core.view(np.int64)), pa.array(context.view(np.int64))]
-                if places:
-                    d = np.searchsorted(starts, first, side="right") - 1
-                    begin = first + lo - offsets[doc[d]]
-                    pos = begin << 24 | (last - first) << 12 | (place - first)
-                    cols += [pa.array(ids[doc[d]]), pa.array(hashes[doc[d]]), pa.array(pos)]
-                yield pa.RecordBatch.from_arrays(cols, ["core", "context", "k_id", "k_h", "pos"][:len(cols)])
-
-    ddl = "core bigint, context bigint" + (", k_id bigint, k_h bigint, pos bigint" if places else "")
+                core, context = core.view(np.int64), context.view(np.int64)
+                if not places:
+                    yield _counted(core, context)
+                    continue
+                d = np.searchsorted(starts, first, side="right") - 1
+                begin = first + lo - offsets[doc[d]]
+                pos = begin << 24 | (last - first) << 12 | (place - first)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (core, context, ids[doc[d]], hashes[doc[d]], pos)],
+                                                 ["core", "context", "k_id", "k_h", "pos"])
+
+    ddl = "core bigint, context bigint, " + ("k_id bigint, k_h bigint, pos bigint" if places else "n bigint")
     return docs.select("k_id", "k_h", text_col).mapInArrow(run, ddl)
 
 
 class SuffixIndex:
-    """A logarithmic family of sorted suffix levels: (core, context, n)."""
-
-    def __init__(self) -> None:
-        self.levels: list[tuple[int, DataFrame]] = []      # (batches in it, entries)
-        self.matches: list[DataFrame] = []                 # per batch: its matched cores
+    """A logarithmic family of sorted suffix levels: (core, context, n).
+
+    Each level is a table in the shared folder, bucketed by core and sorted by
+    (core, context): the scans of a batch against the levels, and all counting by
+    core, join and group the files as they lie, without a shuffle."""
+
+    def __init__(self, buckets: int = 16) -> None:
+        self.buckets = buckets
+        self.levels: list[tuple[int, DataFrame]] = []         # (batches in it, entries)
+        self.paths: list[str] = []                            # of the levels' files
+        self.matches: list[DataFrame] = []                    # per batch: its matched cores
+
+    def _level(self, entries: DataFrame) -> tuple[DataFrame, str]:
+        spark = entries.sparkSession
+        path = scratch_path(spark, "suffixes")
+        name = path.rpartition("/")[2].replace("-", "_")
+        whole = entries.repartition(self.buckets, "core").groupBy("core", "context").agg(F.sum("n").alias("n"))
+        (whole.write.format("parquet").option("path", path).bucketBy(self.buckets, "core").sortBy("core", "context").saveAsTable(name))
+        out = spark.table(name)
+        out.schema                                            # resolved: the catalog's entry can go
+        spark.sql(f"DROP TABLE {name}")
+        return out, path
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """Indexes a batch of suffixes (core, context) and returns the cores
+        """Indexes a batch of suffixes (core, context, n) and returns the cores
         that it holds twice or shares with earlier batches."""
-        level = stable(batch.groupBy("core", "context").agg(F.count(F.lit(1)).alias("n")).sortWithinPartitions("core", "context"))
+        level, path = self._level(batch)
         cores = level.groupBy("core").agg(F.sum("n").alias("n"))
         found = cores.filter("n > 1").select("core")
         for _, older in self.levels:
@@ -190,10 +222,12 @@ class SuffixIndex:
         self.matches.append(found)
         size = 1
         while self.levels and self.levels[-1][0] == size:
-            older = self.levels.pop()[1]
-            level, size = stable(older.unionByName(level).groupBy("core", "context").agg(F.sum("n").alias("n"))
-                                 .sortWithinPartitions("core", "context")), size * 2
+            merged, at = self._level(self.levels.pop()[1].unionByName(level))
+            for p in (self.paths.pop(), path):
+                drop_written(batch.sparkSession, p)
+            level, path, size = merged, at, size * 2
         self.levels.append((size, level))
+        self.paths.append(path)
         return found
 
     def repeats(self) -> DataFrame:
@@ -209,12 +243,18 @@ class SuffixIndex:
         for _, e in self.levels:
             e = e.join(matched, "core", "left_semi")
             entries = e if entries is None else entries.unionByName(e)
-        entries = entries.groupBy("core", "context").agg(F.sum("n").alias("n"))
+        entries = stable(entries.groupBy("core", "context").agg(F.sum("n").alias("n")))
         cores = entries.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"))
         status = (F.when(F.col("kinds") == 1, 0).when(F.col("n") > 1, 1).otherwise(2)
                   + F.when(F.col("kinds") > WIDE, 4).otherwise(0))
         return entries.join(cores, "core").select("core", "context", status.alias("status"))
 
+    def drop(self) -> None:
+        """Deletes the levels' files."""
+        for (_, level), path in zip(self.levels, self.paths, strict=True):
+            drop_written(level.sparkSession, path)
+        self.levels, self.paths = [], []
+
 
 def _runs(marked: DataFrame, text_col: str, width: int, window: int, wide: bool) -> DataFrame:
     """Documents with their marked places -> rows to compare.  Narrow groups:
@@ -342,11 +382,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # The other columns travel as one, so that no name of theirs can clash.
     keyed = docs.select(F.struct(*rest).alias("row"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("k_id"),
                         F.xxhash64(text).alias("k_h"), F.col(text_col).alias("text"))
-    index = SuffixIndex()
+    index = SuffixIndex(shuffle_partitions(docs.sparkSession))
     for i in range(batches):
         part = keyed.filter(F.pmod(F.xxhash64("k_id", "k_h"), F.lit(batches)) == i) if batches > 1 else keyed
         index.add(suffixes(part, "text", width, window, places=False))
-    found = (suffixes(keyed, "text", width, window, places=True).join(stable(index.repeats()), ["core", "context"])
+    repeats = stable(index.repeats())
+    index.drop()
+    found = (suffixes(keyed, "text", width, window, places=True).join(repeats, ["core", "context"])
              .select("k_id", "k_h", (F.shiftleft("pos", 3).bitwiseOR(F.col("status").cast("bigint"))).alias("mark")))
     marks = stable(found.groupBy("k_id", "k_h").agg(F.collect_list("mark").alias("marks")))
     marked = packed(keyed, "text").join(marks, ["k_id", "k_h"], "left")

@@ -4,7 +4,8 @@ A k-mer of code points is a closed syncmer if the smallest hash among its
 inner s-mers lies at its first or last s-mer: whether it is chosen depends on
 its own k characters only, so a passage keeps its anchors wherever it stands.
 The fingerprint holds all anchors (each distinct hash once), in the order of
-their first places in the text, as 8 hex digits each, and so grows with it.
+their first places in the text, as 8 hex digits each, and so grows with it: to about
+two thirds of the characters.
 
 ``likeness`` of two fingerprints matches anchors by position: the longest run
 of shared anchors in the same order (not necessarily adjacent), divided by the
@@ -29,7 +30,8 @@ from pyspark.sql.window import Window
 
 from tierline.llm.common import ddl_of, packed, stable
 
-K, S = 16, 5
+#: One place in (K - S + 1) / 2 = 12 is an anchor, whatever the rest of the text.
+K, S = 28, 5
 ROWS = 1000                    # documents whose fingerprints a task holds at once
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -135,7 +137,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     last: the first; null ids come first; equal ids by text hash and text).
 
     Whole documents, compressed, are shuffled once, by ranges of (id, text hash), and
-    written; the fingerprints, larger than that, never are.  Each task walks its
+    written; the fingerprints never are.  Each task walks its
     sorted rows; the last document of a range meets the first of the next range
     in a second, small join over two rows per range.
     """
