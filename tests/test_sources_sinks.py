@@ -260,3 +260,13 @@ def test_sums_of_small_metrics_keep_their_places(spark):
     assert df.agg(exact_mean("x", places=12)).first()[0] == pytest.approx(4e-10, rel=1e-12)
     with pytest.raises(ValueError, match="places"):
         exact_sum("x", places=25)
+
+
+def test_old_scratch_tables_are_cleared(spark, tmp_dir, monkeypatch):
+    from tierline import session
+    monkeypatch.setattr(session, "checkpoint_root", lambda spark: tmp_dir)
+    path = session.scratch_path(spark, "clear-me")
+    assert path.startswith(tmp_dir)
+    spark.range(3).write.parquet(path)
+    assert session.clear_scratch(spark, older_than_hours=1) == 0 and spark.read.parquet(path).count() == 3
+    assert session.clear_scratch(spark, older_than_hours=-1) == 1 and not os.path.exists(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -72,6 +73,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tierline/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Deletes the scratch tables under the checkpoint root that were last
+    changed so long ago, and returns their number.  What a job returns reads its
+    scratch tables lazily, so no job can delete them itself: run this when the
+    results have been read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/tierline")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return 0
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    old = [s.getPath() for s in fs.listStatus(path) if s.getModificationTime() < limit]
+    for p in old:
+        fs.delete(p, True)
+    return len(old)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so local tooling (tests) can open the path."""
     if path.startswith("file:"):

@@ -15,15 +15,15 @@ IMPL = {
     "SRC-4": ("read_source(fmt='parquet')", "U"), "SRC-5": ("read_source(mergeSchema)", "U"),
     "SRC-6": ("sources.readers.read_landing(glob)", ""), "SRC-7": ("read_landing(bad_rows=drop|quarantine)", ""),
     "SRC-8": ("read_landing(header=true)", "U"), "SRC-9": ("spark.table / views.register", "U"),
-    "SRC-10": ("sources.incremental.high_watermark", ""), "SRC-11": ("sources.incremental.incremental", ""),
+    "SRC-10": ("sources.incremental.high_watermark, sources.footers", ""), "SRC-11": ("sources.incremental.incremental / overlap_load", ""),
     "SRC-12": ("sources.incremental.slice_window", ""), "SRC-13": ("spark.createDataFrame", "U; tests"),
     "SRC-14": ("sources.readers.read_table", ""),
     "SNK-1": ("sinks.writers.write_table", ""), "SNK-2": ("write_table(partition_by, dynamic_overwrite)", ""),
-    "SNK-3": ("sinks.writers.evolve_append", ""), "SNK-4": ("write_table(mode='overwrite')", "U"),
-    "SNK-5": ("operators.merge.upsert", ""), "SNK-6": ("operators.layout.compact / needs_compaction", ""),
+    "SNK-3": ("sinks.writers.evolve_append", ""), "SNK-4": ("write_table(mode='overwrite'), sinks.replace", ""),
+    "SNK-5": ("operators.merge.upsert, operators.partials", ""), "SNK-6": ("operators.layout.compact / worth_compacting", ""),
     "SNK-7": ("operators.layout.zorder", ""), "SNK-8": ("write_table(rebalance=True)", ""),
-    "SNK-9": ("write_table(bloom_cols)", ""), "SNK-10": ("sinks.writers.write_csv", ""),
-    "SNK-11": ("operators.merge.snapshot_diff", ""), "SNK-12": ("sinks.writers.audit_row", ""),
+    "SNK-9": ("write_table(bloom_cols), session.runtime_filters", ""), "SNK-10": ("sinks.writers.write_csv", ""),
+    "SNK-11": ("operators.merge.snapshot_diff, operators.changefeed", ""), "SNK-12": ("sinks.writers.audit_row, streaming.audit", ""),
     "PRJ-1": ("operators.cleanse.with_ingest_metadata", ""), "PRJ-2": ("operators.cleanse.with_processed_ts", ""),
     "PRJ-3": ("plans.products.dim_product", ""), "PRJ-4": ("select/withColumn/drop", "U"),
     "FLT-1": ("status filter in products", "U"), "FLT-2": ("quality rules (~rlike)", "U"),
@@ -35,16 +35,16 @@ IMPL = {
     "DQ-3": ("quality.phone_rule", ""), "DQ-4": ("quality.future_date_rule / date_columns", ""),
     "DQ-5": ("quality.flag_issues", ""), "DQ-6": ("quality.issue_summary", ""),
     "VAL-1": ("write_table Observation / incremental.table_counts", ""),
-    "VAL-2": ("incremental.new_rows", ""), "VAL-3": ("quality.profile", ""),
-    "VAL-4": ("layout.table_detail", ""), "VAL-5": ("operators.preview.preview", "U"),
+    "VAL-2": ("incremental.new_rows", ""), "VAL-3": ("quality.profile, quality.profile_sketches", ""),
+    "VAL-4": ("layout.table_detail, layout.overlap_depth", ""), "VAL-5": ("operators.preview.preview", "U"),
     "JOIN-1": ("plans.products.enrich", ""), "JOIN-2": ("inner joins in products", "U"),
     "JOIN-3": ("size-checked broadcast (threshold, AQE); session.PROFILES", "U"),
     "JOIN-4": ("left_anti in upsert; diff without full outer join", "U"),
     "AGG-1": ("groupBy", "U"), "AGG-2": ("groupBy expressions", "U"), "AGG-3": ("join then group", "U"),
     "AGG-4": ("count", "U"), "AGG-5": ("functions.money.money_sum", ""), "AGG-6": ("functions.money.mean_of_money", ""),
-    "AGG-7": ("min/max", "U"), "AGG-8": ("countDistinct (approx option)", "U"),
+    "AGG-7": ("min/max", "U"), "AGG-8": ("countDistinct (approx option), stored pairs in operators.partials", ""),
     "AGG-9": ("functions.money.safe_ratio", ""), "AGG-10": ("global agg", "U"), "AGG-11": ("count_if", "U"),
-    "WIN-1": ("dedup_latest (aggregate form)", ""), "WIN-2": ("operators.rank.dense_rank_within", ""),
+    "WIN-1": ("dedup_latest (row_number = 1, limited before the shuffle)", ""), "WIN-2": ("operators.rank.dense_rank_within", ""),
     "SRT-1": ("orderBy in products", "U"), "SRT-2": ("desc ordering", "U"), "LIM-1": ("preview", "U"),
     "GLD-1": ("products.daily_sales", ""), "GLD-2": ("products.product_performance", ""),
     "GLD-3": ("products.category_performance", ""), "GLD-4": ("products.customer_patterns", ""),
@@ -55,8 +55,8 @@ IMPL = {
     "MON-1": ("monitoring.failure_alerts", ""), "MON-2": ("monitoring.usage_alerts", ""),
     "MON-3": ("monitoring.metric_rollup(sum)", ""), "MON-4": ("monitoring.metric_rollup(avg, scale)", ""),
     "MON-5": ("monitoring.job_performance", ""),
-    "STR-1": ("streaming.stream_to_bronze", ""), "STR-2": ("streaming.stream_dedup", ""),
-    "STR-3": ("streaming.stream_alerts / stream_usage_alerts", ""), "STR-4": ("streaming.stream_upsert", ""),
+    "STR-1": ("streaming.stream_to_bronze", ""), "STR-2": ("streaming.stream_dedup / latest_per_task", ""),
+    "STR-3": ("streaming.stream_alerts / stream_usage_alerts", ""), "STR-4": ("streaming.stream_upsert / fold_changes", ""),
 }
 
 
