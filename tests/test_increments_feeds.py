@@ -53,6 +53,10 @@ def test_footers_fall_back_where_a_file_has_no_statistics(spark, tmp_dir):
         assert got["n"] == 2 and (str(got["hi"]) == ["2.0", "1.0", "nan"][i])
     write_table(spark.createDataFrame([], kind), f"{tmp_dir}/none")
     assert footer_aggregates(read_table(spark, f"{tmp_dir}/none"), {"n": ("count", None), "hi": ("max", "k")}) == {"n": 0, "hi": None}
+    # a projection: Spark would take another column's statistics
+    two = read_table(spark, f"{tmp_dir}/0").select("x", "k")
+    assert pushed_aggregates(two, {"hi": ("max", "k")}) is None and footer_aggregates(two, {"hi": ("max", "k")}) == {"hi": 1}
+    assert pushed_aggregates(two.select("x"), {"n": ("count", None)}) is None
     # a column that older files do not have
     write_table(spark.createDataFrame([(1,)], "k bigint"), f"{tmp_dir}/old")
     write_table(spark.createDataFrame([(2, 5.0)], kind), f"{tmp_dir}/old", mode="append", merge_schema=True)

@@ -6,16 +6,24 @@ both settings are made in a session of their own, so that no other query of the
 caller's session changes.  No row group is read: the cost grows with the number
 of files, not of rows.
 
-Fall-back, to a plain aggregate over just the columns asked for: if a type has no
-exact statistics (timestamps, strings, decimals, nested columns), if a column is
-a partition column, or if some file has none (only nulls or a NaN in it, or it
-was written before the column existed).
+Spark finds a column's statistics by its position in the table's schema.  So the
+files must hold the columns in the table's order, as ``write_table`` keeps them:
+an append brings them into the stored order, new ones last.  A table whose first
+file does not begin with its columns in that order (a projection, say) is not
+asked this way.
+
+Fall-back, to a plain aggregate over just the columns asked for: in that case; if
+a type has no exact statistics (timestamps, strings, decimals, nested columns); if
+a column is a partition column; or if the footers fail to answer, as where a file
+has only nulls or a NaN in a column, or was written before the column existed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DateType, DoubleType, FloatType, IntegerType, LongType, ShortType,
@@ -42,6 +50,9 @@ def pushed_aggregates(table: DataFrame, aggs: Aggregates) -> DataFrame | None:
     kinds = {f.name: f.dataType for f in inside}
     if not directories or any(kind != "count" and not isinstance(kinds.get(c), WITH_STATISTICS) for kind, c in aggs.values()):
         return None
+    file = spark.read.parquet(min(table.inputFiles())).schema.names
+    if file != [f.name for f in inside][:len(file)]:
+        return None
     own = spark.newSession()
     own.conf.set("spark.sql.sources.useV1SourceList", "")
     own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
@@ -56,7 +67,6 @@ def footer_aggregates(table: DataFrame, aggs: Aggregates) -> dict:
             got = pushed.first().asDict()
             # Spark adds up the files' counts, and no files add up to null.
             return {n: 0 if kind == "count" and got[n] is None else got[n] for n, (kind, _) in aggs.items()}
-        except Exception as e:
-            if "spark.sql.parquet.aggregatePushdown" not in str(e):
-                raise
+        except (Py4JJavaError, PySparkException):
+            pass                # the scan below answers, or fails for a reason of its own
     return table.agg(*_columns(aggs)).first().asDict()
