@@ -164,28 +164,24 @@ PARTIALS = {
 }
 
 
-@pytest.mark.parametrize("kind", sorted(PARTIALS))
-@pytest.mark.parametrize("as_table", [False, True])
+@pytest.mark.parametrize(("kind", "as_table"), [("daily", True), ("category", False), ("customer", False)])
 def test_loads_in_any_split_add_up(spark, tmp_dir, kind, as_table):
     part, whole = PARTIALS[kind]
     o = orders(spark)
     if kind == "category":
         o = o.withColumn("category", F.when(F.col("product_id") == 1, "a").when(F.col("product_id") == 2, "b"))
-    o = o.withColumn("load", F.pmod(F.xxhash64("order_id", "total_amount"), F.lit(4))).cache()
+    o = o.withColumn("load", F.pmod(F.xxhash64("order_id", "total_amount"), F.lit(3))).cache()
     tag = f"tl_part_{kind}_{tmp_dir[-8:].lower().replace('-', '_')}"
     store = Store(spark, tag if as_table else f"{tmp_dir}/{kind}", as_table, buckets=4)
     mine = lambda *k: o.filter(F.col("load").isin(*k)).drop("load")
-    for k in (0, 1):
+    for k in (0, 1, 1):                                               # the second is run twice
         apply_load(mine(k), part(), store, f"load {k}")
-        same(current(part(), store), whole(mine(*range(k + 1))))
-    apply_load(mine(1), part(), store, "load 1")                      # run again
     same(current(part(), store), whole(mine(0, 1)))
     fold(part(), store)
     same(current(part(), store), whole(mine(0, 1)))
     with pytest.raises(ValueError, match="folded"):
         apply_load(mine(1), part(), store, "load 1")
-    for k in (2, 3):
-        apply_load(mine(k), part(), store, f"load {k}")
+    apply_load(mine(2), part(), store, "load 2")
     same(current(part(), store), whole(o.drop("load")))
     fold(part(), store)
     assert store.loads() == []
