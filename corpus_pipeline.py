@@ -29,6 +29,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document whose predicted language is less certain is rejected, and one whose
 #: n-grams are more than twice as far from that language as the worst held-out one.
 MIN_SCORE, NOT_TYPICAL = 0.4, -1.0
+#: One line in so many ends a chunk of lines.
+CHUNK_DIVISOR = 3
 #: The shortest repeated passage that is cut, in bytes: passages of over 50
 #: words.  51 words of prose take 315 bytes in the middle, 235 or more in 99 %
 #: of the places of the sample documents; anything longer than this also goes.
@@ -51,8 +53,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages of two or more lines are cut out; what is left empty goes."""
-    return _documents(dedup_passages(docs.select(*COLUMNS)), F.col("text"))
+    """Repeated chunks of lines, cut where the rolling hash over the lines says
+    (as in op4), go; an exact check of every two neighbouring lines takes what
+    those cuts miss.  What is left empty goes."""
+    return _documents(dedup_passages(docs.select(*COLUMNS), divisor=CHUNK_DIVISOR), F.col("text"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

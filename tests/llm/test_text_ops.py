@@ -152,6 +152,56 @@ def test_pipeline_stage_cuts_short_and_periodic_passages(spark):
     assert got == {0: rows[0][1], 20: "run\nrun"} | {i: f"start {i}\nend {i}" for i in range(1, 20)}
 
 
+def brute_stage(rows, divisor=3):
+    """The lines that neither a later chunk nor a later window takes."""
+    lines, seen, kept = {i: t.split("\n") for i, t in rows}, set(), {}
+    for i, t in sorted(rows):
+        gone, n = set(), 0
+        for c in chunks_of(t, divisor):
+            if sum(bool(x.strip()) for x in c) >= 2:
+                gone |= set(range(n, n + len(c))) if tuple(c) in seen else set()
+                seen.add(tuple(c))
+            n += len(c)
+        kept[i] = gone
+    first = {}
+    for i, t in sorted(rows):
+        at = [j for j, x in enumerate(lines[i]) if x.strip()]
+        for k, (a, b) in enumerate(zip(at, at[1:])):
+            f = first.setdefault("\n".join(lines[i][a:b + 1]), (i, k))
+            if f != (i, k):
+                kept[i] |= set(range(a + (f == (i, k - 1)), b + 1))
+        kept[i] = "\n".join(x for j, x in enumerate(lines[i]) if j not in kept[i])
+    return kept
+
+
+def test_pipeline_stage_cuts_chunks_of_the_rolling_hash(spark):
+    """Chunks go with the blank lines at their edges, which no window holds;
+    windows take what the cuts miss, and of every line a place stays."""
+    from corpus_pipeline import line_stage
+    rng = random.Random(8)
+    passage = ["" if rng.random() < 0.3 else f"shared {k}" for k in range(60)]
+    rows = []
+    for i in range(60):
+        a, own = rng.randint(0, 50), [f"own {i} {k}" for k in range(rng.randint(1, 4))]
+        rows.append((i, "\n".join(own + passage[a:a + rng.randint(2, 30)] + [""] * rng.randint(0, 2) + [f"end {i}"] + ["run"] * rng.randint(0, 5))))
+    want = brute_stage(rows)
+    assert want != brute_passages(rows)
+    got = {r["doc_id"]: r["text"] for r in line_stage(spark, docs(spark, rows).repartition(5), "").collect()}
+    assert got == {i: t for i, t in want.items() if t}
+    assert {x for t in got.values() for x in t.split("\n") if x} == {x for _, t in rows for x in t.split("\n") if x}
+
+
+def test_pipeline_stage_of_equal_ids_keeps_a_place_of_every_line(spark):
+    from corpus_pipeline import line_stage
+    rng = random.Random(2)
+    for ids in ((1, 1, 1), (None, None, 2)):
+        body = [f"line {k} {rng.random()}" for k in range(40)]
+        rows = [(ids[0], "\n".join(body)), (ids[1], "\n".join(["one", "two", "three"] + body)), (ids[2], "\n".join(body[5:] + ["tail", "end"]))]
+        out = [r["text"] for r in line_stage(spark, docs(spark, rows), "").collect()]
+        left = [x for t in out for x in t.split("\n")]
+        assert set(left) == {x for _, t in rows for x in t.split("\n")} and len(left) < 60
+
+
 def test_no_repeat_of_two_lines_stays(spark):
     rows = [(i, "\n".join([f"top {i}", *(f"{i // 10} line {k}" for k in range(2 + i // 10)), f"foot {i}"])) for i in range(40)]
     got = {r["doc_id"]: r["text"] for r in dedup_passages(docs(spark, rows)).collect()}

@@ -25,7 +25,10 @@ task), occurrences without text once, whole documents once for the rebuild.
 ``dedup_passages`` takes every place as a boundary: every two neighbouring full
 lines, with the blank ones between them, are a window, and a window that stands
 at an earlier place goes.  So a repeated passage of two or more full lines goes
-whole wherever it stands, and the first place of every line stays.
+whole wherever it stands, and the first place of every line stays.  With a
+``divisor`` the repeated chunks of the rolling hash go, and the windows follow
+as an exact check of what the cuts miss; both are found on the input, and the
+text is rebuilt once.
 
 Defined results: a null text has no lines and stays null; an empty text is
 one empty line and stays.  Null doc_ids count as the last ids.  Rows that are
@@ -50,11 +53,13 @@ def _let(value: str, name: str, body: str) -> str:
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def with_chunks(docs: DataFrame, text_col: str, divisor: int, out: str) -> DataFrame:
+def with_chunks(docs: DataFrame, text_col: str, divisor: int, out: str, starts: bool = False) -> DataFrame:
     """Adds ``out``: array<struct<text, lines, full>>, the chunks in text
-    order; ``full`` counts the lines with a character other than white space."""
+    order; ``full`` counts the lines with a character other than white space.
+    ``starts``: with ``start``, the number of the first line."""
+    start = "'start', if(j = 0, 0, cuts[j - 1] + 1), " if starts else ""
     line = "slice(ls, if(j = 0, 1, cuts[j - 1] + 2), if(j = 0, c + 1, c - cuts[j - 1]))"
-    chunk = _let(line, "part", """named_struct('text', array_join(part, '\n'), 'lines', size(part),
+    chunk = _let(line, "part", f"""named_struct({start}'text', array_join(part, '\n'), 'lines', size(part),
                                   'full', size(filter(part, s -> s rlike '\\\\S')))""")
     # Stretches of period one or two: a cut before each and after every second line.
     first = "filter(sequence(0, size(again) - 1), i -> again[i] and not again[i - 1])"
@@ -71,22 +76,28 @@ def with_chunks(docs: DataFrame, text_col: str, divisor: int, out: str) -> DataF
     return docs.withColumn(out, F.when(F.col(text_col).isNotNull(), F.expr(whole)))
 
 
-def repeated_chunks(chunked: DataFrame, id_col: str, key: str, chunks: str) -> DataFrame:
-    """(key, gone): the numbers of the chunks to remove, per document."""
+def later_chunks(chunked: DataFrame, id_col: str, key: str, chunks: str, place, *more: str) -> DataFrame:
+    """(key, no, more): the chunks to remove.  ``place``: by which the first of
+    equal chunks is told, of the columns ``id``, ``key`` and ``no``; ``more``:
+    further fields of the chunks."""
     rows = (chunked.select(F.col(key), F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)).alias("id"),
                            F.posexplode(chunks).alias("no", "c"))
             .filter(F.col("c.full") >= 2)
-            # id and chunk number as one number, in their order
-            .select(key, "no", F.xxhash64("c.text").alias("hash"), F.col("c.text").alias("text"),
-                    (F.col("id").cast("decimal(20,0)") * F.lit(10 ** 10).cast("decimal(11,0)")
-                     + F.col("no")).cast("decimal(38,0)").alias("place")))
+            .select(key, "no", *[F.col(f"c.{f}").alias(f) for f in more], F.xxhash64("c.text").alias("hash"),
+                    F.col("c.text").alias("text"), place.alias("place")))
     texts = rows.groupBy("hash", "text").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
     repeated = (texts.groupBy("hash").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n"),
                                           F.min("first").alias("first"))
                 .filter((F.col("texts") == 1) & (F.col("n") > 1)).select("hash", "first"))
-    return (rows.select(key, "no", "hash", "place").join(repeated, "hash")
-            .filter(F.col("place") > F.col("first"))
-            .groupBy(key).agg(F.collect_set("no").alias("gone")))
+    return (rows.select(key, "no", *more, "hash", "place").join(repeated, "hash")
+            .filter(F.col("place") > F.col("first")).select(key, "no", *more))
+
+
+def repeated_chunks(chunked: DataFrame, id_col: str, key: str, chunks: str) -> DataFrame:
+    """(key, gone): the numbers of the chunks to remove, per document."""
+    # id and chunk number as one number, in their order
+    place = (F.col("id").cast("decimal(20,0)") * F.lit(10 ** 10).cast("decimal(11,0)") + F.col("no")).cast("decimal(38,0)")
+    return later_chunks(chunked, id_col, key, chunks, place).groupBy(key).agg(F.collect_set("no").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = 3) -> DataFrame:
@@ -122,35 +133,47 @@ def _full(ls: str) -> str:
     return f"filter(sequence(0, size({ls}) - 1), i -> {ls}[i] rlike '\\\\S')"
 
 
-def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int | None = None) -> DataFrame:
     """``docs`` without the windows of two full lines that stand at an earlier
     place (smaller id, text hash, window number), and the column
     ``removed_lines``.  Of a window that overlaps its first place (a run of one
     line) the second line goes, so that the first place stays whole.
+    ``divisor``: without the chunks (see ``with_chunks``) that stand at an
+    earlier place, too.
 
-    Shuffles: digests and places twice, whole documents once for the rebuild.
+    Shuffles: digests and places twice, whole documents once for the rebuild;
+    with ``divisor`` chunk texts and occurrences as ``dedup_lines`` does.
     """
-    key, other, gone, left = (fresh(c, docs) for c in ("__key", "__other", "__gone", "__left"))
+    key, other, cut, left, chunks = (fresh(c, docs) for c in ("__key", "__other", "__cut", "__left", "__chunks"))
     keyed = docs.withColumn(key, doc_key(id_col, text_col))
     rows = line_windows(keyed, id_col, text_col, key)
     place = F.struct("id", "h", "no")
     repeated = (rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
                 .filter("n > 1").select("digest", "first"))
     overlaps = (F.col("first.id") == F.col("id")) & (F.col("first.h") == F.col("h")) & (F.col("first.no") == F.col("no") - 1)
-    cut = (rows.join(repeated, "digest").filter(place > F.col("first"))
-           .groupBy(F.col(key).alias(other))
-           .agg(F.sort_array(F.collect_set(F.col("no") * 2 + overlaps.cast("int"))).alias(gone)))
+    span = "struct<start:int,lines:int>"
+    marks = (rows.join(repeated, "digest").filter(place > F.col("first"))
+             .select(F.col(key).alias(other), (F.col("no") * 2 + overlaps.cast("int")).alias("window"), F.lit(None).cast(span).alias("chunk")))
+    if divisor:
+        chunked = with_chunks(keyed, text_col, divisor, chunks, starts=True)
+        # in the windows' order, so that of any line a place stays
+        later = later_chunks(chunked, id_col, key, chunks, F.struct("id", F.col(f"{key}.h").alias("h"), "no"), "start", "lines")
+        marks = marks.unionByName(later.select(F.col(key).alias(other), F.lit(None).cast("int").alias("window"), F.struct("start", "lines").alias("chunk")))
+    marks = marks.groupBy(other).agg(F.struct(F.sort_array(F.collect_set("window")).alias("windows"), F.collect_set("chunk").alias("chunks")).alias(cut))
     # f[k]: 0 for a window that goes, 1 for one that overlaps its first place, else -1 or null
-    flags = f"""flatten(transform({gone}, (c, j) -> concat(
-                    array_repeat(-1, int(c div 2 - if(j = 0, 0, {gone}[j - 1] div 2 + 1))), array(c % 2))))"""
-    part = """concat(if(coalesce(get(f, k - 1), -1) >= 0 or coalesce(get(f, k), -1) = 0, array(), slice(ls, at[k] + 1, 1)),
-                     if(coalesce(get(f, k), -1) >= 0, array(), slice(ls, at[k] + 2, coalesce(get(at, k + 1), size(ls)) - at[k] - 1)))"""
-    kept = f"concat(slice(ls, 1, at[0]), flatten(transform(sequence(0, size(at) - 1), k -> {part})))"
+    flags = f"""flatten(transform({cut}.windows, (c, j) -> concat(
+                    array_repeat(-1, int(c div 2 - if(j = 0, 0, {cut}.windows[j - 1] div 2 + 1))), array(c % 2))))"""
+    # the numbers of the lines that stay
+    part = """concat(if(coalesce(get(f, k - 1), -1) >= 0 or coalesce(get(f, k), -1) = 0, array(), slice(ns, at[k] + 1, 1)),
+                     if(coalesce(get(f, k), -1) >= 0, array(), slice(ns, at[k] + 2, coalesce(get(at, k + 1), size(ns)) - at[k] - 1)))"""
+    kept = f"concat(slice(ns, 1, at[0]), flatten(transform(sequence(0, size(at) - 1), k -> {part})))"
+    in_chunks = f"flatten(transform({cut}.chunks, c -> sequence(c.start, c.start + c.lines - 1)))"
     lines = f"split(`{text_col}`, '\n', -1)"
-    rebuilt = _let(lines, "ls", _let(_full("ls"), "at", _let(flags, "f", kept)))
-    j = keyed.join(cut, F.col(key).eqNullSafe(F.col(other)), "left").drop(other, key)
-    is_cut = F.col(gone).isNotNull()
+    stay = f"transform(array_except({kept}, {in_chunks}), i -> ls[i])"
+    rebuilt = _let(lines, "ls", _let(_full("ls"), "at", _let("sequence(0, size(ls) - 1)", "ns", _let(flags, "f", stay))))
+    j = keyed.join(marks, F.col(key).eqNullSafe(F.col(other)), "left").drop(other, key)
+    is_cut = F.col(cut).isNotNull()
     return (j.withColumn(left, F.when(is_cut, F.expr(rebuilt)))
             .withColumn("removed_lines", F.when(is_cut, F.size(F.expr(lines)) - F.size(left)).otherwise(F.lit(0)))
             .withColumn(text_col, F.when(is_cut, F.array_join(left, "\n")).otherwise(F.col(text_col)))
-            .drop(gone, left))
+            .drop(cut, left))
