@@ -292,6 +292,20 @@ def test_suffix_dedup_long_text_in_stretches(spark):
     check_cut(spark, [(1, text), (2, "start " + text[20000:30000] + " end")], min_match=400)
 
 
+def test_suffix_scan_holds_little_at_a_time(monkeypatch):
+    """What a Python worker holds beside a batch, whatever the batch's size."""
+    import tracemalloc
+    monkeypatch.setattr(suffix_index, "_CACHE", {})
+    data = np.random.default_rng(1).integers(97, 123, 6_000_000, dtype=np.uint8)
+    offsets = np.concatenate([np.arange(0, 3_000_000, 2000), [3_000_000, 6_000_000]])
+    tracemalloc.start()
+    places = sum(len(suffix_index.chosen_places(data[lo:hi], starts, ends, 200, 128)[0])
+                 for lo, hi, _, starts, ends in suffix_index._pieces(offsets, 200))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert places > 50_000 and peak < 40e6, peak
+
+
 def test_suffix_dedup_odd_inputs(spark):
     out = suffix_index.remove_repeats(frame(spark, ODD, extra=True), min_match=40)
     rows = {r["doc_id"]: r for r in out.collect()}
