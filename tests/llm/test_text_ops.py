@@ -307,6 +307,19 @@ def test_url_templates_match_brute_force(spark):
     assert {w[1] for w, p in zip(want, pages) if p[2] is None} == {"block", "allow"} and any("*" in w[0] for w in want)
 
 
+def test_no_plan_of_the_url_tree_holds_more_than_one_level(spark, monkeypatch):
+    """However deep the paths: a plan of all levels, with the joins of each, takes
+    the driver's memory."""
+    from tierline.llm import url_filter
+    joins, whole = [], url_filter.stable
+    monkeypatch.setattr(url_filter, "stable", lambda df: joins.append(str(df._jdf.queryExecution().optimizedPlan()).count("Join ")) or whole(df))
+    rows = [("h.net", [f"s{j}" for j in range(n)] + [f"p{i}"], 5, 2, 1) for n in (2, 6, 12) for i in range(6)]
+    shapes = spark.createDataFrame(rows, "host string, segs array<string>, n bigint, n_lab bigint, n_block bigint")
+    out = url_filter.template_tree(shapes, 5).collect()
+    assert sorted(len(r["segs"]) for r in out) == [3] * 6 + [7] * 6 + [13] * 6 and len(joins) > 13
+    assert max(joins) <= 2 and joins[-1] == 0
+
+
 def test_a_section_of_a_hot_host_blocks_no_stranger(spark):
     """150 sections of 20 pages, one labelled section, and a few small ones."""
     name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:03d}")

@@ -82,16 +82,18 @@ def segments(path: Column) -> Column:
 
 def template_tree(shapes: DataFrame, min_support: int) -> DataFrame:
     """``shapes`` (host, segs, n, n_lab, n_block) with ``tpl``, the generalised
-    segments.  Per level two aggregates and two joins on counted rows; each level
-    is checkpointed, and holds only the shapes that go on."""
-    active, done, d = shapes.withColumn("tpl", F.array().cast("array<string>")), [], 0
+    segments.  Per level two aggregates and two joins on counted rows, which run
+    once: each level is checkpointed, and the result only puts together what is
+    done at each, so that no plan holds more than one level."""
+    here = stable(shapes.withColumn("tpl", F.array().cast("array<string>")).withColumn("thin", F.lit(False)))
+    done, d = [], 0
     while True:
-        active = stable(active)
-        done.append(active.filter(F.size("segs") <= d))
-        here = active.filter(F.size("segs") > d).withColumn("seg", F.get("segs", F.lit(d)))
-        if here.isEmpty():
+        ends = F.col("thin") | (F.size("segs") <= d)
+        done.append(here.filter(ends).drop("thin"))
+        active = here.filter(~ends).drop("thin").withColumn("seg", F.get("segs", F.lit(d)))
+        if active.isEmpty():
             break
-        child = here.groupBy("host", "tpl", "seg").agg(F.sum("n").alias("n_child"))
+        child = active.groupBy("host", "tpl", "seg").agg(F.sum("n").alias("n_child"))
         small = F.col("n_child") < min_support
         node = child.groupBy("host", "tpl").agg(F.sum("n_child").alias("n_node"), F.count_if(small).alias("kinds"),
                                                 F.coalesce(F.sum(F.when(small, F.col("n_child"))), F.lit(0)).alias("pages"))
@@ -99,9 +101,8 @@ def template_tree(shapes: DataFrame, min_support: int) -> DataFrame:
         rule = (child.join(node, ["host", "tpl"])
                 .select("host", "tpl", "seg", (F.col("n_node") < min_support).alias("thin"),
                         F.when(F.col("n_node") < min_support, F.lit("**")).when(small & varies, F.lit("*")).otherwise(F.col("seg")).alias("to")))
-        here = here.join(rule, ["host", "tpl", "seg"]).withColumn("tpl", F.concat("tpl", F.array("to"))).drop("seg", "to")
-        done.append(here.filter("thin").drop("thin"))
-        active, d = here.filter("not thin").drop("thin"), d + 1
+        here = stable(active.join(rule, ["host", "tpl", "seg"]).withColumn("tpl", F.concat("tpl", F.array("to"))).drop("seg", "to"))
+        d += 1
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
